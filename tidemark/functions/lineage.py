@@ -3,22 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in ``spark.checkpoint.dir``. Only a local session without that setting
-    (a test) gets a temporary folder; on a cluster the setting is required."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that all executors reach. Only a local session without the setting (a test) gets a
+    temporary folder; on a cluster the setting is required."""
     folder = spark.conf.get(SETTING, None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {SETTING} to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="run-")
+    return folder.rstrip("/")
+
+
+def scratch(spark: SparkSession) -> str:
+    """New, empty place in the shared folder for a written intermediate table."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of the frame."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="run-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

@@ -127,7 +127,9 @@ def human_bytes(c: str | Column) -> Column:
     size = col(c).cast("double")
     out = None
     for i, unit in enumerate(BYTE_UNITS):
-        text = F.concat(F.format_string("%.2f", size / F.lit(float(1024**i))), F.lit(f" {unit}"))
+        # ties go to the even digit
+        number = F.bround(size / F.lit(float(1024**i)), 2)
+        text = F.concat(F.format_string("%.2f", number), F.lit(f" {unit}"))
         last = i == len(BYTE_UNITS) - 1
         if out is None:
             out = F.when(size < 1024.0, text)

@@ -131,3 +131,10 @@ def write_version(df: DataFrame, root: str, version: int, fmt: str = "parquet")
     path = f"{root}/version={version}"
     df.write.format(fmt).mode("overwrite").save(path)
     return path
+
+
+def latest_partition(spark: SparkSession, root: str, name: str) -> int:
+    """Greatest value among the partition folders ``name=value``."""
+    fs, folder = _fs(spark, root)
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return max(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))

@@ -48,29 +48,50 @@ def upsert_to(
     columns: Sequence[str],
     op: str = "op",
     every: str | None = None,
-    strategy: str = "probe",
 ) -> StreamingQuery:
-    """Keep a table under the change stream: each micro-batch is collapsed and applied.
+    """Keep a table under the change stream.
 
-    Batch n reads version n-1 and writes version n of the folder table, so a batch that is repeated
-    after a failure gives the same version again. With a table format that has MERGE, one would merge
-    in the same place.
+    A micro-batch is collapsed and written as ``delta/batch_id=n``: the work is that of the batch, not
+    of the table, and a batch repeated after a failure overwrites its own folder. ``read_upserted``
+    merges on read and ``fold`` makes the merged state the new base. With a table format that has
+    MERGE, one would merge at this place.
     """
+    kept = list(dict.fromkeys([*keys, *columns, *order_by, op]))
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        done = [v for v in writers.versions(spark, root) if v < batch_id + 1]
-        if done:
-            base = writers.read_version(spark, root, done[-1])
-        else:
-            base = spark.createDataFrame([], batch.select(*columns).schema)
-        after = ap.apply_changes(base, batch, keys, order_by, op=op, strategy=strategy)
-        writers.write_version(after, root, batch_id + 1)
+        last = ap.latest_per_key(batch.select(*kept), keys, order_by)
+        last.write.mode("overwrite").parquet(f"{root}/delta/batch_id={batch_id}")
 
     writer = changes.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return _trigger(writer, every).start()
 
 
+def _state(spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Last change per key over the base and the batches after it (deletes included)."""
+    delta = spark.read.parquet(f"{root}/delta")
+    folded = writers.versions(spark, f"{root}/base")
+    if folded:
+        newer = delta.filter(F.col("batch_id") > folded[-1]).drop("batch_id")
+        delta = writers.read_version(spark, f"{root}/base", folded[-1]).unionByName(newer)
+    else:
+        delta = delta.drop("batch_id")
+    return ap.latest_per_key(delta, keys, order_by)
+
+
+def read_upserted(
+    spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str], columns: Sequence[str], op: str = "op"
+) -> DataFrame:
+    """Current table of ``upsert_to``. Late changes lose against newer ones, whatever their batch."""
+    return _state(spark, root, keys, order_by).filter(F.col(op) != "d").select(*columns)
+
+
+def fold(spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str]) -> int:
+    """Write the merged state as a new base that covers all batches so far; returns the last batch."""
+    last = writers.latest_partition(spark, f"{root}/delta", "batch_id")
+    writers.write_version(_state(spark, root, keys, order_by), f"{root}/base", last)
+    return last
+
+
 def feed_to(
     changes: DataFrame, path: str, checkpoint: str, every: str | None = None, batch_column: str = "batch_id"
 ) -> StreamingQuery:
