@@ -29,7 +29,7 @@ def check(
     status = F.when(value > limit, "failed")
     if warning is not None:
         status = status.when(value > warning, "warning")
-    percent = F.when(F.lit(limit) > 0, F.round(100.0 * value / F.lit(limit), 1))
+    percent = F.when(F.lit(limit) > 0, 100.0 * value / F.lit(limit))
     return df.withColumns({"lag_status": status.otherwise("passed"), "percent_of_threshold": percent})
 
 

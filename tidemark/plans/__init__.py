@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_tables", "q_events")
+MODULES = ("q_tables", "q_events", "q_quality", "q_metrics", "q_stream")
 
 
 def all_queries():

@@ -87,7 +87,7 @@ SQL = {
         CASE WHEN version = 20 THEN 1070 WHEN version > 0 THEN 1000 + (version - 1) * 7 END AS parent_snapshot_id,
         ts, operation FROM hist""",
     "offs": """SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS part, event_id AS off, ts FROM events""",
-    "runs": """SELECT event_type AS source_name, date_trunc('hour', ts) AS at, count(*) AS processed,
+    "runs": """SELECT event_type AS source_name, date_trunc('hour', ts) AS run_at, count(*) AS processed,
         count(*) FILTER (WHERE value > 50) AS errors, max(value) AS lag_seconds
       FROM events GROUP BY 1, 2""",
     "drift": """SELECT event_type AS tbl, ver, ts, 'k' AS col, 'BIGINT' AS type FROM chg
@@ -333,10 +333,10 @@ def messages_by_type(spark: SparkSession, sf: str) -> DataFrame:
 def runs(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly run log per source."""
     e = read(spark, sf, "events")
-    return e.groupBy(F.col("event_type").alias("source_name"), F.date_trunc("hour", F.col("ts")).alias("at")).agg(
+    return e.groupBy(F.col("event_type").alias("source_name"), F.date_trunc("hour", F.col("ts")).alias("run_at")).agg(
         F.count("*").alias("processed"), F.count_if(F.col("value") > 50).alias("errors"),
         F.max("value").alias("lag_seconds"),
-    ).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    ).withColumn("run_at", F.col("run_at").cast("timestamp_ntz"))
 
 
 def drifting(spark: SparkSession, sf: str) -> DataFrame:

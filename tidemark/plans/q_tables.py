@@ -784,3 +784,9 @@ def pending_versions(spark, sf):
 def pending_snapshots(spark, sf):
     return history.pending_snapshots(i.snapshots(spark, sf), 1189, 1063)
 
+
+
+@query("a20_table_files", 'SELECT count(*) AS "rows", CAST(1 AS BIGINT) AS files FROM orders')
+def table_files(spark, sf):
+    d = diff.file_listing(i.read(spark, sf, "orders"))
+    return d.agg(F.sum("rows").alias("rows"), F.count("*").alias("files"))

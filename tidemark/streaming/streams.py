@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import apply as ap
@@ -156,6 +157,24 @@ def for_each(events: DataFrame, callback: Callable[[Mapping], None], checkpoint:
     return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
+def handle(events: DataFrame, callback: Callable[[Mapping], bool], keep: Sequence[str]) -> DataFrame:
+    """Call the user's function for every event and keep its verdict in ``handled``.
+
+    Works on batches and streams. Rows go to Python in Arrow batches, in the tasks that hold them; to
+    stop early, put a ``limit`` in front.
+    """
+    kept = [f for f in events.schema.fields if f.name in keep]
+    out = T.StructType([*kept, T.StructField("handled", T.BooleanType())])
+    names = [f.name for f in kept]
+
+    def run(batches):
+        for pdf in batches:
+            done = [bool(callback(row)) for row in pdf.to_dict("records")]
+            yield pdf[names].assign(handled=done)
+
+    return events.mapInPandas(run, out)
+
+
 PROGRESS = "run_id string, batch_id bigint, timestamp string, input_rows bigint, rows_per_second double"
 
 
