@@ -12,7 +12,8 @@ from tidemark.functions.scalar import NULL_TEXT
 # Columns left out of a row checksum unless the caller says otherwise.
 DEFAULT_EXCLUDE = ("created_at", "updated_at")
 ALGORITHMS = ("md5", "sha1", "sha256", "xxhash64")
-SUM_TYPE = "decimal(28,0)"
+SUM_TYPE = "decimal(24,0)"
+TOTAL_TYPE = "decimal(38,0)"
 
 
 def _text(c: Column) -> Column:
@@ -45,6 +46,43 @@ def row_checksum(columns: Sequence[str], algorithm: str = "md5") -> Column:
     raise ValueError(f"unknown checksum algorithm {algorithm!r}; one of {ALGORITHMS}")
 
 
-def checksum_number(checksum: Column) -> Column:
-    """First 60 bits of a hex checksum as an exact number, so that sums are order independent."""
-    return F.conv(F.substring(checksum, 1, 15), 16, 10).cast(SUM_TYPE)
+PIECE_BITS = 20
+_MASK = (1 << PIECE_BITS) - 1
+
+
+def number60(checksum: Column) -> Column:
+    """First 60 bits of a hex checksum as a number."""
+    return F.conv(F.substring(checksum, 1, 15), 16, 10).cast("bigint")
+
+
+def piece_sums(number: Column, prefix: str) -> list[Column]:
+    """Sums of the low, middle and high 20 bits: plain long sums that hold for 2^43 rows, so an exact
+    order-independent total needs no decimal arithmetic per row."""
+    return [
+        F.sum(F.shiftright(number, k * PIECE_BITS).bitwiseAND(F.lit(_MASK))).alias(f"{prefix}{k}") for k in range(3)
+    ]
+
+
+def total_of_pieces(prefix: str) -> Column:
+    """The exact sum behind the three piece sums."""
+    parts = [
+        F.coalesce(F.col(f"{prefix}{k}"), F.lit(0)).cast(SUM_TYPE) * F.lit(1 << (k * PIECE_BITS)).cast("decimal(13,0)")
+        for k in range(3)
+    ]
+    return (parts[0] + parts[1] + parts[2]).cast(TOTAL_TYPE)
+
+
+def row_hash(columns: Sequence[str]) -> Column:
+    """64-bit hash of the typed values, for comparing rows inside Spark. Nulls are marked, as the hash
+    function itself passes over them."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    return F.xxhash64(nulls, *[F.col(c) for c in columns])
+
+
+def hash_sums(number: Column, prefix: str, sign: Column) -> list[Column]:
+    """Signed sums of the three 22-bit pieces of a 64-bit hash: bags of rows that are equal on the plus
+    and the minus side come to zero."""
+    mask = F.lit((1 << 22) - 1)
+    return [
+        F.sum(F.shiftrightunsigned(number, k * 22).bitwiseAND(mask) * sign).alias(f"{prefix}{k}") for k in range(3)
+    ]

@@ -11,7 +11,8 @@ Keys must not be null: send such rows to the dead-letter side first (``envelope.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,91 +35,110 @@ def _window(keys: Sequence[str], order_by: Sequence[str | Column]):
     return Window.partitionBy(*keys).orderBy(*[col(o) for o in order_by])
 
 
-def _scan(
+@dataclass(frozen=True)
+class Step:
+    """One column of a scan: its value inside a bucket, what a bucket hands on, and both combined."""
+
+    local: Callable
+    summary: Callable[[list[str | Column]], Column]
+    carry: Callable
+    combine: Callable[[Column, Column], Column]
+
+
+def _before(w):
+    return w.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _so_far(w):
+    return w.rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _mark(order_by: Sequence[str | Column]) -> Column:
+    return F.struct(*[col(o) for o in order_by])
+
+
+def prior(value: Column) -> Step:
+    """``value`` of the preceding row of the key."""
+    return Step(
+        local=lambda w: F.lag(value).over(w),
+        summary=lambda order_by: F.max_by(value, _mark(order_by)),
+        carry=lambda edge, w: F.lag(edge).over(w),
+        combine=lambda here, before: F.when(F.col(_FIRST), before).otherwise(here),
+    )
+
+
+def total(value: Column) -> Step:
+    """Sum of ``value`` up to and including this row."""
+    return Step(
+        local=lambda w: F.sum(value).over(_so_far(w)),
+        summary=lambda order_by: F.sum(value),
+        carry=lambda edge, w: F.sum(edge).over(_before(w)),
+        combine=lambda here, before: here + F.coalesce(before, F.lit(0)),
+    )
+
+
+def position() -> Step:
+    """1-based position of the row in the order of its key."""
+    return total(F.lit(1).cast("bigint"))
+
+
+def known(value: Column) -> Step:
+    """Latest non-null ``value`` at or before this row."""
+    return Step(
+        local=lambda w: F.last(value, ignorenulls=True).over(_so_far(w)),
+        summary=lambda order_by: F.max_by(value, F.when(value.isNotNull(), _mark(order_by))),
+        carry=lambda edge, w: F.last(edge, ignorenulls=True).over(_before(w)),
+        combine=lambda here, before: F.coalesce(here, before),
+    )
+
+
+def scan(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str | Column],
-    bucket: Column | None,
-    local: Callable,
-    summary: Callable[[], Column],
-    carry: Callable,
-    combine: Callable[[Column, Column], Column],
-    name: str,
-    need_first: bool = False,
+    steps: Mapping[str, Step],
+    bucket: Column | None = None,
 ) -> DataFrame:
+    """Add one column per step, all in the same pass over the ordered rows of each key."""
     if bucket is None:
-        return df.withColumn(name, local(_window(keys, order_by)))
+        w = _window(keys, order_by)
+        return df.withColumns({name: s.local(w) for name, s in steps.items()})
     cut = df.withColumn(_B, bucket)
     inner = _window([*keys, _B], order_by)
-    scanned = cut.withColumn(_LOCAL, local(inner))
-    if need_first:
-        scanned = scanned.withColumn(_FIRST, F.row_number().over(inner) == 1)
-    edges = cut.groupBy(*keys, _B).agg(summary().alias("__edge"))
-    carried = edges.select(*keys, _B, carry(_window(keys, [_B])).alias(_CARRY))
+    here = {f"{_LOCAL}{n}": s.local(inner) for n, s in enumerate(steps.values())}
+    scanned = cut.withColumns({**here, _FIRST: F.row_number().over(inner) == 1})
+    edges = cut.groupBy(*keys, _B).agg(*[s.summary(order_by).alias(f"__edge{n}") for n, s in enumerate(steps.values())])
+    outer = _window(keys, [_B])
+    carried = edges.select(
+        *keys, _B, *[s.carry(F.col(f"__edge{n}"), outer).alias(f"{_CARRY}{n}") for n, s in enumerate(steps.values())]
+    )
     joined = scanned.join(carried, [*keys, _B], "left")
-    return joined.select(*df.columns, combine(F.col(_LOCAL), F.col(_CARRY)).alias(name))
+    added = [
+        s.combine(F.col(f"{_LOCAL}{n}"), F.col(f"{_CARRY}{n}")).alias(name)
+        for n, (name, s) in enumerate(steps.items())
+    ]
+    return joined.select(*df.columns, *added)
 
 
 def previous(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    value: Column,
-    name: str,
-    bucket: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: Column | None = None
 ) -> DataFrame:
-    """Add ``name`` = ``value`` of the preceding row of the same key."""
-    return _scan(
-        df, keys, order_by, bucket,
-        local=lambda w: F.lag(value).over(w),
-        summary=lambda: F.max_by(value, F.struct(*[col(o) for o in order_by])),
-        carry=lambda w: F.lag("__edge").over(w),
-        combine=lambda here, before: F.when(F.col(_FIRST), before).otherwise(here),
-        name=name, need_first=True,
-    )
+    return scan(df, keys, order_by, {name: prior(value)}, bucket)
 
 
 def running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    value: Column,
-    name: str,
-    bucket: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: Column | None = None
 ) -> DataFrame:
-    """Add ``name`` = sum of ``value`` up to and including this row."""
-    back = (Window.unboundedPreceding, -1)
-    return _scan(
-        df, keys, order_by, bucket,
-        local=lambda w: F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        summary=lambda: F.sum(value),
-        carry=lambda w: F.sum("__edge").over(w.rowsBetween(*back)),
-        combine=lambda here, before: here + F.coalesce(before, F.lit(0)),
-        name=name,
-    )
+    return scan(df, keys, order_by, {name: total(value)}, bucket)
 
 
 def row_position(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str, bucket: Column | None = None
 ) -> DataFrame:
-    """Add ``name`` = 1-based position of the row in the order of its key."""
-    return running_sum(df, keys, order_by, F.lit(1).cast("bigint"), name, bucket)
+    return scan(df, keys, order_by, {name: position()}, bucket)
 
 
 def last_known(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    value: Column,
-    name: str,
-    bucket: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: Column | None = None
 ) -> DataFrame:
-    """Add ``name`` = latest non-null ``value`` at or before this row."""
-    return _scan(
-        df, keys, order_by, bucket,
-        local=lambda w: F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        summary=lambda: F.max_by(value, F.when(value.isNotNull(), F.struct(*[col(o) for o in order_by]))),
-        carry=lambda w: F.last("__edge", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        combine=lambda here, before: F.coalesce(here, before),
-        name=name,
-    )
+    return scan(df, keys, order_by, {name: known(value)}, bucket)

@@ -58,12 +58,16 @@ def flat_schema(row: T.StructType) -> T.StructType:
 
 
 def _decode(raw: DataFrame, body: T.StructType) -> DataFrame:
-    """One JSON parse per row; the body may be bare or wrapped in ``payload``. Tombstones go."""
+    """One JSON parse per row; the body may be bare or wrapped in ``payload``. Tombstones go.
+
+    The parsed struct goes through a generator (one row in, one row out): filters on its fields stay
+    above it, where pushing them below would repeat the parse for every condition.
+    """
     whole = T.StructType([*body.fields, T.StructField("payload", body), T.StructField(CORRUPT, T.StringType())])
-    decoded = raw.filter(F.col("value").isNotNull()).withColumn(
-        "__j", F.from_json(F.col("value").cast("string"), whole, {"mode": "PERMISSIVE"})
-    )
+    parsed = F.from_json(F.col("value").cast("string"), whole, {"mode": "PERMISSIVE"})
     kept = [c for c in raw.columns if c not in ("key", "value")]
+    messages = raw.filter(F.col("value").isNotNull())
+    decoded = messages.select(*kept, F.explode(F.array(parsed)).alias("__j"))
     fields = [F.coalesce(F.col(f"__j.payload.`{n}`"), F.col(f"__j.`{n}`")).alias(n) for n in body.names]
     return decoded.select(*kept, *fields, F.col(f"__j.{CORRUPT}").alias(CORRUPT))
 

@@ -289,9 +289,8 @@ def audit_trail(
     """Every state a key went through, in order, with the change of ``measure`` since the last one."""
     rows = _after_images(feed)
     value = F.when(F.col(CHANGE_TYPE) != DELETE, F.col(measure))
-    numbered = ordered.row_position(rows, keys, [VERSION], "step", bucket)
-    with_prev = ordered.previous(numbered, keys, [VERSION], value, "previous_value", bucket)
-    return with_prev.withColumn("delta", value - F.col("previous_value"))
+    steps = {"step": ordered.position(), "previous_value": ordered.prior(value)}
+    return ordered.scan(rows, keys, [VERSION], steps, bucket).withColumn("delta", value - F.col("previous_value"))
 
 
 def expire(feed: DataFrame, keys: Sequence[str], before: datetime) -> DataFrame:

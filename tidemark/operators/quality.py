@@ -17,6 +17,7 @@ from tidemark.functions import checksum as sums
 # Statuses from best to worst.
 STATUSES = ("skipped", "passed", "warning", "failed")
 PASSED, FAILED, WARNING, SKIPPED = "passed", "failed", "warning", "skipped"
+RESULT_COLUMNS = ("validator", "status", "checked", "failures", "expected", "actual")
 RESULT = "validator string, status string, checked bigint, failures bigint, expected bigint, actual bigint"
 # Text patterns of the customer rules.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
@@ -61,10 +62,12 @@ INVENTORY_RULES = (
 )
 
 
-def _result(df: DataFrame, name: str, failed: Column, checked: Column, failures: Column, expected=None, actual=None) -> DataFrame:
+def _result(
+    df: DataFrame, name: str | Column, failed: Column, checked: Column, failures: Column, expected=None, actual=None
+) -> DataFrame:
     none = F.lit(None).cast("bigint")
     return df.select(
-        F.lit(name).alias("validator"),
+        (F.lit(name) if isinstance(name, str) else name).alias("validator"),
         F.when(failed, FAILED).otherwise(PASSED).alias("status"),
         checked.cast("bigint").alias("checked"),
         failures.cast("bigint").alias("failures"),
@@ -155,8 +158,9 @@ def dataset_checksum(df: DataFrame, columns: Sequence[str] | None = None, exclud
     """One row ``rows, checksum``: an exact sum over row checksums, so row order, partitioning and
     retries do not matter and parts can be added up (``combine_checksums``)."""
     named = sums.checksum_columns(df, columns, exclude)
-    number = sums.checksum_number(sums.row_checksum(named))
-    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("checksum"))
+    number = sums.number60(sums.row_checksum(named))
+    parts = df.agg(F.count("*").alias("rows"), *sums.piece_sums(number, "p"))
+    return parts.select("rows", sums.total_of_pieces("p").cast("string").alias("checksum"))
 
 
 def combine_checksums(*parts: DataFrame) -> DataFrame:
@@ -164,30 +168,47 @@ def combine_checksums(*parts: DataFrame) -> DataFrame:
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
-    total = F.sum(F.col("checksum").cast(sums.SUM_TYPE))
+    total = F.sum(F.col("checksum").cast(sums.TOTAL_TYPE))
     return every.agg(F.sum("rows").alias("rows"), F.coalesce(total, F.lit(0)).cast("string").alias("checksum"))
 
 
-def _per_key(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    number = sums.checksum_number(sums.row_checksum(columns))
-    return df.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(number).alias("h"))
-
-
 def checksum_mismatches(
-    src: DataFrame, dst: DataFrame, keys: Sequence[str], exclude: Sequence[str] | None = None
+    src: DataFrame, dst: DataFrame, keys: Sequence[str], exclude: Sequence[str] | None = None, algorithm: str = "xxhash64"
 ) -> DataFrame:
-    """Keys whose rows differ. Only a key, a count and a number per key are shuffled; keys that occur
-    more than once are compared as bags, so no pairs are formed."""
+    """Row counts per key on both sides and whether the rows are the ``same``.
+
+    Both sides go into one aggregation of signed hash sums: no join, one shuffle of a key and a few
+    longs, combined map-side, so hot keys and keys that occur more than once (bags of rows) are fine.
+    """
     columns = sums.checksum_columns(src, exclude=exclude)
-    s = _per_key(src, keys, columns).withColumnsRenamed({"n": "sn", "h": "sh"})
-    d = _per_key(dst, keys, columns).withColumnsRenamed({"n": "dn", "h": "dh"})
-    same = F.col("sn").eqNullSafe(F.col("dn")) & F.col("sh").eqNullSafe(F.col("dh"))
-    return s.join(d, list(keys), "full_outer").withColumn("same", same)
+    if algorithm == "xxhash64":
+        number = sums.row_hash(columns)
+    else:
+        number = sums.number60(sums.row_checksum(columns, algorithm))
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*keys, F.lit(sign).cast("bigint").alias("__sign"), number.alias("__h"))
+
+    both = side(src, 1).unionAll(side(dst, -1))
+    per = both.groupBy(*keys).agg(
+        F.count_if(F.col("__sign") == 1).alias("sn"),
+        F.count_if(F.col("__sign") == -1).alias("dn"),
+        *sums.hash_sums(F.col("__h"), "__h", F.col("__sign")),
+    )
+    same = F.col("sn") == F.col("dn")
+    for k in range(3):
+        same = same & (F.col(f"__h{k}") == 0)
+    return per.select(*keys, "sn", "dn", same.alias("same"))
+
 
+def checksum(
+    src: DataFrame, dst: DataFrame, keys: Sequence[str], exclude: Sequence[str] | None = None, algorithm: str = "xxhash64"
+) -> DataFrame:
+    """Row checksums agree key by key; different row counts fail too.
 
-def checksum(src: DataFrame, dst: DataFrame, keys: Sequence[str], exclude: Sequence[str] | None = None) -> DataFrame:
-    """Row checksums agree key by key; different row counts fail too."""
-    per = checksum_mismatches(src, dst, keys, exclude)
+    The default hashes typed values to 64 bits; ``md5``, ``sha1`` and ``sha256`` hash the row text.
+    """
+    per = checksum_mismatches(src, dst, keys, exclude, algorithm)
     t = per.agg(
         F.coalesce(F.sum("sn"), F.lit(0)).alias("s"),
         F.coalesce(F.sum("dn"), F.lit(0)).alias("d"),
@@ -203,7 +224,7 @@ def dataset_checksum_match(
     """Whole-dataset checksums agree. With ``sample_percent`` both sides keep the same keys, chosen by
     the hash of ``key``, for a quick look; the full check is the default."""
     if sample_percent is not None:
-        keep = sums.checksum_number(F.md5(F.col(key).cast("string"))) % 100 < sample_percent
+        keep = sums.number60(F.md5(F.col(key).cast("string"))) % 100 < sample_percent
         src, dst = src.filter(keep), dst.filter(keep)
     both = dataset_checksum(src, columns).withColumn("side", F.lit("s")).unionByName(
         dataset_checksum(dst, columns).withColumn("side", F.lit("d"))
@@ -238,18 +259,31 @@ def compare(src: DataFrame, dst: DataFrame, keys: Sequence[str], fields: Sequenc
     return out.select(*keys, "verdict", changed.alias("fields"))
 
 
-def field_match(src: DataFrame, dst: DataFrame, keys: Sequence[str], field: str, required: bool = True) -> DataFrame:
-    """A field is present where required, and equal on both sides key by key."""
-    s = src.select(*keys, F.col(field).alias("s"), F.lit(True).alias("in_s"))
-    d = dst.select(*keys, F.col(field).alias("d"), F.lit(True).alias("in_d"))
-    absent = F.col("s").isNull() | F.col("d").isNull() if required else F.lit(False)
-    t = s.join(d, list(keys), "inner").agg(
-        F.count("*").alias("n"),
-        F.count_if(absent).alias("absent"),
-        F.count_if(~absent & ~F.col("s").eqNullSafe(F.col("d"))).alias("diff"),
-    )
+def fields_match(
+    src: DataFrame, dst: DataFrame, keys: Sequence[str], fields: Sequence[str], required: Sequence[str] | None = None
+) -> DataFrame:
+    """Fields are present where required, and equal on both sides key by key: one result row per
+    field, all from one join. ``actual`` is the number of unequal values."""
+    must = set(fields if required is None else required)
+    s = src.select(*keys, *[F.col(f).alias(f"s{i}") for i, f in enumerate(fields)])
+    d = dst.select(*keys, *[F.col(f).alias(f"d{i}") for i, f in enumerate(fields)])
+    counts = [F.count("*").alias("n")]
+    for i, f in enumerate(fields):
+        absent = F.col(f"s{i}").isNull() | F.col(f"d{i}").isNull() if f in must else F.lit(False)
+        counts.append(F.count_if(absent).alias(f"absent{i}"))
+        counts.append(F.count_if(~absent & ~F.col(f"s{i}").eqNullSafe(F.col(f"d{i}"))).alias(f"diff{i}"))
+    t = s.join(d, list(keys), "inner").agg(*counts)
+    entries = [
+        F.struct(F.lit(f"field:{f}").alias("v"), F.col(f"absent{i}").alias("absent"), F.col(f"diff{i}").alias("diff"))
+        for i, f in enumerate(fields)
+    ]
+    t = t.select("n", F.inline(F.array(*entries)))
     failures = F.col("absent") + F.col("diff")
-    return _result(t, f"field:{field}", failures > 0, F.col("n"), failures, F.lit(0), F.col("diff"))
+    return _result(t, F.col("v"), failures > 0, F.col("n"), failures, F.lit(0), F.col("diff"))
+
+
+def field_match(src: DataFrame, dst: DataFrame, keys: Sequence[str], field: str, required: bool = True) -> DataFrame:
+    return fields_match(src, dst, keys, [field], [field] if required else [])
 
 
 def completeness(df: DataFrame, columns: Sequence[str], required: Sequence[str] | None = None) -> DataFrame:
@@ -375,7 +409,7 @@ def run(spark: SparkSession, suite: Mapping[str, Callable[[], DataFrame]], only:
         if only is not None and name not in only:
             continue
         try:
-            frames.append(build().withColumn("validator", F.lit(name)))
+            frames.append(build().select(*RESULT_COLUMNS))
         except Exception:
             frames.append(_literal(spark, name, FAILED))
     if not frames:
@@ -390,23 +424,21 @@ def run_now(
     spark: SparkSession, suite: Mapping[str, Callable[[], DataFrame]], fail_fast: bool = False, only: Sequence[str] | None = None
 ) -> DataFrame:
     """Run validators one by one; one that raises counts as failed. ``fail_fast`` stops at the first
-    failure. Each validator gives one row, so what comes to the driver is one row per validator."""
+    failure. Only result rows, a few per validator, come to the driver."""
     rows = []
     for name, build in suite.items():
         if only is not None and name not in only:
             continue
         try:
-            row = build().withColumn("validator", F.lit(name)).select(*RESULT_COLUMNS).first()
+            found = [tuple(r) for r in build().select(*RESULT_COLUMNS).collect()]
         except Exception:
-            row = (name, FAILED, None, None, None, None)
-        rows.append(tuple(row))
-        if fail_fast and row[1] == FAILED:
+            found = [(name, FAILED, None, None, None, None)]
+        rows += found
+        if fail_fast and any(r[1] == FAILED for r in found):
             break
     return spark.createDataFrame(rows or [("suite", WARNING, None, None, None, None)], RESULT)
 
 
-RESULT_COLUMNS = ("validator", "status", "checked", "failures", "expected", "actual")
-
 
 def _rank(status: str) -> Column:
     return F.array_position(F.array(*[F.lit(s) for s in STATUSES]), F.col(status))

@@ -134,22 +134,24 @@ def evolution_status(changes: DataFrame, mode: str = "backward", by: Sequence[st
 
 
 def detect_changes(schemas: DataFrame) -> DataFrame:
-    """ADD, DROP and ALTER between consecutive versions of every table; the first version has none."""
-    versions = schemas.select("table", "version").distinct()
+    """ADD, DROP and ALTER between consecutive versions of every table; the first version has none.
+
+    The columns of one version are held together as a map (a schema is narrow), so each version is
+    compared with the one before it in one window over the versions of a table.
+    """
+    entries = F.map_from_entries(F.collect_list(F.struct("column", "type")))
+    steps = schemas.groupBy("table", "version").agg(entries.alias("new"))
     w = Window.partitionBy("table").orderBy("version")
-    steps = versions.select("table", "version", F.lead("version").over(w).alias("next")).filter(
-        F.col("next").isNotNull()
-    )
-    old = schemas.join(steps, ["table", "version"]).select(
-        "table", F.col("next").alias("version"), "column", F.col("type").alias("old_type")
-    )
-    new = schemas.join(
-        steps.select("table", F.col("next").alias("version")), ["table", "version"], "left_semi"
-    ).select("table", "version", "column", F.col("type").alias("new_type"))
+    steps = steps.withColumn("old", F.lag("new").over(w)).filter(F.col("old").isNotNull())
+    names = F.array_union(F.map_keys("old"), F.map_keys("new"))
+    pairs = steps.select("table", "version", "old", "new", F.explode(names).alias("column")).select(
+        "table", "version", "column",
+        F.try_element_at("old", F.col("column")).alias("old_type"),
+        F.try_element_at("new", F.col("column")).alias("new_type"),
+    )
     ot, nt = F.col("old_type"), F.col("new_type")
     change = F.when(ot.isNull(), "ADD").when(nt.isNull(), "DROP").when(ot != nt, "ALTER")
-    out = old.join(new, ["table", "version", "column"], "full_outer").withColumn("change_type", change)
-    out = out.filter(F.col("change_type").isNotNull())
+    out = pairs.withColumn("change_type", change).filter(F.col("change_type").isNotNull())
     safe = F.concat(ot, F.lit(">"), nt).isin(*SAFE_ALTERS)
     breaking = F.when(F.col("change_type") == "ADD", False).when(F.col("change_type") == "DROP", True)
     return out.withColumn("is_breaking", breaking.otherwise(~safe))
@@ -194,8 +196,10 @@ def _value_type(v: Column) -> Column:
 
 
 def _fields(events: DataFrame, json_text: str, keep: Sequence[str | Column]) -> DataFrame:
+    # the outer form: the inner one would parse the text once more to test for empty maps
     entries = F.from_json(F.col(json_text), "map<string,string>")
-    return events.select(*keep, F.explode(entries).alias("column", "value"))
+    found = events.select(*keep, F.explode_outer(entries).alias("column", "value"))
+    return found.filter(F.col("column").isNotNull())
 
 
 def observed(events: DataFrame, json_text: str, table: str | Column, version: str | Column) -> DataFrame:
@@ -226,7 +230,7 @@ def from_event(events: DataFrame, json_text: str, keep: Sequence[str] = ()) -> D
     block = F.from_json(F.col(json_text), _BLOCK)
     after = F.filter(block["schema"]["fields"], lambda f: f["field"] == "after")
     leaves = F.flatten(F.transform(after, lambda f: f["fields"]))
-    out = events.select(*keep, F.inline(leaves)).withColumnRenamed("field", "column")
+    out = events.select(*keep, F.inline_outer(leaves)).withColumnRenamed("field", "column")
     return out.filter(F.col("column").isNotNull() & F.col("type").isNotNull())
 
 

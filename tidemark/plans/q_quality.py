@@ -281,19 +281,18 @@ def _suite(spark, sf):
     return {
         "row_count": lambda: quality.row_count(b, a, 0.2, "fraction"),
         "checksum": lambda: quality.checksum(b, a, KEY),
-        "price": lambda: quality.field_match(b, a, KEY, "o_totalprice"),
-        "status": lambda: quality.field_match(b, a, KEY, "o_orderstatus"),
+        "fields": lambda: quality.fields_match(b, a, KEY, ["o_totalprice", "o_orderstatus"]),
         "order_key": lambda: quality.unique_key(a, KEY),
         "customer": lambda: quality.referential_integrity(a, i.parents(spark, sf), "o_custkey", "c_custkey"),
         "no_such_column": lambda: quality.unique_key(a, ["no_such_column"]),
     }
 
 
-SUITE_SQL = f"""SELECT * FROM (VALUES ('checksum', 'failed'), ('order_key', 'passed'), ('status', 'passed'),
+SUITE_SQL = f"""SELECT * FROM (VALUES ('checksum', 'failed'), ('unique_key', 'passed'), ('field:o_orderstatus', 'passed'),
     ('no_such_column', 'failed')) t(validator, status)
   UNION ALL SELECT 'row_count', CASE WHEN abs({B} - {A}) > 0.2 * {B} THEN 'failed' ELSE 'passed' END
-  UNION ALL SELECT 'price', CASE WHEN count(*) > 0 THEN 'failed' ELSE 'passed' END FROM diff WHERE kind = 'update'
-  UNION ALL SELECT 'customer', CASE WHEN count(*) > 0 THEN 'failed' ELSE 'passed' END FROM snap_a
+  UNION ALL SELECT 'field:o_totalprice', CASE WHEN count(*) > 0 THEN 'failed' ELSE 'passed' END FROM diff WHERE kind = 'update'
+  UNION ALL SELECT 'referential_integrity', CASE WHEN count(*) > 0 THEN 'failed' ELSE 'passed' END FROM snap_a
     WHERE o_custkey NOT IN (SELECT c_custkey FROM parents)"""
 
 

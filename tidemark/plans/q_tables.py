@@ -217,7 +217,7 @@ def partitioned_write(spark, sf):
 def time_partitions(spark, sf):
     path = lineage.scratch(spark)
     writers.time_partitioned(
-        i.read(spark, sf, "orders").select("o_orderkey", "o_orderdate"), path, "o_orderdate", "month", split=2
+        i.read(spark, sf, "orders").select("o_orderkey", "o_orderdate"), path, "o_orderdate", "month"
     )
     d = spark.read.parquet(path)
     return d.groupBy("o_orderdate_month").agg(

@@ -12,12 +12,19 @@ from pyspark.sql import types as T
 TIME_UNITS = ("year", "month", "day", "hour")
 
 
+def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Bring the rows of one partition value together, so that a task does not open a file for each
+    value. The exchange is sized at run time: small values share a task, a hot value is split."""
+    names = ", ".join(f"`{c}`" for c in columns)
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM {{df}}", df=df)
+
+
 def _write(df: DataFrame, path: str, mode: str, fmt: str, partition_by: Sequence[str], sort_by: Sequence[str], **options: str):
-    if partition_by and sort_by:
+    if partition_by and not df.isStreaming:
+        df = gathered(df, partition_by)
+    if sort_by:
         # rows of one partition value stay in order inside each file
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    elif sort_by:
-        df = df.sortWithinPartitions(*sort_by)
     writer = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -50,18 +57,10 @@ def time_bucket(df: DataFrame, column: str, unit: str, name: str | None = None)
 
 
 def time_partitioned(
-    df: DataFrame, path: str, column: str, unit: str, mode: str = "append", sort_by: Sequence[str] = (), fmt: str = "parquet", split: int = 1
+    df: DataFrame, path: str, column: str, unit: str, mode: str = "append", sort_by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
-    """Write in time partitions. Rows are first brought together by partition, so that a task does not
-    open a file for each; ``split`` > 1 spreads a large (or hot) partition over that many tasks."""
-    name = f"{column}_{unit}"
-    parts = time_bucket(df, column, unit)
-    if split > 1:
-        parts = parts.withColumn("__s", F.pmod(F.xxhash64(*df.columns), F.lit(split)))
-        parts = parts.repartition(name, "__s").drop("__s")
-    else:
-        parts = parts.repartition(name)
-    _write(parts, path, mode, fmt, [name], sort_by)
+    """Write in time partitions."""
+    _write(time_bucket(df, column, unit), path, mode, fmt, [f"{column}_{unit}"], sort_by)
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet", partition_by: Sequence[str] = (), path: str | None = None) -> None:
@@ -82,12 +81,14 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def compact(
-    df: DataFrame, path: str, files: int, order_by: Sequence[str] = (), fmt: str = "parquet"
-) -> None:
-    """Rewrite a table into ``files`` files in a new folder; with ``order_by`` they are cut by range and
-    sorted, so that scans on those columns skip files."""
-    out = df.repartitionByRange(files, *order_by).sortWithinPartitions(*order_by) if order_by else df.repartition(files)
+def compact(df: DataFrame, path: str, files: int, order_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """Rewrite a table into ``files`` files in a new folder. With ``order_by`` they are cut by range and
+    sorted, so that scans on those columns skip files; rows that tie are cut by their hash, so a hot
+    value is spread over files."""
+    if order_by:
+        out = df.repartitionByRange(files, *order_by, F.xxhash64(*df.columns)).sortWithinPartitions(*order_by)
+    else:
+        out = df.repartition(files)
     out.write.format(fmt).mode("errorifexists").save(path)
 
 
@@ -95,7 +96,7 @@ def append_feed(feed: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append feed rows, partitioned by version."""
     from tidemark.operators.feed import VERSION
 
-    feed.write.format(fmt).mode("append").partitionBy(VERSION).save(path)
+    _write(feed, path, "append", fmt, [VERSION], ())
 
 
 def _fs(spark: SparkSession, path: str):
