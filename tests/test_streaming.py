@@ -150,3 +150,16 @@ def test_stream_apply_equals_batch_apply(spark):
     base = feed.current_of_changes(changes(spark, 0, 100), ["id"], ["n"]).select("id", "v")
     step = ap.apply_changes(base, changes(spark, 0, 200).filter("n >= 100"), ["id"], ["n"])
     assert table(step) == table(feed.current_of_changes(changes(spark, 0, 200), ["id"], ["n"]).select("id", "v"))
+
+
+def test_sessions_of_a_hot_group(spark):
+    """A third of the rows are of one group; the split scan gives the sessions of session_window."""
+    i = F.col("id")
+    d = spark.range(3000).select(
+        F.when(i % 3 == 0, 0).otherwise(i % 17).alias("g"),
+        F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.xxhash64(i), F.lit(400000))).alias("at"),
+    )
+    plain = streams.sessions(d, "at", ["g"], "20 minutes")
+    for unit in ("hour", "day"):
+        cut = streams.sessions(d, "at", ["g"], "20 minutes", bucket=F.date_trunc(unit, F.col("at")))
+        assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()

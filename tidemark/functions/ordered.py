@@ -97,22 +97,27 @@ def scan(
     keys: Sequence[str],
     order_by: Sequence[str | Column],
     steps: Mapping[str, Step],
-    bucket: Column | None = None,
+    bucket: str | Column | None = None,
 ) -> DataFrame:
-    """Add one column per step, all in the same pass over the ordered rows of each key."""
+    """Add one column per step, all in the same pass over the ordered rows of each key.
+
+    A bucket named by a column stays in the result, so that a second scan over the same keys and bucket
+    finds the rows already in place and does not shuffle again.
+    """
     if bucket is None:
         w = _window(keys, order_by)
         return df.withColumns({name: s.local(w) for name, s in steps.items()})
-    cut = df.withColumn(_B, bucket)
-    inner = _window([*keys, _B], order_by)
+    b = bucket if isinstance(bucket, str) else _B
+    cut = df if isinstance(bucket, str) else df.withColumn(b, bucket)
+    inner = _window([*keys, b], order_by)
     here = {f"{_LOCAL}{n}": s.local(inner) for n, s in enumerate(steps.values())}
     scanned = cut.withColumns({**here, _FIRST: F.row_number().over(inner) == 1})
-    edges = cut.groupBy(*keys, _B).agg(*[s.summary(order_by).alias(f"__edge{n}") for n, s in enumerate(steps.values())])
-    outer = _window(keys, [_B])
+    edges = cut.groupBy(*keys, b).agg(*[s.summary(order_by).alias(f"__edge{n}") for n, s in enumerate(steps.values())])
+    outer = _window(keys, [b])
     carried = edges.select(
-        *keys, _B, *[s.carry(F.col(f"__edge{n}"), outer).alias(f"{_CARRY}{n}") for n, s in enumerate(steps.values())]
+        *keys, b, *[s.carry(F.col(f"__edge{n}"), outer).alias(f"{_CARRY}{n}") for n, s in enumerate(steps.values())]
     )
-    joined = scanned.join(carried, [*keys, _B], "left")
+    joined = scanned.join(carried, [*keys, b], "left")
     added = [
         s.combine(F.col(f"{_LOCAL}{n}"), F.col(f"{_CARRY}{n}")).alias(name)
         for n, (name, s) in enumerate(steps.items())
@@ -121,24 +126,24 @@ def scan(
 
 
 def previous(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: Column | None = None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: str | Column | None = None
 ) -> DataFrame:
     return scan(df, keys, order_by, {name: prior(value)}, bucket)
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: Column | None = None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: str | Column | None = None
 ) -> DataFrame:
     return scan(df, keys, order_by, {name: total(value)}, bucket)
 
 
 def row_position(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str, bucket: Column | None = None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], name: str, bucket: str | Column | None = None
 ) -> DataFrame:
     return scan(df, keys, order_by, {name: position()}, bucket)
 
 
 def last_known(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: Column | None = None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str, bucket: str | Column | None = None
 ) -> DataFrame:
     return scan(df, keys, order_by, {name: known(value)}, bucket)

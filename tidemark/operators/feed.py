@@ -300,12 +300,12 @@ def expire(feed: DataFrame, keys: Sequence[str], before: datetime) -> DataFrame:
     old = feed.filter(F.col(TIMESTAMP) < limit)
     kept = feed.filter(F.col(TIMESTAMP) >= limit)
     last = latest_per_key(_after_images(old), keys, [VERSION]).filter(F.col(CHANGE_TYPE) != DELETE)
-    top = old.agg(F.max(F.struct(VERSION, TIMESTAMP)).alias("m"))
+    top = old.agg(F.max(F.struct(VERSION, TIMESTAMP)).alias("m")).scalar()
     folded = last.select(
         *base_columns(feed),
         F.lit(INSERT).alias(CHANGE_TYPE),
-        top.select("m." + VERSION).scalar().alias(VERSION),
-        top.select("m." + TIMESTAMP).scalar().alias(TIMESTAMP),
+        top[VERSION].alias(VERSION),
+        top[TIMESTAMP].alias(TIMESTAMP),
     )
     return folded.unionByName(kept)
 

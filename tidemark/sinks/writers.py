@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,24 +100,13 @@ def append_feed(feed: DataFrame, path: str, fmt: str = "parquet") -> None:
     _write(feed, path, "append", fmt, [VERSION], ())
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
 def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions of a versioned folder table (those with a success marker), in order."""
-    fs, folder = _fs(spark, root)
-    if not fs.exists(folder):
+    """Complete versions of a versioned folder table, in order (one small number per version)."""
+    try:
+        log = spark.read.schema("version long").parquet(f"{root}/log")
+    except AnalysisException:
         return []
-    found = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("version=") and fs.exists(done):
-            found.append(int(name.split("=")[1]))
-    return sorted(found)
+    return [r.version for r in log.distinct().orderBy("version").collect()]
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -128,14 +118,10 @@ def read_version(spark: SparkSession, root: str, version: int | None = None, fmt
 
 
 def write_version(df: DataFrame, root: str, version: int, fmt: str = "parquet") -> str:
-    """Write one version of a folder table. Repeating it after a failure replaces the half-written one."""
+    """Write one version of a folder table and then list it in the log, which makes it visible.
+    Repeating this after a failure replaces the half-written version."""
     path = f"{root}/version={version}"
     df.write.format(fmt).mode("overwrite").save(path)
+    spark = df.sparkSession
+    spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{root}/log")
     return path
-
-
-def latest_partition(spark: SparkSession, root: str, name: str) -> int:
-    """Greatest value among the partition folders ``name=value``."""
-    fs, folder = _fs(spark, root)
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    return max(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))

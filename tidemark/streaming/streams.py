@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions import ordered
 from tidemark.operators import apply as ap
 from tidemark.sinks import writers
 
@@ -88,7 +89,7 @@ def read_upserted(
 
 def fold(spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str]) -> int:
     """Write the merged state as a new base that covers all batches so far; returns the last batch."""
-    last = writers.latest_partition(spark, f"{root}/delta", "batch_id")
+    last = spark.read.parquet(f"{root}/delta").agg(F.max("batch_id")).first()[0]
     writers.write_version(_state(spark, root, keys, order_by), f"{root}/base", last)
     return last
 
@@ -130,12 +131,28 @@ def counts(
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "events")
 
 
-def sessions(events: DataFrame, ts: str, by: Sequence[str], gap: str, delay: str | None = None) -> DataFrame:
-    """Bursts of activity per group, ended by a pause of ``gap``."""
-    if delay is not None and events.isStreaming:
-        events = events.withWatermark(ts, delay)
-    out = events.groupBy(F.session_window(F.col(ts), gap).alias("w"), *by).agg(F.count("*").alias("events"))
-    return out.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "events")
+def sessions(
+    events: DataFrame, ts: str, by: Sequence[str], gap: str, delay: str | None = None, bucket: Column | None = None
+) -> DataFrame:
+    """Bursts of activity per group, ended by a pause of ``gap``.
+
+    In a batch, ``bucket`` (a column rising with time, such as the day) keeps a hot group parallel: the
+    start of each session is carried along in an ordered scan and the rows are then counted per start,
+    combined map-side.
+    """
+    if events.isStreaming or bucket is None:
+        if delay is not None and events.isStreaming:
+            events = events.withWatermark(ts, delay)
+        out = events.groupBy(F.session_window(F.col(ts), gap).alias("w"), *by).agg(F.count("*").alias("events"))
+        return out.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "events")
+    pause = F.expr(f"interval {gap}")
+    rows = events.select(*by, F.col(ts).alias("__ts"), bucket.alias("__cut"))
+    with_prev = ordered.scan(rows, by, ["__ts"], {"__prev": ordered.prior(F.col("__ts"))}, "__cut")
+    opens = F.col("__prev").isNull() | (F.col("__ts") >= F.col("__prev") + pause)
+    start = ordered.known(F.when(opens, F.col("__ts")))
+    placed = ordered.scan(with_prev, by, ["__ts"], {"session_start": start}, "__cut")
+    out = placed.groupBy(*by, "session_start").agg(F.max("__ts").alias("last"), F.count("*").alias("events"))
+    return out.select("session_start", (F.col("last") + pause).alias("session_end"), *by, "events")
 
 
 def validate_to(
