@@ -220,7 +220,7 @@ def test_chain_and_ancestors(spark):
     assert history.is_ancestor(t, 6, 31).first()[0] is False
     assert history.is_ancestor(t, 31, 31).first()[0] is True
     assert history.pending_snapshots(t, 31, 4).first().pending == 3
-    assert history.range_statistics(t, 20, 15).first().snapshots == 5
+    assert history.range_statistics(t, 20, 15).first().snapshots == 6
 
 
 def test_history_from_feed(spark, case):

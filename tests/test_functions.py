@@ -64,6 +64,7 @@ def test_mask_email(spark):
     want = "user_" + hashlib.md5(b"a@b.c").hexdigest()[:8] + "@masked.com"
     assert one(spark, scalar.mask_email("v"), v="a@b.c") == want
     assert one(spark, scalar.mask_email("v"), v=None) is None
+    assert one(spark, scalar.mask_email("v"), v="") is None
     assert one(spark, scalar.mask_partial("v"), v="1234567890") == "******7890"
     assert one(spark, scalar.mask_partial("v"), v="12") == "12"
 

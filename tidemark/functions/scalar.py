@@ -90,7 +90,7 @@ def to_float(c: str | Column) -> Column:
 
 def to_bool(c: str | Column) -> Column:
     """True for the texts in TRUE_TEXTS, false for other text, null for null."""
-    return F.lower(F.trim(col(c))).isin(*TRUE_TEXTS)
+    return F.lower(col(c)).isin(*TRUE_TEXTS)
 
 
 def clean_email(c: str | Column) -> Column:
@@ -103,8 +103,8 @@ def title_case(c: str | Column) -> Column:
 
 
 def mask_email(c: str | Column) -> Column:
-    """Stable pseudonym of an address; null stays null."""
-    return F.concat(F.lit("user_"), F.substring(F.md5(col(c)), 1, 8), F.lit("@masked.com"))
+    """Stable pseudonym of an address; null for a missing or empty one."""
+    return F.concat(F.lit("user_"), F.substring(F.md5(_non_empty(c)), 1, 8), F.lit("@masked.com"))
 
 
 def mask_hash(c: str | Column) -> Column:

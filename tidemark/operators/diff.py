@@ -74,17 +74,38 @@ def changed_fields(columns: Sequence[str], before: str = "before", after: str =
     return F.when(both, F.array_compact(F.array(*names))).otherwise(F.array().cast("array<string>"))
 
 
-def compare_states(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: row counts of two states, their difference, and whether the schemas differ."""
-    sides = before.select(F.lit(1).alias("b")).unionAll(after.select(F.lit(0).alias("b")))
+def _text_bytes(df: DataFrame) -> Column:
+    size = F.lit(0).cast("bigint")
+    for c in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+    return size
+
+
+def compare_states(before: DataFrame, after: DataFrame, sizes: bool = False) -> DataFrame:
+    """One row: row counts of two states, their difference, and whether the schemas differ.
+
+    ``sizes`` adds the bytes of the values as text; without it no column is read.
+    """
+
+    def side(df: DataFrame, n: int) -> DataFrame:
+        return df.select(F.lit(n).alias("b"), (_text_bytes(df) if sizes else F.lit(0).cast("bigint")).alias("z"))
+
     changed = [(f.name, f.dataType) for f in before.schema] != [(f.name, f.dataType) for f in after.schema]
-    return sides.agg(
-        F.count_if(F.col("b") == 1).alias("rows_before"), F.count_if(F.col("b") == 0).alias("rows_after")
-    ).select(
-        "*",
-        (F.col("rows_after") - F.col("rows_before")).alias("row_difference"),
-        F.lit(changed).alias("schema_changed"),
+    old, new = F.col("b") == 1, F.col("b") == 0
+    out = side(before, 1).unionAll(side(after, 0)).agg(
+        F.count_if(old).alias("rows_before"),
+        F.count_if(new).alias("rows_after"),
+        F.coalesce(F.sum(F.when(old, F.col("z"))), F.lit(0)).alias("bytes_before"),
+        F.coalesce(F.sum(F.when(new, F.col("z"))), F.lit(0)).alias("bytes_after"),
+    )
+    out = out.withColumns(
+        {
+            "row_difference": F.col("rows_after") - F.col("rows_before"),
+            "byte_difference": F.col("bytes_after") - F.col("bytes_before"),
+            "schema_changed": F.lit(changed),
+        }
     )
+    return out if sizes else out.drop("bytes_before", "bytes_after", "byte_difference")
 
 
 def files(before: DataFrame, after: DataFrame, path: str = "file_path") -> DataFrame:

@@ -254,7 +254,7 @@ def stats(feed: DataFrame) -> DataFrame:
         F.max(VERSION).alias("last_version"),
         F.min(TIMESTAMP).alias("first_timestamp"),
         F.max(TIMESTAMP).alias("last_timestamp"),
-    )
+    ).withColumn("version_count", F.col("last_version") - F.col("first_version") + 1)
 
 
 def row_count(df: DataFrame, where: str | Column | None = None) -> DataFrame:

@@ -201,8 +201,8 @@ def is_ancestor(snapshots: DataFrame, ancestor: int, descendant: int) -> DataFra
 
 
 def range_statistics(snapshots: DataFrame, end: int, start: int | None = None) -> DataFrame:
-    """One row about the snapshots an incremental read would take in."""
-    return chain(snapshots, end, start, include_start=False).agg(
+    """One row about the snapshots from ``start`` to ``end``, both included."""
+    return chain(snapshots, end, start).agg(
         F.count("*").alias("snapshots"),
         F.min("timestamp").alias("first_timestamp"),
         F.max("timestamp").alias("last_timestamp"),

@@ -459,7 +459,7 @@ def iso_text(spark, sf):
 @query(
     "x6_casts",
     """SELECT p_partkey, CAST(p_size AS BIGINT) AS size_int, CAST(p_retailprice AS DOUBLE) AS price,
-      TRY_CAST(p_type AS BIGINT) AS type_int, lower(trim(CASE WHEN p_size > 25 THEN ' YES' ELSE p_type END))
+      TRY_CAST(p_type AS BIGINT) AS type_int, lower(CASE WHEN p_size > 25 THEN 'YES' ELSE p_type END)
         IN ('true', '1', 'yes') AS big FROM part""",
 )
 def casts(spark, sf):
@@ -469,7 +469,7 @@ def casts(spark, sf):
         scalar.to_int(F.concat(F.lit(" "), F.col("p_size").cast("string"))).alias("size_int"),
         scalar.to_float(F.col("p_retailprice").cast("string")).alias("price"),
         scalar.to_int("p_type").alias("type_int"),
-        scalar.to_bool(F.when(F.col("p_size") > 25, " YES").otherwise(F.col("p_type"))).alias("big"),
+        scalar.to_bool(F.when(F.col("p_size") > 25, "YES").otherwise(F.col("p_type"))).alias("big"),
     )
 
 

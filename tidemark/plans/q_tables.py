@@ -244,7 +244,7 @@ def sorted_write(spark, sf):
     )
 
 
-@query("k5_ensure_table", None)
+@query("k5_ensure_table", "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1")
 def ensure_table(spark, sf):
     rows = i.read(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("orders"))
     name = "tidemark_k5_orders"
@@ -436,7 +436,7 @@ def soft_delete_merge(spark, sf):
     return _soft(spark, sf, "merge")
 
 
-@query("k22_drop_table", None)
+@query("k22_drop_table", "SELECT count(*) AS orders, false AS table_exists FROM orders")
 def drop_table(spark, sf):
     name = "tidemark_k22_orders"
     o = i.read(spark, sf, "orders").select("o_orderkey")
@@ -476,7 +476,7 @@ def change_summary(spark, sf):
       count(*) FILTER (WHERE _change_type = 'update_postimage') AS updates,
       count(*) FILTER (WHERE _change_type = 'delete') AS deletes, min(_commit_version) AS first_version,
       max(_commit_version) AS last_version, min(_commit_timestamp) AS first_timestamp,
-      max(_commit_timestamp) AS last_timestamp FROM feed""",
+      max(_commit_timestamp) AS last_timestamp, max(_commit_version) - min(_commit_version) + 1 AS version_count FROM feed""",
     ("feed",),
 )
 def change_statistics(spark, sf):
@@ -517,6 +517,25 @@ def compare_states(spark, sf):
     return diff.compare_states(i.snapshot_before(spark, sf), i.snapshot_after(spark, sf))
 
 
+SIZE_SQL = """strlen(CAST(o_orderkey AS VARCHAR)) + strlen(CAST(o_custkey AS VARCHAR)) + strlen(o_orderstatus)
+  + strlen(o_orderpriority)"""
+
+
+@query(
+    "a9_compare_sizes",
+    f"""SELECT count(*) FILTER (WHERE b) AS rows_before, count(*) FILTER (WHERE NOT b) AS rows_after,
+      CAST(sum(z) FILTER (WHERE b) AS BIGINT) AS bytes_before, CAST(sum(z) FILTER (WHERE NOT b) AS BIGINT) AS bytes_after,
+      count(*) FILTER (WHERE NOT b) - count(*) FILTER (WHERE b) AS row_difference,
+      CAST(sum(CASE WHEN b THEN -z ELSE z END) AS BIGINT) AS byte_difference, false AS schema_changed
+    FROM (SELECT true AS b, {SIZE_SQL} AS z FROM snap_b UNION ALL SELECT false, {SIZE_SQL} FROM snap_a)""",
+    ("snap_b", "snap_a"),
+)
+def compare_sizes(spark, sf):
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    b, a = i.snapshot_before(spark, sf).select(*columns), i.snapshot_after(spark, sf).select(*columns)
+    return diff.compare_states(b, a, sizes=True)
+
+
 @query(
     "w3_audit_trail",
     """SELECT user_id, _commit_version, _change_type, value, row_number() OVER w AS step,
@@ -585,14 +604,15 @@ def apply_diff(spark, sf):
     return apply.apply_changes(b, ops, KEY, ["n"])
 
 
-@query("u2_changed_files", None)
+@query("u2_changed_files", "SELECT 'added' AS change, count(*) > 0 AS some FROM orders")
 def changed_files(spark, sf):
     path = lineage.scratch(spark)
     writers.append(i.snapshot_before(spark, sf), path)
     old = diff.file_listing(spark.read.parquet(path))
     old_rows = lineage.cut(old)
     writers.append(i.snapshot_after(spark, sf), path)
-    return diff.files(old_rows, diff.file_listing(spark.read.parquet(path)))
+    changed = diff.files(old_rows, diff.file_listing(spark.read.parquet(path)))
+    return changed.groupBy("change").agg((F.count("*") > 0).alias("some"))
 
 
 # histories
@@ -745,7 +765,7 @@ def snapshot_statistics(spark, sf):
     "a8_range_statistics",
     CHAIN_SQL.format(end=1175)
     + """SELECT count(*) AS snapshots, min(ts) AS first_timestamp, max(ts) AS last_timestamp,
-      round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 3) AS span_seconds FROM line WHERE snapshot_id > 1035""",
+      round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 3) AS span_seconds FROM line WHERE snapshot_id >= 1035""",
     ("snaps",),
 )
 def range_statistics(spark, sf):

@@ -36,7 +36,7 @@ def _options(fmt: str, limit: int | None, start: str, options: Mapping[str, str]
     elif fmt in FILE_FORMATS:
         out["maxFilesPerTrigger"] = str(FILES_PER_TRIGGER if limit is None else limit)
         if start == "latest":
-            out["latestFirst"] = "true"
+            raise ValueError("a folder is read from its start; use modifiedAfter or poll_by_column")
     elif limit is not None:
         out["maxFilesPerTrigger"] = str(limit)
     return {**out, **options}
