@@ -116,6 +116,25 @@ def test_apply_after_diff_gives_after(spark, seed):
     assert diff.snapshot_diff(after, after, ["id"]).isEmpty()
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_diff_by_hash_equals_diff_by_rows(spark, seed):
+    before, after = states(spark, seed)
+    rows = diff.snapshot_diff(before, after, ["id"])
+    hashed = diff.snapshot_diff(before, after, ["id"], strategy="hashes")
+    assert rows.count() > 0 and rows.exceptAll(hashed).isEmpty() and hashed.exceptAll(rows).isEmpty()
+
+
+def test_merge_latest(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.randrange(40), f"v{n}", n) for n in range(300)]
+    d = spark.createDataFrame(rows, "id long, v string, n long")
+    cut = d.filter("n % 2 = 0")
+    base = ap.latest_per_key(cut, ["id"], ["n"])
+    got = ap.merge_latest(base, d.filter("n % 2 = 1"), ["id"], ["n"])
+    want = ap.latest_per_key(d, ["id"], ["n"])
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_diff_images_and_null_values(spark):
     b = spark.createDataFrame([(1, None), (2, "x"), (3, "z")], "id long, v string")
     a = spark.createDataFrame([(1, None), (2, None), (4, "n")], "id long, v string")

@@ -147,6 +147,18 @@ def test_bucketed_scan_equals_plain_window(spark, width):
     assert plain.exceptAll(cut).count() == 0 and cut.exceptAll(plain).count() == 0
 
 
+@pytest.mark.parametrize("hot", [0, 300, 10**6])
+def test_only_hot_keys_are_cut(spark, hot):
+    d = skewed(spark)
+    cut = ordered.split_hot(d, ["k"], ordered.range_bucket("o", 100), "b", hot)
+    assert cut.count() == 6000 and {r.k for r in cut.filter("b is not null").select("k").distinct().collect()} == {
+        r.k for r in ordered.hot_keys(d, ["k"], hot).collect()}
+    steps = {"p": ordered.prior(F.col("v")), "n": ordered.position()}
+    plain = ordered.scan(d, ["k"], ["o"], steps)
+    got = ordered.scan(cut, ["k"], ["o"], steps, "b").drop("b")
+    assert plain.exceptAll(got).isEmpty() and got.exceptAll(plain).isEmpty()
+
+
 def test_scan_without_keys(spark):
     d = skewed(spark, 1000)
     got = ordered.row_position(d, [], ["o"], "n", ordered.range_bucket("o", 37))

@@ -72,10 +72,10 @@ def total_of_pieces(prefix: str) -> Column:
     return (parts[0] + parts[1] + parts[2]).cast(TOTAL_TYPE)
 
 
-def row_hash(columns: Sequence[str]) -> Column:
-    """64-bit hash of the typed values, for comparing rows inside Spark. Nulls are marked, as the hash
-    function itself passes over them."""
-    nulls = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+def row_hash(columns: Sequence[str], salt: str = "") -> Column:
+    """64-bit hash of the typed values, for comparing rows inside Spark; another ``salt`` gives another
+    hash. Nulls are marked, as the hash function itself passes over them."""
+    nulls = F.concat(F.lit(salt), *[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
     return F.xxhash64(nulls, *[F.col(c) for c in columns])
 
 

@@ -6,6 +6,9 @@ A plain window puts all rows of a key into one task. Here the rows of a key are
 on a summary with one row per (key, bucket) and joined back. Without ``bucket`` the plain window
 is used, which is right when the rows per key are known to be few.
 
+A null bucket means the key is not cut. ``split_hot`` sets the bucket for hot keys only, so that the
+summary is as small as the hot keys' number of buckets and all other keys are scanned as usual.
+
 Keys must not be null: send such rows to the dead-letter side first (``envelope.split_invalid``).
 """
 
@@ -31,6 +34,30 @@ def range_bucket(number: str | Column, width: int) -> Column:
     return F.floor(col(number) / F.lit(width))
 
 
+# Rows of one key that a single task can still put in order with ease.
+HOT_ROWS = 1_000_000
+# No more keys than this can be hot, whatever the data.
+MAX_HOT_KEYS = 100_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``rows`` rows and more than their share of 1 / MAX_HOT_KEYS of all rows, so
+    there are at most MAX_HOT_KEYS of them."""
+    share = df.select((F.count("*") / F.lit(MAX_HOT_KEYS)).alias("s")).scalar()
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    return per_key.filter(F.col("__n") > F.greatest(F.lit(float(rows)), share)).select(*keys)
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], bucket: Column, name: str, rows: int = HOT_ROWS) -> DataFrame:
+    """Add the bucket column ``name``: the bucket for rows of hot keys, null for all others.
+
+    Costs a count per key, which reads the key columns only and combines map-side. The hot keys are
+    broadcast, so ``df`` is not shuffled for this; MAX_HOT_KEYS bounds their number.
+    """
+    hot = F.broadcast(hot_keys(df, keys, rows).withColumn("__hot", F.lit(True)))
+    return df.join(hot, list(keys), "left").withColumn(name, F.when(F.col("__hot"), bucket)).select(*df.columns, name)
+
+
 def _window(keys: Sequence[str], order_by: Sequence[str | Column]):
     return Window.partitionBy(*keys).orderBy(*[col(o) for o in order_by])
 
@@ -112,7 +139,7 @@ def scan(
     inner = _window([*keys, b], order_by)
     here = {f"{_LOCAL}{n}": s.local(inner) for n, s in enumerate(steps.values())}
     scanned = cut.withColumns({**here, _FIRST: F.row_number().over(inner) == 1})
-    edges = cut.groupBy(*keys, b).agg(*[s.summary(order_by).alias(f"__edge{n}") for n, s in enumerate(steps.values())])
+    edges = cut.filter(F.col(b).isNotNull()).groupBy(*keys, b).agg(*[s.summary(order_by).alias(f"__edge{n}") for n, s in enumerate(steps.values())])
     outer = _window(keys, [b])
     carried = edges.select(
         *keys, b, *[s.carry(F.col(f"__edge{n}"), outer).alias(f"{_CARRY}{n}") for n, s in enumerate(steps.values())]

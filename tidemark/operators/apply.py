@@ -93,6 +93,19 @@ def _merge(base: DataFrame, last: DataFrame, keys: Sequence[str], columns: Seque
     return kept.select(*out, flag.alias("is_deleted"))
 
 
+def merge_latest(base: DataFrame, newer: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Last row per key over a base with one row per key and further changes.
+
+    Base rows without changes pass through: when the changed keys are few enough for Spark to broadcast
+    them, the base is not shuffled. Only contested keys are put in order.
+    """
+    last = latest_per_key(newer, keys, order_by)
+    touched = last.select(*keys)
+    untouched = base.join(touched, list(keys), "left_anti")
+    contested = base.join(touched, list(keys), "left_semi").unionByName(last)
+    return untouched.unionByName(latest_per_key(contested, keys, order_by).select(*untouched.columns))
+
+
 def upsert(base: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with a known key replace it, the others are added; ``rows`` has one row per key."""
     return base.join(rows.select(*keys), list(keys), "left_anti").unionByName(rows.select(*base.columns))

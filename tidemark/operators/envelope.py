@@ -219,17 +219,21 @@ def add_before(
     columns: Sequence[str],
     op: str = "op",
     bucket: Column | None = None,
+    hot_rows: int = ordered.HOT_ROWS,
 ) -> DataFrame:
     """Add ``before``: the image the key had ahead of an update or delete, null when it had none.
 
-    ``bucket`` (a column rising with the order, see ``functions.ordered``) keeps a hot key parallel.
+    ``bucket`` (a column rising with the order, see ``functions.ordered``) keeps keys with more than
+    ``hot_rows`` rows parallel.
     """
+    kept = changes.columns
+    if bucket is not None:
+        changes = ordered.split_hot(changes, keys, bucket, "__cut", hot_rows)
     image = F.struct(F.col(op).alias("__op"), *[F.col(c) for c in columns])
-    d = ordered.previous(changes, keys, order_by, image, "__prev", bucket)
+    d = ordered.previous(changes, keys, order_by, image, "__prev", None if bucket is None else "__cut")
     had_row = F.col(op).isin("u", "d") & (F.col("__prev.__op") != "d")
-    return d.withColumn("before", F.when(had_row, F.struct(*[F.col(f"__prev.{c}").alias(c) for c in columns]))).drop(
-        "__prev"
-    )
+    old = F.struct(*[F.col(f"__prev.{c}").alias(c) for c in columns])
+    return d.select(*kept, F.when(had_row, old).alias("before"))
 
 
 def dedupe(events: DataFrame, id_columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:

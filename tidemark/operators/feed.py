@@ -284,13 +284,20 @@ def table_info(feed: DataFrame, keys: Sequence[str], partition_columns: Sequence
 
 
 def audit_trail(
-    feed: DataFrame, keys: Sequence[str], measure: str, bucket: Column | None = None
+    feed: DataFrame, keys: Sequence[str], measure: str, bucket: Column | None = None, hot_rows: int = ordered.HOT_ROWS
 ) -> DataFrame:
-    """Every state a key went through, in order, with the change of ``measure`` since the last one."""
+    """Every state a key went through, in order, with the change of ``measure`` since the last one.
+
+    ``bucket`` (rising with the version) keeps keys with more than ``hot_rows`` changes parallel.
+    """
     rows = _after_images(feed)
+    kept = rows.columns
+    if bucket is not None:
+        rows = ordered.split_hot(rows, keys, bucket, "__cut", hot_rows)
     value = F.when(F.col(CHANGE_TYPE) != DELETE, F.col(measure))
     steps = {"step": ordered.position(), "previous_value": ordered.prior(value)}
-    return ordered.scan(rows, keys, [VERSION], steps, bucket).withColumn("delta", value - F.col("previous_value"))
+    out = ordered.scan(rows, keys, [VERSION], steps, None if bucket is None else "__cut")
+    return out.select(*kept, *steps, (value - F.col("previous_value")).alias("delta"))
 
 
 def expire(feed: DataFrame, keys: Sequence[str], before: datetime) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import ordered
 from tidemark.operators import envelope, feed, history, schema
 
 ROW = T.StructType(
@@ -173,7 +172,7 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
 
 def with_before(spark: SparkSession, sf: str) -> DataFrame:
     return envelope.add_before(
-        changes(spark, sf), KEYS, ORDER, ROW.names, bucket=ordered.day_bucket("ts")
+        changes(spark, sf), KEYS, ORDER, ROW.names, bucket=F.date_trunc("hour", F.col("ts"))
     )
 
 

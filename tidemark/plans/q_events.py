@@ -596,7 +596,7 @@ def batches(spark, sf):
     from tidemark.operators import feed
 
     d = feed.batched(
-        i.read(spark, sf, "events").select("event_id", "ts"), i.ORDER, 1000, F.date_trunc("hour", F.col("ts"))
+        i.read(spark, sf, "events").select("event_id", "ts"), i.ORDER, 1000, F.date_trunc("minute", F.col("ts"))
     )
     return d.groupBy("batch_id").agg(
         F.count("*").alias("rows"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")

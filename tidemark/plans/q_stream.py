@@ -169,8 +169,8 @@ def sliding_counts(spark, sf):
         SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)) GROUP BY user_id, s""",
 )
 def sessions(spark, sf):
-    day = F.date_trunc("day", F.col("ts"))
-    d = streams.sessions(i.read(spark, sf, "events"), "ts", ["user_id"], "6 hours", bucket=day)
+    hour = F.date_trunc("hour", F.col("ts"))
+    d = streams.sessions(i.read(spark, sf, "events"), "ts", ["user_id"], "6 hours", bucket=hour)
     return d.withColumns({"session_start": i.wall("session_start"), "session_end": i.wall("session_end")})
 
 

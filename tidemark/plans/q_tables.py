@@ -591,6 +591,19 @@ def snapshot_diff(spark, sf):
     return d.select("o_orderkey", "o_totalprice", "o_orderstatus", "_change_type")
 
 
+@query(
+    "j4_snapshot_diff_by_hash",
+    """SELECT kind || CASE WHEN kind = 'update' THEN s ELSE '' END AS change, count(*) AS "rows"
+    FROM diff, (VALUES ('_preimage'), ('_postimage')) t(s) WHERE kind = 'update' OR (kind IS NOT NULL AND s = '_preimage')
+    GROUP BY 1""",
+    ("diff",),
+)
+def snapshot_diff_by_hash(spark, sf):
+    """The same difference, found by hash before any row is joined."""
+    d = diff.snapshot_diff(i.snapshot_before(spark, sf), i.snapshot_after(spark, sf), KEY, strategy="hashes")
+    return d.groupBy(F.col("_change_type").alias("change")).agg(F.count("*").alias("rows"))
+
+
 @query(
     "j1_apply_diff_gives_after",
     "SELECT * FROM snap_a",
@@ -674,7 +687,7 @@ def snapshot_before_first(spark, sf):
 )
 def version_of_each_event(spark, sf):
     probes = i.read(spark, sf, "events").select("event_id", "ts")
-    return history.as_of_many(probes, i.versions(spark, sf), "ts", ["event_id"], "hour").select("event_id", "version")
+    return history.as_of_many(probes, i.versions(spark, sf), "ts", ["event_id"], "minute").select("event_id", "version")
 
 
 @query("h7_snapshot_info", "SELECT * FROM snaps WHERE snapshot_id = 1140", ("snaps",))

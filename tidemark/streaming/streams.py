@@ -73,10 +73,11 @@ def _state(spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequen
     delta = spark.read.parquet(f"{root}/delta")
     folded = writers.versions(spark, f"{root}/base")
     if folded:
-        newer = delta.filter(F.col("batch_id") > folded[-1]).drop("batch_id")
-        delta = writers.read_version(spark, f"{root}/base", folded[-1]).unionByName(newer)
-    else:
-        delta = delta.drop("batch_id")
+        base = writers.read_version(spark, f"{root}/base", folded[-1])
+        delta = delta.filter(F.col("batch_id") > folded[-1])
+    delta = delta.drop("batch_id")
+    if folded:
+        return ap.merge_latest(base, delta, keys, order_by)
     return ap.latest_per_key(delta, keys, order_by)
 
 
@@ -132,13 +133,14 @@ def counts(
 
 
 def sessions(
-    events: DataFrame, ts: str, by: Sequence[str], gap: str, delay: str | None = None, bucket: Column | None = None
+    events: DataFrame, ts: str, by: Sequence[str], gap: str, delay: str | None = None, bucket: Column | None = None,
+    hot_rows: int = ordered.HOT_ROWS,
 ) -> DataFrame:
     """Bursts of activity per group, ended by a pause of ``gap``.
 
-    In a batch, ``bucket`` (a column rising with time, such as the day) keeps a hot group parallel: the
-    start of each session is carried along in an ordered scan and the rows are then counted per start,
-    combined map-side.
+    In a batch, ``bucket`` (a column rising with time, such as the hour) keeps groups with more than
+    ``hot_rows`` rows parallel: the start of each session is carried along in an ordered scan and the
+    rows are then counted per start, combined map-side.
     """
     if events.isStreaming or bucket is None:
         if delay is not None and events.isStreaming:
@@ -146,7 +148,8 @@ def sessions(
         out = events.groupBy(F.session_window(F.col(ts), gap).alias("w"), *by).agg(F.count("*").alias("events"))
         return out.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "events")
     pause = F.expr(f"interval {gap}")
-    rows = events.select(*by, F.col(ts).alias("__ts"), bucket.alias("__cut"))
+    rows = events.select(*by, F.col(ts).alias("__ts"), bucket.alias("__bucket"))
+    rows = ordered.split_hot(rows, by, F.col("__bucket"), "__cut", hot_rows).drop("__bucket")
     with_prev = ordered.scan(rows, by, ["__ts"], {"__prev": ordered.prior(F.col("__ts"))}, "__cut")
     opens = F.col("__prev").isNull() | (F.col("__ts") >= F.col("__prev") + pause)
     start = ordered.known(F.when(opens, F.col("__ts")))
