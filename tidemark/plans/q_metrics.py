@@ -34,20 +34,20 @@ def lag_check(spark, sf):
     return d.withColumn("percent_of_threshold", F.round("percent_of_threshold", 6))
 
 
-BATCH_SQL = """SELECT event_type, count(value) AS events, round(avg(value), 6) AS avg_lag, min(value) AS min_lag, max(value) AS max_lag,
+BATCH_SQL = """SELECT event_type, count(value) AS events, round(avg(value), 9) AS avg_lag, min(value) AS min_lag, max(value) AS max_lag,
   CASE WHEN max(value) <= 350 THEN 'passed' ELSE 'failed' END AS status FROM events GROUP BY 1"""
 
 
 @query("l3_batch_lag", BATCH_SQL)
 def batch_lag(spark, sf):
     d = lag.batch(i.read(spark, sf, "events"), "value", ["event_type"], 350.0)
-    return d.withColumn("avg_lag", F.round("avg_lag", 6))
+    return d.withColumn("avg_lag", F.round("avg_lag", 9))
 
 
 @query("a11_lag_summary", BATCH_SQL.replace("event_type, ", "").replace(" GROUP BY 1", ""))
 def lag_summary(spark, sf):
     d = lag.batch(i.read(spark, sf, "events"), "value", threshold=350.0)
-    return d.withColumn("avg_lag", F.round("avg_lag", 6))
+    return d.withColumn("avg_lag", F.round("avg_lag", 9))
 
 
 @query(
@@ -62,7 +62,7 @@ def staleness(spark, sf):
 
 @query(
     "l5_lag_trend",
-    """SELECT event_type, window_start, samples, round(slope, 6) AS slope_per_minute, round(a, 6) AS avg_lag, lo AS min_lag, hi AS max_lag,
+    """SELECT event_type, window_start, samples, round(slope, 6) AS slope_per_minute, round(a, 9) AS avg_lag, lo AS min_lag, hi AS max_lag,
       CASE WHEN slope > 1e-9 THEN 'increasing' WHEN slope < -1e-9 THEN 'decreasing' ELSE 'stable' END AS direction FROM (
       SELECT event_type, time_bucket(INTERVAL '6 hours', ts) AS window_start, count(*) AS samples, avg(value) AS a,
         min(value) AS lo, max(value) AS hi,
@@ -71,7 +71,7 @@ def staleness(spark, sf):
 def lag_trend(spark, sf):
     d = lag.trend(i.read(spark, sf, "events"), "ts", "value", "6 hours", ["event_type"])
     return d.withColumns(
-        {"slope_per_minute": F.round("slope_per_minute", 6), "avg_lag": F.round("avg_lag", 6), "window_start": i.wall("window_start")}
+        {"slope_per_minute": F.round("slope_per_minute", 6), "avg_lag": F.round("avg_lag", 9), "window_start": i.wall("window_start")}
     )
 
 

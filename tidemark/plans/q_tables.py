@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions import lineage
-from tidemark.operators import apply, diff, envelope, feed, history
+from tidemark.operators import apply, diff, envelope, feed, history, schema
 from tidemark.plans import inputs as i
 from tidemark.plans.catalog import query
 from tidemark.sinks import writers
@@ -173,13 +173,19 @@ def bounded_batch(spark, sf):
 
 @query(
     "s19_feed_schema",
-    """SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
-      ('o_totalprice', 'double'), ('o_orderdate', 'timestamp_ntz'), ('o_orderpriority', 'string'),
-      ('_change_type', 'string'), ('_commit_version', 'bigint'), ('_commit_timestamp', 'timestamp')) t("column", "type")""",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'insert' AS _change_type,
+      CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS _commit_version,
+      o_orderdate AS _commit_timestamp FROM orders""",
 )
 def feed_schema(spark, sf):
-    fields = feed.schema_of(i.read(spark, sf, "orders").select(*i.ORDER_ROW)).fields
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields], "column string, type string")
+    """The whole table as the first load of its feed, in the feed's schema."""
+    o = i.read(spark, sf, "orders").select(*i.ORDER_ROW)
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
+    load = o.withColumns(
+        {"_commit_timestamp": F.col("o_orderdate"), "_commit_version": day.cast("string"), "_change_type": F.lit(feed.INSERT)}
+    )
+    d = schema.conform(load, feed.schema_of(o))
+    return d.withColumn("_commit_timestamp", i.wall("_commit_timestamp"))
 
 
 # table mutation
