@@ -186,29 +186,38 @@ def ledger(changes: DataFrame) -> DataFrame:
     )
 
 
+# How the types of JSON values are named; other ones (texts, lists, objects) are VARCHAR.
 def _value_type(v: Column) -> Column:
+    kind = F.schema_of_variant(v)
     return (
-        F.when(v.isin("true", "false"), "BOOLEAN")
-        .when(v.try_cast("bigint").isNotNull(), "BIGINT")
-        .when(v.try_cast("double").isNotNull(), "DOUBLE")
-        .otherwise("VARCHAR")
+        F.when(kind == "BOOLEAN", "BOOLEAN")
+        .when(kind == "BIGINT", "BIGINT")
+        .when((kind == "DOUBLE") | kind.startswith("DECIMAL"), "DOUBLE")
+        .when(kind != "VOID", "VARCHAR")
     )
 
 
 def _fields(events: DataFrame, json_text: str, keep: Sequence[str | Column]) -> DataFrame:
-    # the outer form: the inner one would parse the text once more to test for empty maps
-    entries = F.from_json(F.col(json_text), "map<string,string>")
-    found = events.select(*keep, F.explode_outer(entries).alias("column", "value"))
+    """One row per field of each JSON object: the kept columns, ``column`` and ``value`` (a variant).
+
+    The values keep their JSON type, so no text is cast to find it. Text that is not JSON has no fields.
+    """
+    rows = events.select(*keep, F.try_parse_json(F.col(json_text)).alias("__doc"))
+    names = ", ".join(f"d.`{c}`" for c in rows.columns if c != "__doc")
+    found = events.sparkSession.sql(
+        f"SELECT {names}, e.key AS column, e.value FROM {{rows}} AS d, LATERAL variant_explode_outer(d.__doc) AS e",
+        rows=rows,
+    )
     return found.filter(F.col("column").isNotNull())
 
 
 def observed(events: DataFrame, json_text: str, table: str | Column, version: str | Column) -> DataFrame:
     """Schema seen in JSON rows per table and version: the widest type of each field's values."""
     keep = [col(table).alias("table"), col(version).alias("version")]
-    f = _fields(events, json_text, keep).filter(F.col("value").isNotNull())
+    f = _fields(events, json_text, keep).select("table", "version", "column", _value_type(F.col("value")).alias("type"))
     order = F.array(*[F.lit(t) for t in OBSERVED])
-    widest = F.max(F.array_position(order, _value_type(F.col("value"))))
-    out = f.groupBy("table", "version", "column").agg(widest.alias("r"))
+    seen = f.filter(F.col("type").isNotNull())
+    out = seen.groupBy("table", "version", "column").agg(F.max(F.array_position(order, F.col("type"))).alias("r"))
     return out.select("table", "version", "column", F.element_at(order, F.col("r").cast("int")).alias("type"))
 
 
