@@ -47,6 +47,18 @@ def test_checksum_of_repeated_and_null_keys(spark):
     assert (r.status, r.failures) == ("failed", 1)
 
 
+def test_reconcile(spark):
+    a = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (3, "c")], "id long, v string")
+    b = spark.createDataFrame([(1, "a"), (2, "x"), (4, "d"), (3, "c"), (3, "c")], "id long, v string")
+    got = {r.validator: (r.status, r.failures) for r in q.reconcile(a, b, ["id"], tolerance=1).collect()}
+    assert got == {
+        "row_count": ("passed", 1), "checksum": ("failed", 2), "missing_keys": ("passed", 0), "extra_keys": ("failed", 1),
+        "unique_source_key": ("failed", 1), "unique_destination_key": ("failed", 1),
+    }
+    same = q.reconcile(a.limit(0), a.limit(0), ["id"]).collect()
+    assert {r.status for r in same} == {"passed"} and len(same) == 6
+
+
 def test_dataset_checksum_is_additive_and_order_free(spark):
     a = rows(spark, 1000)
     whole = q.dataset_checksum(a).first()

@@ -81,7 +81,8 @@ def iso_date(c: str | Column) -> Column:
 
 
 def to_int(c: str | Column) -> Column:
-    return F.trim(col(c)).try_cast("bigint")
+    text = F.trim(col(c))
+    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
 
 
 def to_float(c: str | Column) -> Column:

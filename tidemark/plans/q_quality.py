@@ -301,6 +301,21 @@ def validation_suite(spark, sf):
     return quality.run(spark, _suite(spark, sf)).select("validator", "status")
 
 
+@query(
+    "v11_reconcile",
+    f"""SELECT validator, CASE WHEN failures > 0 THEN 'failed' ELSE 'passed' END AS status, checked, failures, expected, actual FROM (
+      SELECT 'row_count' AS validator, b AS checked, abs(b - a) AS failures, b AS expected, a AS actual FROM n
+      UNION ALL SELECT 'checksum', b, (SELECT count(*) FROM diff WHERE kind IS NOT NULL), b, a FROM n
+      UNION ALL SELECT 'missing_keys', b, (SELECT count(*) FROM diff WHERE kind = 'delete'), NULL, NULL FROM n
+      UNION ALL SELECT 'extra_keys', a, (SELECT count(*) FROM diff WHERE kind = 'insert'), NULL, NULL FROM n
+      UNION ALL SELECT 'unique_source_key', b, 0, NULL, NULL FROM n
+      UNION ALL SELECT 'unique_destination_key', a, 0, NULL, NULL FROM n)""".replace("FROM n", f"FROM (SELECT {B} AS b, {A} AS a)"),
+    ("diff",),
+)
+def reconcile(spark, sf):
+    return quality.reconcile(i.snapshot_before(spark, sf), i.snapshot_after(spark, sf), KEY)
+
+
 @query(
     "v12_fail_fast",
     f"SELECT * FROM ({SUITE_SQL}) WHERE validator IN ('row_count', 'checksum')",
