@@ -72,6 +72,15 @@ def test_bucketed_feed_is_the_same(spark, case):
     assert cut.exceptAll(f).isEmpty() and f.exceptAll(cut).isEmpty()
 
 
+def test_commit_time_from_the_log(spark, case):
+    log, f = case
+    ends = {v: max(r[5] for r in log if r[4] == v) for v in range(12)}
+    times = spark.createDataFrame(list(ends.items()), "ver long, done timestamp_ntz")
+    d = spark.createDataFrame(log, LOG).join(times, "ver")
+    got = feed.from_changes(d, ["id"], ["v"], ["n"], "ver", "ts", committed="done")
+    assert got.exceptAll(f).isEmpty() and f.exceptAll(got).isEmpty()
+
+
 def test_incremental_is_the_state_difference(case):
     log, f = case
     for lo, hi in [(2, 6), (0, 11), (7, 8)]:

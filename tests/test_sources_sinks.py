@@ -95,6 +95,21 @@ def test_tables_come_and_go(spark, folder):
     assert not spark.catalog.tableExists("shop_db.t1")
 
 
+def test_bucketed_table_is_not_shuffled_again(spark, folder):
+    from tidemark.operators import apply as ap
+
+    base = spark.range(1000).selectExpr("id", "cast(id as string) v")
+    writers.save_bucketed(base, "bucketed_base", ["id"], 8, path=folder())
+    assert len(glob.glob(folder() + "/*.parquet")) == 8
+    table = spark.table("bucketed_base")
+    c = spark.createDataFrame([(5, "x", "u", 1), (7, None, "d", 2), (2000, "n", "c", 3)], "id long, v string, op string, n long")
+    got = ap.apply_changes(table, c, ["id"], ["n"], strategy="merge")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
+    assert got.count() == 1000 and {r.v for r in got.filter("id in (5, 7, 2000)").collect()} == {"x", "n"}
+    writers.drop_table(spark, "bucketed_base")
+
+
 def test_file_changes(spark, folder):
     spark.range(10).coalesce(1).write.parquet(folder())
     old = lineage.cut(diff.file_listing(spark.read.parquet(folder())))

@@ -46,14 +46,16 @@ def from_changes(
     ts: str,
     op: str = "op",
     bucket: Column | None = None,
+    committed: str | None = None,
 ) -> DataFrame:
     """Build the feed from an ordered change log cut into commits by ``version``.
 
     The log is first collapsed to one change per key and version; only that is put in order per key.
-    The commit time is the last event time of the version.
+    The commit time is the last event time of the version, joined by version; a log that has its commit
+    time in a column (``committed``) needs no join.
     """
     wanted = list(dict.fromkeys([*keys, *columns]))
-    needed = list(dict.fromkeys([*wanted, *order_by, version, ts, op]))
+    needed = list(dict.fromkeys([*wanted, *order_by, version, op, committed or ts]))
     last = latest_per_key(changes.select(*needed), [*keys, version], order_by)
     row = F.struct(*wanted)
     state = F.struct(F.col(op).alias("o"), row.alias("r"))
@@ -70,8 +72,11 @@ def from_changes(
         .when(had & ~gone, F.array(entry(PRE, old), entry(POST, row)))
         .when(had & gone, F.array(entry(DELETE, old)))
     )
-    out = with_prev.select(F.col(version).cast("bigint").alias(VERSION), F.explode(entries).alias("e"))
-    out = out.select("e.r.*", F.col("e.t").alias(CHANGE_TYPE), VERSION)
+    at = [F.col(committed).alias(TIMESTAMP)] if committed else []
+    out = with_prev.select(F.col(version).cast("bigint").alias(VERSION), *at, F.explode(entries).alias("e"))
+    out = out.select("e.r.*", F.col("e.t").alias(CHANGE_TYPE), VERSION, *[TIMESTAMP for _ in at])
+    if committed:
+        return out.select(*wanted, *META)
     commits = changes.groupBy(F.col(version).cast("bigint").alias(VERSION)).agg(F.max(ts).alias(TIMESTAMP))
     return out.join(commits, VERSION).select(*wanted, *META)
 

@@ -291,6 +291,22 @@ UPSERT_SQL = """SELECT * FROM snap_a UNION ALL
   SELECT b.* FROM snap_b b WHERE b.o_orderkey NOT IN (SELECT o_orderkey FROM snap_a)"""
 
 
+@query(
+    "k8_apply_changes_bucketed",
+    """SELECT * FROM snap_a""",
+    ("snap_a",),
+)
+def apply_changes_bucketed(spark, sf):
+    """The old state is a table bucketed by its key; only the changes are shuffled to it."""
+    b, a = i.snapshot_before(spark, sf), i.snapshot_after(spark, sf)
+    name = "tidemark_k8_orders"
+    writers.drop_table(spark, name)
+    writers.save_bucketed(b, name, KEY, 8, path=lineage.scratch(spark))
+    d = diff.snapshot_diff(b, a, KEY, images=False)
+    ops = d.withColumn("op", F.when(F.col("_change_type") == "delete", "d").otherwise("u")).withColumn("n", F.lit(1))
+    return apply.apply_changes(spark.table(name), ops, KEY, ["n"], strategy="merge")
+
+
 @query("k9_upsert", UPSERT_SQL, ("snap_b", "snap_a"))
 def upsert(spark, sf):
     return apply.upsert(i.snapshot_before(spark, sf), i.snapshot_after(spark, sf), KEY)

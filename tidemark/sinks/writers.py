@@ -78,6 +78,16 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str
     writer.saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, fmt: str = "parquet") -> None:
+    """Save a table that is changed again and again, bucketed and sorted by its key: joins and
+    aggregations on the key (``apply_changes(strategy="merge")``, differences, checks) then shuffle only
+    the other side. Rows are brought to their bucket first, so each bucket is one file."""
+    writer = df.repartition(buckets, *keys).write.format(fmt).mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
