@@ -161,5 +161,7 @@ def test_only_hot_keys_are_cut(spark, hot):
 
 def test_scan_without_keys(spark):
     d = skewed(spark, 1000)
+    with pytest.raises(ValueError):
+        ordered.row_position(d, [], ["o"], "n")
     got = ordered.row_position(d, [], ["o"], "n", ordered.range_bucket("o", 37))
     assert got.filter(F.col("n") != F.col("o") + 1).count() == 0

@@ -159,7 +159,11 @@ def test_sessions_of_a_hot_group(spark):
         F.when(i % 3 == 0, 0).otherwise(i % 17).alias("g"),
         F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.xxhash64(i), F.lit(400000))).alias("at"),
     )
-    plain = streams.sessions(d, "at", ["g"], "20 minutes")
+    w = F.session_window("at", "20 minutes").alias("w")
+    plain = d.groupBy(w, "g").agg(F.count("*").alias("events"))
+    plain = plain.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "g", "events")
+    whole = streams.sessions(d.drop("g"), "at", [], "20 seconds")
+    assert whole.agg(F.sum("events")).first()[0] == 3000
     for unit in ("hour", "day"):
         cut = streams.sessions(d, "at", ["g"], "20 minutes", bucket=F.date_trunc(unit, F.col("at")), hot_rows=200)
         assert cut.exceptAll(plain).isEmpty() and plain.exceptAll(cut).isEmpty()

@@ -48,6 +48,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFr
     return per_key.filter(F.col("__n") > F.greatest(F.lit(float(rows)), share)).select(*keys)
 
 
+def default_bucket(df: DataFrame, order_by: Sequence[str]) -> Column | None:
+    """The hour, when the rows are ordered by a time first; None when nothing is known of the order."""
+    timed = df.schema[order_by[0]].dataType.typeName() in ("timestamp", "timestamp_ntz")
+    return F.date_trunc("hour", F.col(order_by[0])) if timed else None
+
+
 def split_hot(df: DataFrame, keys: Sequence[str], bucket: Column, name: str, rows: int = HOT_ROWS) -> DataFrame:
     """Add the bucket column ``name``: the bucket for rows of hot keys, null for all others.
 
@@ -132,6 +138,8 @@ def scan(
     finds the rows already in place and does not shuffle again.
     """
     if bucket is None:
+        if not keys:
+            raise ValueError("one order over all rows needs a bucket")
         w = _window(keys, order_by)
         return df.withColumns({name: s.local(w) for name, s in steps.items()})
     b = bucket if isinstance(bucket, str) else _B

@@ -224,9 +224,10 @@ def add_before(
     """Add ``before``: the image the key had ahead of an update or delete, null when it had none.
 
     ``bucket`` (a column rising with the order, see ``functions.ordered``) keeps keys with more than
-    ``hot_rows`` rows parallel.
+    ``hot_rows`` rows parallel; it is the hour unless given, if the order starts with a time.
     """
     kept = changes.columns
+    bucket = ordered.default_bucket(changes, order_by) if bucket is None else bucket
     if bucket is not None:
         changes = ordered.split_hot(changes, keys, bucket, "__cut", hot_rows)
     image = F.struct(F.col(op).alias("__op"), *[F.col(c) for c in columns])

@@ -206,11 +206,11 @@ def latest_snapshots(feed: DataFrame, keys: Sequence[str], n: int = 1) -> DataFr
     return net(latest_versions(feed, n), keys).filter(F.col("kind") != "delete").select("a.*")
 
 
-def batched(df: DataFrame, order_by: Sequence[str], size: int, bucket: Column | None = None) -> DataFrame:
+def batched(df: DataFrame, order_by: Sequence[str], size: int, bucket: Column) -> DataFrame:
     """Add ``batch_id``: consecutive batches of ``size`` rows in a total order.
 
-    With ``bucket`` (rising with the order) the rows are numbered per bucket in parallel and only one
-    count per bucket is summed up in a single task.
+    The rows are numbered per ``bucket`` (rising with the order) in parallel; only one count per bucket
+    is summed up in a single task.
     """
     numbered = ordered.row_position(df, [], order_by, "__pos", bucket)
     return numbered.withColumn("batch_id", F.floor((F.col("__pos") - 1) / F.lit(size)).cast("bigint")).drop("__pos")
@@ -293,15 +293,16 @@ def audit_trail(
 ) -> DataFrame:
     """Every state a key went through, in order, with the change of ``measure`` since the last one.
 
-    ``bucket`` (rising with the version) keeps keys with more than ``hot_rows`` changes parallel.
+    ``bucket`` (rising with the version; ranges of 10,000 versions unless given) keeps keys with more
+    than ``hot_rows`` changes parallel.
     """
+    bucket = ordered.range_bucket(VERSION, 10_000) if bucket is None else bucket
     rows = _after_images(feed)
     kept = rows.columns
-    if bucket is not None:
-        rows = ordered.split_hot(rows, keys, bucket, "__cut", hot_rows)
+    rows = ordered.split_hot(rows, keys, bucket, "__cut", hot_rows)
     value = F.when(F.col(CHANGE_TYPE) != DELETE, F.col(measure))
     steps = {"step": ordered.position(), "previous_value": ordered.prior(value)}
-    out = ordered.scan(rows, keys, [VERSION], steps, None if bucket is None else "__cut")
+    out = ordered.scan(rows, keys, [VERSION], steps, "__cut")
     return out.select(*kept, *steps, (value - F.col("previous_value")).alias("delta"))
 
 

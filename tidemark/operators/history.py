@@ -82,19 +82,18 @@ def as_of(history: DataFrame, ts: datetime, earliest_if_before: bool = False) ->
 
 
 def as_of_many(
-    probes: DataFrame, history: DataFrame, at: str, order_by: Sequence[str], bucket: str | None = "day"
+    probes: DataFrame, history: DataFrame, at: str, order_by: Sequence[str], unit: str = "minute"
 ) -> DataFrame:
     """Add the version in force at each probe's time.
 
-    Probes and versions are put into one time order and the last version is carried on, day by day in
-    parallel: no range join, and the history is not broadcast.
+    Probes and versions are put into one time order and the last version is carried on, unit by unit of
+    time in parallel: no range join, and the history is not broadcast.
     """
     name = _id(history)
     ts_type = probes.schema[at].dataType
     marks = history.select(F.col("timestamp").cast(ts_type).alias(at), F.col(name), F.lit(0).alias("__kind"))
     both = probes.withColumn("__kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
-    cut_by = F.date_trunc(bucket, F.col(at)) if bucket else None
-    known = ordered.last_known(both, [], [at, "__kind", *order_by], F.col(name), "__v", cut_by)
+    known = ordered.last_known(both, [], [at, "__kind", *order_by], F.col(name), "__v", F.date_trunc(unit, F.col(at)))
     return known.filter(F.col("__kind") == 1).drop("__kind", name).withColumnRenamed("__v", name)
 
 

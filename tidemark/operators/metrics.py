@@ -79,16 +79,14 @@ def sustained(
     """Stretches in which the condition held without a break for at least ``seconds``.
 
     ``samples`` has one row per group and time. Islands are numbered by a running count of the samples
-    that break the condition; ``bucket`` keeps that parallel for a long series.
+    that break the condition; ``bucket`` (the day unless given) keeps that parallel for a long series.
     """
+    bucket = F.date_trunc("day", F.col(ts)) if bucket is None else bucket
     cond = F.expr(condition) if isinstance(condition, str) else condition
     holds = F.coalesce(cond, F.lit(False))
-    flagged = samples.select(*by, F.col(ts).alias("__ts"), holds.alias("__on"))
-    cut_by = None if bucket is None else F.col("__cut")
-    if bucket is not None:
-        flagged = samples.select(*by, F.col(ts).alias("__ts"), holds.alias("__on"), bucket.alias("__cut"))
+    flagged = samples.select(*by, F.col(ts).alias("__ts"), holds.alias("__on"), bucket.alias("__cut"))
     breaks = F.when(F.col("__on"), 0).otherwise(1).cast("bigint")
-    islands = ordered.running_sum(flagged, by, ["__ts"], breaks, "__island", cut_by)
+    islands = ordered.running_sum(flagged, by, ["__ts"], breaks, "__island", "__cut")
     out = islands.filter("__on").groupBy(*by, "__island").agg(
         F.min("__ts").alias("started"), F.max("__ts").alias("ended"), F.count("*").alias("samples")
     )
@@ -99,7 +97,11 @@ def sustained(
 def increase(
     samples: DataFrame, by: Sequence[str], ts: str, counter: str, window: str = "15 minutes", bucket: Column | None = None
 ) -> DataFrame:
-    """Growth of a counter per window; a drop in value is a restart from zero."""
+    """Growth of a counter per window; a drop in value is a restart from zero.
+
+    ``bucket`` (the day unless given) keeps a long series parallel.
+    """
+    bucket = F.date_trunc("day", F.col(ts)) if bucket is None else bucket
     last = ordered.previous(samples, by, [ts], F.col(counter), "__prev", bucket)
     grown = (
         F.when(F.col("__prev").isNull(), F.lit(0))

@@ -138,18 +138,21 @@ def sessions(
 ) -> DataFrame:
     """Bursts of activity per group, ended by a pause of ``gap``.
 
-    In a batch, ``bucket`` (a column rising with time, such as the hour) keeps groups with more than
-    ``hot_rows`` rows parallel: the start of each session is carried along in an ordered scan and the
+    In a batch, ``bucket`` (a column rising with time; the hour unless given) keeps groups with more
+    than ``hot_rows`` rows parallel: the start of each session is carried along in an ordered scan and the
     rows are then counted per start, combined map-side.
     """
-    if events.isStreaming or bucket is None:
-        if delay is not None and events.isStreaming:
+    if events.isStreaming:
+        if delay is not None:
             events = events.withWatermark(ts, delay)
         out = events.groupBy(F.session_window(F.col(ts), gap).alias("w"), *by).agg(F.count("*").alias("events"))
         return out.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "events")
     pause = F.expr(f"interval {gap}")
-    rows = events.select(*by, F.col(ts).alias("__ts"), bucket.alias("__bucket"))
-    rows = ordered.split_hot(rows, by, F.col("__bucket"), "__cut", hot_rows).drop("__bucket")
+    bucket = F.date_trunc("hour", F.col(ts)) if bucket is None else bucket
+    rows = events.select(*by, F.col(ts).alias("__ts"), bucket.alias("__cut"))
+    if by:
+        whole = rows.withColumnRenamed("__cut", "__bucket")
+        rows = ordered.split_hot(whole, by, F.col("__bucket"), "__cut", hot_rows).drop("__bucket")
     with_prev = ordered.scan(rows, by, ["__ts"], {"__prev": ordered.prior(F.col("__ts"))}, "__cut")
     opens = F.col("__prev").isNull() | (F.col("__ts") >= F.col("__prev") + pause)
     start = ordered.known(F.when(opens, F.col("__ts")))
