@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality_rules, sql
+from tidemark.llm import byte_pair, discriminant, licences, mixing, personal_data, quality_rules, sql, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
+    "op2_quality_discriminant": discriminant.op2,
+    "op3_pareto_mixing": mixing.op3,
+    "op4_licence_scan": licences.op4,
+    "op6_toxicity": toxicity.op6,
+    "op7_byte_pair": byte_pair.op7,
+    "op9_personal_data": personal_data.op9,
 }
 ORACLE = {
     "op1_quality_rules": sql.OP1,
+    "op3_pareto_mixing": sql.OP3,
 }

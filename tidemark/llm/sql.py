@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm import mixing
 from tidemark.llm import quality_rules as rules
 
 ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -22,13 +23,13 @@ def quality_rules(docs: str = "documents") -> str:
     n = rules.WINDOW
     return f"""
 with d as (select row_number() over () as rid, *, coalesce(text, '') as t from {docs}),
-lists as (select rid, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as ws from d),
+lists as (select rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws from d),
 words as (select rid, unnest(ws) as w from lists),
 windows as (select rid, p, array_to_string(list_slice(ws, p, p + {n - 1}), ' ') as g from (select rid, ws, unnest(range(1, len(ws) - {n - 2})) as p from lists)),
 again as (select rid, p from (select rid, p, count(*) over (partition by rid, g) as n from windows) where n > 1),
 repeated as (select rid, count(distinct p + k) as n_repeat_words from again, range({n}) r(k) group by rid),
 lines as (select rid, count(*) - count(distinct l) as n_dup_lines from (select rid, unnest(string_split(t, chr(10))) as l from d)
-  where regexp_matches(l, '[^\\x20\\x09-\\x0D]') group by rid),
+  where regexp_matches(l, '[^\x20\x09-\x0D]') group by rid),
 base as (select d.rid, len(ws) as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint as word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
     coalesce(n_repeat_words, 0) as n_repeat_words,
@@ -58,3 +59,40 @@ select d.* exclude (rid, t), verdict.* exclude (rid) from d join verdict using (
 
 
 OP1 = f"select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from ({quality_rules()})"
+
+
+def mixing_rows(docs: str = "documents") -> str:
+    """Rows of op3 with the copies of each document, and the document's own columns, from a table or bracketed query."""
+    k, w = mixing.MOST_COPIES, mixing.WEIGHTS
+    return f"""
+with d as (select row_number() over () as rid, *, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+    ((('0x' || substr(md5(concat_ws('|', '{mixing.SEED}', coalesce(doc_id::varchar, ''), md5(coalesce(text, '')))), 1, 13))::bigint) + 0.5) / {float(2**52)} as u
+  from {docs}),
+sized as (select *, length(bin(size)) as band from d),
+sources as (select source, sum(size)::bigint as source_size from d group by source),
+weighed as (select *, [{", ".join(map(str, w))}][(row_number() over (order by source nulls last) - 1) % {len(w)} + 1] as weight from sources),
+steps as (select *, row_number() over o as number,
+    (sum(source_size) over () - {k} * coalesce(sum(source_size) over (o rows between unbounded preceding and 1 preceding), 0))::bigint as "left",
+    (sum(weight) over () - coalesce(sum(weight) over (o rows between unbounded preceding and 1 preceding), 0))::bigint as rest
+  from weighed window o as (order by source_size / weight, source nulls last)),
+final as (select "left" as l, rest as r from steps where not {k} * source_size * rest <= weight * "left" order by number limit 1),
+goals as (select source, source_size, coalesce(least({k}.0::double * source_size, (weight * l)::double / r), {k}.0::double * source_size) as target
+  from steps left join final on true),
+bands as (select source, band, sum(size)::bigint as band_size, {mixing.BAND_FROM} + band as measure from sized group by source, band),
+factors as (select b.*, source_size, target, (target - {k} * coalesce(sum(band_size) over (o rows between unbounded preceding and 1 preceding), 0))
+    / nullif(sum(band_size * measure) over (partition by b.source) - coalesce(sum(band_size * measure) over (o rows between unbounded preceding and 1 preceding), 0), 0) as c
+  from bands b join goals on b.source is not distinct from goals.source window o as (partition by b.source order by band desc)),
+filled as (select *, coalesce(c * measure >= {k}, false) as filled from factors),
+expected as (select *, least({k}.0::double, greatest(0.0, coalesce(case when filled then {k} else max(case when not filled then struct_pack(band := band, c := c) end) over (partition by source).c * measure end, 0))) as e from filled),
+rules as (select source, band, band_size, source_size, target, floor(e)::bigint as whole, e - floor(e) as p from expected),
+missing as (select source, max(target) - sum(whole * band_size) as missing from rules group by source),
+ranked as (select rid, sized.source, size, case when p > 0 and size > 0 then u * (1 - p) / (u * (1 - p) + (1 - u) * p) end as rank from sized join rules on sized.source is not distinct from rules.source and sized.band = rules.band),
+ranks as (select source, rank, sum(size) as words from ranked where rank is not null group by all),
+run as (select *, coalesce(sum(words) over (partition by source order by rank rows between unbounded preceding and 1 preceding), 0) as done from ranks),
+taken as (select run.source, rank from run join missing on run.source is not distinct from missing.source where done + words / 2 <= missing)
+select d.* exclude (rid, u), source_size, target, case when d.size > 0 then whole + (taken.rank is not null)::bigint else 0 end as copies
+from d join ranked using (rid) join rules on d.source is not distinct from rules.source and length(bin(d.size)) = rules.band
+  left join taken on d.source is not distinct from taken.source and ranked.rank = taken.rank"""
+
+
+OP3 = f"select doc_id, size, source_size, target, size * copies as taken from ({mixing_rows()})"
