@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_pair, discriminant, licences, mixing, personal_data, quality_rules, sql, toxicity
+from tidemark.llm import byte_pair, discriminant, licences, mixing, near_copies, personal_data, quality_rules, sql, top_k, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op2_quality_discriminant": discriminant.op2,
     "op3_pareto_mixing": mixing.op3,
     "op4_licence_scan": licences.op4,
+    "op5_top_k": top_k.op5,
     "op6_toxicity": toxicity.op6,
     "op7_byte_pair": byte_pair.op7,
     "op9_personal_data": personal_data.op9,
+    "op10_near_copies": near_copies.op10,
 }
 ORACLE = {
     "op1_quality_rules": sql.OP1,
