@@ -1,13 +1,22 @@
-"""A corpus pipeline over ``documents``: each stage is one operator of ``tidemark.llm``."""
+"""A corpus pipeline over ``documents``: each stage is one operator of ``tidemark.llm``.
+
+SQL can't express the near-copy join and the byte-pair encoding; the stages are tested against brute force instead.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules
+from tidemark.llm import byte_pair, mixing, near_copies, personal_data, quality_rules
 from tidemark.llm.common import table, written
 
-STAGES = [("quality rules", quality_rules.stage)]
+STAGES = [
+    ("quality rules", quality_rules.stage),
+    ("near copies", near_copies.stage),
+    ("personal data", personal_data.stage),
+    ("mixing", mixing.stage),
+    ("byte-pair encoding", byte_pair.stage),
+]
 ORACLE_SQL = None
 
 

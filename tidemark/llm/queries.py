@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_pair, discriminant, licences, mixing, near_copies, personal_data, quality_rules, sql, top_k, toxicity
+from tidemark.llm import byte_pair, chat, discriminant, licences, mixing, near_copies, personal_data, quality_rules, sql, top_k, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
@@ -12,10 +12,14 @@ QUERIES = {
     "op5_top_k": top_k.op5,
     "op6_toxicity": toxicity.op6,
     "op7_byte_pair": byte_pair.op7,
+    "op8_chat_format": chat.op8,
     "op9_personal_data": personal_data.op9,
     "op10_near_copies": near_copies.op10,
 }
 ORACLE = {
     "op1_quality_rules": sql.OP1,
     "op3_pareto_mixing": sql.OP3,
+    "op4_licence_scan": sql.OP4,
+    "op5_top_k": sql.OP5,
+    "op8_chat_format": sql.OP8,
 }

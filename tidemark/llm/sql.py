@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import mixing
+from tidemark.llm import chat, licences, mixing, top_k
 from tidemark.llm import quality_rules as rules
 
 ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -96,3 +96,45 @@ from d join ranked using (rid) join rules on d.source is not distinct from rules
 
 
 OP3 = f"select doc_id, size, source_size, target, size * copies as taken from ({mixing_rows()})"
+
+
+def licence_rows() -> str:
+    grams = ", ".join(f"({t}, '{label}', {whole}, {n}, {k}, '{g}')" for t, label, whole, n, k, g in licences.template_grams())
+    return f"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '{licences.LICENCE_WORD}') as ws from documents),
+grams(template, label, whole, grams, place, gram) as (values {grams}),
+places as (select rid, k - 1 as pos, array_to_string(list_slice(ws, k, k + {licences.K - 1}), ' ') as gram from (select rid, ws, unnest(range(1, len(ws) - {licences.K - 2})) as k from d)),
+diagonals as (select rid, template, label, whole, grams, pos - place as diagonal, count(*) as votes, min(pos) as first, max(pos) as last, list(place) as places
+  from places join grams using (gram) group by all),
+runs as (select *, sum(apart) over (partition by rid, template order by diagonal) as run from
+  (select *, coalesce((diagonal - lag(diagonal) over (partition by rid, template order by diagonal) > {licences.NEIGHBOUR})::int, 0) as apart from diagonals where not whole)),
+spans as (
+  select rid, label, whole, first as start, 1.0::double as score from diagonals where whole and votes = grams
+  union all
+  select rid, label, whole, start, covered / grams from (
+    select rid, template, label, whole, grams, run, min(first) as start, max(last) as last, len(list_distinct(flatten(list(places)))) as covered from runs group by all)
+  where covered / grams >= {licences.COVERED} and covered >= {licences.DENSE} * (last - start + 1)),
+found as (select rid, count(*) filter (where whole) as n_base, min(start) filter (where whole) as first_word, max(start) filter (where whole) as last_word,
+  string_agg(distinct label, ',' order by label) filter (where whole) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(score) as score from spans group by rid)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
+from d left join found using (rid)"""
+
+
+OP4 = licence_rows()
+
+OP5 = f"""
+with v as (select vec_id, list_transform(embedding, lambda x: floor({top_k.SCALE} * x::double)) as x from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % {top_k.QUERY_EVERY} = 0),
+r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s)
+select query_id, rank, vec_id, score from r where rank <= {top_k.K}"""
+
+OP8 = f"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, coalesce(floor(turn / {chat.STRETCH}), {chat.LAST})::bigint as part from conversations),
+n as (select *, row_number() over w as place, count(*) over (partition by conv_id) as n from t window w as (partition by conv_id order by turn nulls last, role, text)),
+p as (select *, md5(string_agg(md5(role) || md5(text), '' ) over (partition by conv_id order by place)) as h from n),
+whole as (select min(conv_id) as conv_id, n, h, count(*) as copies from p where place = n group by n, h),
+kept as (select conv_id, n as n_turns, copies from whole where not exists (select 1 from p where p.place < p.n and p.place = whole.n and p.h = whole.h))
+select n.conv_id, n.part, n_turns, copies, string_agg('{chat.OPEN}' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '{chat.CLOSE}' || chr(10), '' order by place) as text
+from n join kept on n.conv_id is not distinct from kept.conv_id group by n.conv_id, n.part, n_turns, copies"""
