@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import NULL_TEXT
-
 # Columns left out of a row checksum unless the caller says otherwise.
 DEFAULT_EXCLUDE = ("created_at", "updated_at")
+NULL_SIGN = "-"
 ALGORITHMS = ("md5", "sha1", "sha256", "xxhash64")
 SUM_TYPE = "decimal(24,0)"
 TOTAL_TYPE = "decimal(38,0)"
 
 
 def _text(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(NULL_TEXT))
+    """Length and value, or a sign that no length begins with: no two lists of values give the same text."""
+    value = c.cast("string")
+    return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit(NULL_SIGN))
 
 
 def checksum_columns(

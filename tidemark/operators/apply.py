@@ -1,7 +1,8 @@
 """Collapse change batches and apply them to tables.
 
 The order columns must be total: two events of one key may never tie. c, r and u set the row, d
-removes it, and a d for an unknown key does nothing. Keys must not be null.
+removes it, and a d for an unknown key does nothing. An event with any other op, or none, changes nothing
+(``split_by_op`` sets such events aside). Keys must not be null.
 """
 
 from __future__ import annotations
@@ -12,6 +13,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "__rank"
+# Ops that set a row, and the one that removes it.
+SETS, REMOVES = ("c", "r", "u"), "d"
+
+
+def has_op(op: str | Column) -> Column:
+    """Whether an event's op says what to do with its row."""
+    value = F.col(op) if isinstance(op, str) else op
+    return F.coalesce(value.isin(*SETS, REMOVES), F.lit(False))
+
+
+def split_by_op(changes: DataFrame, op: str = "op") -> tuple[DataFrame, DataFrame]:
+    """(events that can be applied, all others: null, truncate or unknown ops)."""
+    return changes.filter(has_op(op)), changes.filter(~has_op(op))
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
@@ -52,7 +66,8 @@ def apply_changes(
     if on_delete not in ("remove", "mark"):
         raise ValueError("on_delete is 'remove' or 'mark'")
     columns = [c for c in base.columns if c != "is_deleted"]
-    last = latest_per_key(changes.select(*columns, F.col(op).alias("__op"), *_extra(order_by, columns)), keys, order_by)
+    known = changes.filter(has_op(op)).select(*columns, F.col(op).alias("__op"), *_extra(order_by, columns))
+    last = latest_per_key(known, keys, order_by)
     if strategy == "merge":
         return _merge(base, last, keys, columns, on_delete)
     if strategy != "probe":

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import ordered
-from tidemark.operators.apply import latest_per_key
+from tidemark.operators.apply import has_op, latest_per_key
 
 CHANGE_TYPE, VERSION, TIMESTAMP = "_change_type", "_commit_version", "_commit_timestamp"
 META = (CHANGE_TYPE, VERSION, TIMESTAMP)
@@ -56,7 +56,7 @@ def from_changes(
     """
     wanted = list(dict.fromkeys([*keys, *columns]))
     needed = list(dict.fromkeys([*wanted, *order_by, version, op, committed or ts]))
-    last = latest_per_key(changes.select(*needed), [*keys, version], order_by)
+    last = latest_per_key(changes.filter(has_op(op)).select(*needed), [*keys, version], order_by)
     row = F.struct(*wanted)
     state = F.struct(F.col(op).alias("o"), row.alias("r"))
     with_prev = ordered.previous(last, keys, [version], state, "__prev", bucket)
@@ -93,7 +93,7 @@ def current(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def current_of_changes(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str], op: str = "op") -> DataFrame:
     """Table a raw change log amounts to."""
-    return latest_per_key(changes, keys, order_by).filter(F.col(op) != "d")
+    return latest_per_key(changes.filter(has_op(op)), keys, order_by).filter(F.col(op) != "d")
 
 
 def as_of_version(feed: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
@@ -210,9 +210,9 @@ def batched(df: DataFrame, order_by: Sequence[str], size: int, bucket: Column) -
     """Add ``batch_id``: consecutive batches of ``size`` rows in a total order.
 
     The rows are numbered per ``bucket`` (rising with the order) in parallel; only one count per bucket
-    is summed up in a single task.
+    is summed up in a single task. Rows whose bucket is null come first, as a bucket of their own.
     """
-    numbered = ordered.row_position(df, [], order_by, "__pos", bucket)
+    numbered = ordered.row_position(df, [], order_by, "__pos", F.struct(bucket.isNotNull().alias("known"), bucket.alias("b")))
     return numbered.withColumn("batch_id", F.floor((F.col("__pos") - 1) / F.lit(size)).cast("bigint")).drop("__pos")
 
 

@@ -16,17 +16,18 @@ DEFAULT_STALE_MINUTES = 5
 
 
 def of(event_ts: str | Column, processed_ts: str | Column) -> Column:
-    """Seconds between event and processing, never negative."""
-    return F.greatest(F.lit(0.0), seconds_between(col(event_ts), col(processed_ts)))
+    """Seconds between event and processing, never negative; null if one of the times is."""
+    lag = seconds_between(col(event_ts), col(processed_ts))
+    return F.when(lag < 0, 0.0).otherwise(lag)
 
 
 def check(
     df: DataFrame, lag: str | Column, threshold: float | None = None, warning: float | None = None
 ) -> DataFrame:
-    """Add status (passed, warning, failed) and how much of the threshold is used."""
+    """Add status (passed, warning, failed; skipped without a lag) and how much of the threshold is used."""
     limit = DEFAULT_THRESHOLD_SECONDS if threshold is None else threshold
     value = col(lag)
-    status = F.when(value > limit, "failed")
+    status = F.when(value.isNull(), "skipped").when(value > limit, "failed")
     if warning is not None:
         status = status.when(value > warning, "warning")
     percent = F.when(F.lit(limit) > 0, 100.0 * value / F.lit(limit))
@@ -78,12 +79,18 @@ def trend(
     )
 
 
-def between_tables(source: DataFrame, dest: DataFrame, source_ts: str, dest_ts: str, by: Sequence[str] = ()) -> DataFrame:
-    """Latest source time against latest destination time, per group."""
+def between_tables(
+    source: DataFrame, dest: DataFrame, source_ts: str, dest_ts: str, by: Sequence[str] = (), threshold: float | None = None
+) -> DataFrame:
+    """Latest source time against latest destination time, per group. A group with nothing in the destination has no
+    lag and fails; one without a time in the source is skipped."""
+    limit = DEFAULT_THRESHOLD_SECONDS if threshold is None else threshold
     s = source.groupBy(*by).agg(F.max(source_ts).alias("source_latest"))
     d = dest.groupBy(*by).agg(F.max(dest_ts).alias("dest_latest"))
     both = s.join(d, list(by), "left") if by else s.select("*", d.scalar().alias("dest_latest"))
-    return both.withColumn("lag_seconds", of("dest_latest", "source_latest"))
+    both = both.withColumn("lag_seconds", of("dest_latest", "source_latest"))
+    status = F.when(F.col("source_latest").isNull(), "skipped").when(F.col("lag_seconds") <= limit, "passed").otherwise("failed")
+    return both.withColumn("status", status)
 
 
 def offsets(ends: DataFrame, positions: DataFrame) -> DataFrame:

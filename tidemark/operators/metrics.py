@@ -14,10 +14,8 @@ from tidemark.operators.history import seconds_between
 # Bucket bounds of the histograms.
 DURATION_BUCKETS = (0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0, 10.0)
 LONG_DURATION_BUCKETS = (0.1, 0.5, 1.0, 5.0, 10.0, 30.0, 60.0, 120.0, 300.0)
-BATCH_SIZE_BUCKETS = (1, 10, 50, 100, 500, 1000, 5000)
-# Alert limits (events per second; restarts).
+# Alert limits (events per second).
 LOW_RATE, STALLED_RATE = 10.0, 0.1
-MAX_RESTARTS = 3
 
 
 def event_counts(df: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -58,17 +56,29 @@ def throughput(runs: DataFrame, by: Sequence[str], processed: str, errors: str,
     )
 
 
-def rate(df: DataFrame, ts: str, by: Sequence[str] = (), window: str = "5 minutes", seconds: int = 300, slide: str | None = None) -> DataFrame:
+def rate(
+    df: DataFrame, ts: str, by: Sequence[str] = (), window: str = "5 minutes", seconds: int = 300, slide: str | None = None,
+    until: Column | None = None,
+) -> DataFrame:
     """Events per second in each window, and whether that is low or stalled.
 
-    Windows without any event have no row; ``gaps`` finds those.
+    Every group has a row for each window from its first event to its last one, or to ``until`` (now, say): a
+    source that has stopped shows windows with no events, which are stalled.
     """
     w = F.window(F.col(ts), window, slide) if slide else F.window(F.col(ts), window)
-    out = df.groupBy(*by, w.alias("w")).agg(F.count("*").alias("events"))
+    counted = df.groupBy(*by, w["start"].alias("at")).agg(F.count("*").alias("n"))
+    ends = counted.groupBy(*by).agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    upto = F.col("last") if until is None else F.greatest(F.col("last"), until.cast(counted.schema["at"].dataType))
+    every = ends.select(*by, F.explode(F.sequence("first", upto, F.expr(f"interval {slide or window}"))).alias("at"))
+    same = [F.col(f"e.`{c}`").eqNullSafe(F.col(f"c.`{c}`")) for c in by]
+    on = F.col("e.at") == F.col("c.at")
+    for s in same:
+        on = on & s
+    out = every.alias("e").join(counted.alias("c"), on, "left").select("e.*", F.coalesce("c.n", F.lit(0)).alias("events"))
     per_second = F.col("events") / F.lit(float(seconds))
     status = F.when(per_second < STALLED_RATE, "stalled").when(per_second < LOW_RATE, "low").otherwise("ok")
     return out.select(
-        *by, F.col("w.start").alias("window_start"), "events",
+        *by, F.col("at").alias("window_start"), "events",
         per_second.alias("events_per_second"), status.alias("status"),
     )
 

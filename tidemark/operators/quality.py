@@ -63,12 +63,15 @@ INVENTORY_RULES = (
 
 
 def _result(
-    df: DataFrame, name: str | Column, failed: Column, checked: Column, failures: Column, expected=None, actual=None
+    df: DataFrame, name: str | Column, failed: Column, checked: Column, failures: Column, expected=None, actual=None,
+    empty: str | Column = PASSED,
 ) -> DataFrame:
+    """``empty`` is the status when nothing was there to check."""
+    empty = F.lit(empty) if isinstance(empty, str) else empty
     none = F.lit(None).cast("bigint")
     return df.select(
         (F.lit(name) if isinstance(name, str) else name).alias("validator"),
-        F.when(failed, FAILED).otherwise(PASSED).alias("status"),
+        F.when(failed, FAILED).when(checked == 0, empty).otherwise(PASSED).alias("status"),
         checked.cast("bigint").alias("checked"),
         failures.cast("bigint").alias("failures"),
         (none if expected is None else expected.cast("bigint")).alias("expected"),
@@ -91,7 +94,8 @@ def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     entries = [F.struct(F.lit(r.name).alias("rule"), F.col(f"f{i}").alias("failures")) for i, r in enumerate(rules)]
     out = total.select("checked", F.inline(F.array(*entries)))
     return out.select(
-        "rule", "checked", "failures", F.when(F.col("failures") > 0, FAILED).otherwise(PASSED).alias("status")
+        "rule", "checked", "failures",
+        F.when(F.col("failures") > 0, FAILED).when(F.col("checked") == 0, SKIPPED).otherwise(PASSED).alias("status"),
     )
 
 
@@ -133,7 +137,8 @@ def check_events(
     entries = [F.struct(F.lit(n).alias("rule"), F.col(n).alias("failures")) for n in (*bad, "event_id_unique")]
     out = total.select("checked", F.inline(F.array(*entries)))
     return out.select(
-        "rule", "checked", "failures", F.when(F.col("failures") > 0, FAILED).otherwise(PASSED).alias("status")
+        "rule", "checked", "failures",
+        F.when(F.col("failures") > 0, FAILED).when(F.col("checked") == 0, SKIPPED).otherwise(PASSED).alias("status"),
     )
 
 
@@ -314,7 +319,8 @@ def fields_match(
     src: DataFrame, dst: DataFrame, keys: Sequence[str], fields: Sequence[str], required: Sequence[str] | None = None
 ) -> DataFrame:
     """Fields are present where required, and equal on both sides key by key: one result row per
-    field, all from one join. ``actual`` is the number of unequal values."""
+    field, all from one join. ``actual`` is the number of unequal values. Without a key in common nothing was
+    compared: failed if the source has rows, else skipped."""
     must = set(fields if required is None else required)
     s = src.select(*keys, *[F.col(f).alias(f"s{i}") for i, f in enumerate(fields)])
     d = dst.select(*keys, *[F.col(f).alias(f"d{i}") for i, f in enumerate(fields)])
@@ -323,6 +329,7 @@ def fields_match(
         absent = F.col(f"s{i}").isNull() | F.col(f"d{i}").isNull() if f in must else F.lit(False)
         counts.append(F.count_if(absent).alias(f"absent{i}"))
         counts.append(F.count_if(~absent & ~F.col(f"s{i}").eqNullSafe(F.col(f"d{i}"))).alias(f"diff{i}"))
+    n_src = src.agg(F.count("*").alias("n")).scalar()
     t = s.join(d, list(keys), "inner").agg(*counts)
     entries = [
         F.struct(F.lit(f"field:{f}").alias("v"), F.col(f"absent{i}").alias("absent"), F.col(f"diff{i}").alias("diff"))
@@ -330,7 +337,8 @@ def fields_match(
     ]
     t = t.select("n", F.inline(F.array(*entries)))
     failures = F.col("absent") + F.col("diff")
-    return _result(t, F.col("v"), failures > 0, F.col("n"), failures, F.lit(0), F.col("diff"))
+    nothing = F.when(n_src > 0, FAILED).otherwise(SKIPPED)
+    return _result(t, F.col("v"), failures > 0, F.col("n"), failures, F.lit(0), F.col("diff"), nothing)
 
 
 def field_match(src: DataFrame, dst: DataFrame, keys: Sequence[str], field: str, required: bool = True) -> DataFrame:
@@ -338,7 +346,7 @@ def field_match(src: DataFrame, dst: DataFrame, keys: Sequence[str], field: str,
 
 
 def completeness(df: DataFrame, columns: Sequence[str], required: Sequence[str] | None = None) -> DataFrame:
-    """Nulls per column in one pass; a null in a required column fails."""
+    """Nulls per column in one pass; a null in a required column fails; an empty frame is skipped."""
     must = set(columns if required is None else required)
     t = df.agg(F.count("*").alias("checked"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
     entries = [
@@ -347,7 +355,7 @@ def completeness(df: DataFrame, columns: Sequence[str], required: Sequence[str]
     ]
     out = t.select("checked", F.inline(F.array(*entries)))
     bad = F.col("required") & (F.col("nulls") > 0)
-    return out.select("column", "checked", "nulls", F.when(bad, FAILED).otherwise(PASSED).alias("status"))
+    return out.select("column", "checked", "nulls", F.when(bad, FAILED).when(F.col("checked") == 0, SKIPPED).otherwise(PASSED).alias("status"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -393,7 +401,8 @@ def referential_integrity(child: DataFrame, parent: DataFrame, child_key: str, p
 
 
 def check_cross_rule(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, rule: Rule) -> DataFrame:
-    """Rule over a child row and its parent; children without a parent are not counted.
+    """Rule over a child row and its parent; children without a parent are not counted, and without any
+    pair the check is skipped.
 
     The join is a plain equi join on a unique parent key: small parents are broadcast by size, and
     a hot child key is split at run time (adaptive skew join).
@@ -401,7 +410,7 @@ def check_cross_rule(child: DataFrame, parent: DataFrame, child_key: str, parent
     t = child.join(parent, child[child_key] == parent[parent_key]).agg(
         F.count("*").alias("n"), F.count_if(rule.broken()).alias("bad")
     )
-    return _result(t, rule.name, F.col("bad") > 0, F.col("n"), F.col("bad"))
+    return _result(t, rule.name, F.col("bad") > 0, F.col("n"), F.col("bad"), empty=SKIPPED)
 
 
 def coverage(expected: DataFrame, captured: DataFrame, keys: Sequence[str], at_least: float = 0.95) -> DataFrame:

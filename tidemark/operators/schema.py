@@ -30,7 +30,7 @@ WIDENING = {
     "DECIMAL": ["NUMERIC"],
 }
 # Exact type changes counted as safe by change detection.
-SAFE_ALTERS = ["INTEGER>BIGINT", "FLOAT>DOUBLE", "VARCHAR(50)>VARCHAR(100)", "VARCHAR(50)>TEXT"]
+SAFE_ALTERS = {"INTEGER": ["BIGINT"], "FLOAT": ["DOUBLE"], "VARCHAR(50)": ["VARCHAR(100)", "TEXT"]}
 # Names of simple types and the Spark types they stand for; others are text.
 SIMPLE_TYPES = {
     "long": T.LongType(), "int": T.IntegerType(), "string": T.StringType(), "boolean": T.BooleanType(),
@@ -44,9 +44,12 @@ def _base(c: Column) -> Column:
     return F.trim(F.split_part(F.upper(c), F.lit("("), F.lit(1)))
 
 
+def _exact_pair_in(table: dict[str, list[str]], old: Column, new: Column) -> Column:
+    return F.concat(old, F.lit(">"), new).isin(*[f"{a}>{b}" for a, bs in table.items() for b in bs])
+
+
 def _pair_in(table: dict[str, list[str]], old: Column, new: Column) -> Column:
-    pairs = [f"{a}>{b}" for a, bs in table.items() for b in bs]
-    return F.concat(_base(old), F.lit(">"), _base(new)).isin(*pairs)
+    return _exact_pair_in(table, _base(old), _base(new))
 
 
 def compatible(source: Column, dest: Column, mode: str = "lenient") -> Column:
@@ -152,7 +155,7 @@ def detect_changes(schemas: DataFrame) -> DataFrame:
     ot, nt = F.col("old_type"), F.col("new_type")
     change = F.when(ot.isNull(), "ADD").when(nt.isNull(), "DROP").when(ot != nt, "ALTER")
     out = pairs.withColumn("change_type", change).filter(F.col("change_type").isNotNull())
-    safe = F.concat(ot, F.lit(">"), nt).isin(*SAFE_ALTERS)
+    safe = _exact_pair_in(SAFE_ALTERS, ot, nt)
     breaking = F.when(F.col("change_type") == "ADD", False).when(F.col("change_type") == "DROP", True)
     return out.withColumn("is_breaking", breaking.otherwise(~safe))
 
@@ -186,8 +189,8 @@ def ledger(changes: DataFrame) -> DataFrame:
     )
 
 
-# How the types of JSON values are named; other ones (texts, lists, objects) are VARCHAR.
 def _value_type(v: Column) -> Column:
+    """Name of a JSON value's type; texts, lists and objects are VARCHAR."""
     kind = F.schema_of_variant(v)
     return (
         F.when(kind == "BOOLEAN", "BOOLEAN")
@@ -217,8 +220,12 @@ def observed(events: DataFrame, json_text: str, table: str | Column, version: st
     f = _fields(events, json_text, keep).select("table", "version", "column", _value_type(F.col("value")).alias("type"))
     order = F.array(*[F.lit(t) for t in OBSERVED])
     seen = f.filter(F.col("type").isNotNull())
-    out = seen.groupBy("table", "version", "column").agg(F.max(F.array_position(order, F.col("type"))).alias("r"))
-    return out.select("table", "version", "column", F.element_at(order, F.col("r").cast("int")).alias("type"))
+    rank = F.array_position(order, F.col("type"))
+    out = seen.groupBy("table", "version", "column").agg(F.min(rank).alias("least"), F.max(rank).alias("r"))
+    # a boolean isn't a narrow number: with any other type it only fits text
+    mixed = (F.col("least") == 1) & (F.col("r") > 1)
+    widest = F.when(mixed, OBSERVED[-1]).otherwise(F.element_at(order, F.col("r").cast("int")))
+    return out.select("table", "version", "column", widest.alias("type"))
 
 
 def drift(events: DataFrame, json_text: str, table: str | Column, ts: str | Column) -> DataFrame:

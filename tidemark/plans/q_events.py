@@ -497,11 +497,11 @@ def mask(spark, sf):
     return out.withColumn("country", scalar.mask_partial("country", 2))
 
 
-ROW_TEXT_SQL = """concat_ws('|', 'o_custkey=' || coalesce(CAST(o_custkey AS VARCHAR), '\\N'),
-  'o_orderkey=' || coalesce(CAST(o_orderkey AS VARCHAR), '\\N'),
-  'o_orderpriority=' || coalesce(o_orderpriority, '\\N'), 'o_orderstatus=' || coalesce(o_orderstatus, '\\N'))"""
+CHECKED = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_totalprice", "o_orderdate"]
+ROW_TEXT_SQL = "concat_ws('|', {})".format(
+    ", ".join(f"'{c}=' || coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in sorted(CHECKED))
+)
 ROW_NUMBER_SQL = f"CAST('0x' || substr(md5({ROW_TEXT_SQL}), 1, 15) AS BIGINT)"
-CHECKED = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"]
 
 
 @query(

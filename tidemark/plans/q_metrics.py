@@ -17,20 +17,24 @@ def _now():
 
 @query(
     "l1_event_lag",
-    f"""SELECT event_id, greatest(0.0, round((epoch_us(TIMESTAMP '{NOW}') - epoch_us(ts)) / 1e6, 3)) AS lag_seconds FROM events""",
+    f"""SELECT event_id, CASE WHEN s < 0 THEN 0.0::DOUBLE ELSE s END AS lag_seconds FROM (
+      SELECT event_id, round((epoch_us(TIMESTAMP '{NOW}') - epoch_us(CASE WHEN event_id % 7 <> 0 THEN ts END)) / 1e6, 3) AS s FROM events)""",
 )
 def event_lag(spark, sf):
     e = i.read(spark, sf, "events")
-    return e.select("event_id", F.round(lag.of("ts", _now()), 3).alias("lag_seconds"))
+    seen = F.when(F.col("event_id") % 7 != 0, F.col("ts"))  # one in seven has no time
+    return e.select("event_id", F.round(lag.of(seen, _now()), 3).alias("lag_seconds"))
 
 
 @query(
     "l2_lag_check",
-    """SELECT event_id, value, CASE WHEN value > 60 THEN 'failed' WHEN value > 20 THEN 'warning' ELSE 'passed' END AS lag_status,
-      round(100.0 * value / 60.0, 6) AS percent_of_threshold FROM events""",
+    """SELECT event_id, value, CASE WHEN value IS NULL THEN 'skipped' WHEN value > 60 THEN 'failed' WHEN value > 20 THEN 'warning'
+      ELSE 'passed' END AS lag_status, round(100.0 * value / 60.0, 6) AS percent_of_threshold FROM (
+      SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events)""",
 )
 def lag_check(spark, sf):
-    d = lag.check(i.read(spark, sf, "events").select("event_id", "value"), "value", 60.0, 20.0)
+    value = F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value")  # one in seven has none
+    d = lag.check(i.read(spark, sf, "events").select("event_id", value), "value", 60.0, 20.0)
     return d.withColumn("percent_of_threshold", F.round("percent_of_threshold", 6))
 
 
@@ -77,12 +81,13 @@ def lag_trend(spark, sf):
 
 @query(
     "l6_event_rate",
-    """SELECT event_type, w AS window_start, n AS events, n / 300.0 AS events_per_second, CASE WHEN n / 300.0 < 0.1 THEN 'stalled'
-      WHEN n / 300.0 < 10 THEN 'low' ELSE 'ok' END AS status FROM (
-      SELECT event_type, time_bucket(INTERVAL '5 minutes', ts) AS w, count(*) AS n FROM events GROUP BY 1, 2)""",
+    """WITH c AS (SELECT event_type, time_bucket(INTERVAL '5 minutes', ts) AS w, count(*) AS n FROM events GROUP BY 1, 2),
+      s AS (SELECT event_type, unnest(generate_series(min(w), greatest(max(w), TIMESTAMP '2024-01-31'), INTERVAL '5 minutes')) AS w FROM c GROUP BY 1)
+    SELECT event_type, w AS window_start, coalesce(n, 0) AS events, coalesce(n, 0) / 300.0 AS events_per_second, CASE WHEN coalesce(n, 0) / 300.0 < 0.1
+      THEN 'stalled' WHEN n / 300.0 < 10 THEN 'low' ELSE 'ok' END AS status FROM s LEFT JOIN c USING (event_type, w)""",
 )
 def event_rate(spark, sf):
-    d = metrics.rate(i.read(spark, sf, "events"), "ts", ["event_type"])
+    d = metrics.rate(i.read(spark, sf, "events"), "ts", ["event_type"], until=F.lit("2024-01-31 00:00:00"))
     return d.withColumn("window_start", i.wall("window_start"))
 
 
@@ -116,13 +121,15 @@ def counter_increase(spark, sf):
 
 @query(
     "l9_lag_between_tables",
-    """SELECT event_type, s AS source_latest, d AS dest_latest, greatest(0.0, (epoch_us(s) - epoch_us(d)) / 1e6) AS lag_seconds FROM (
-      SELECT event_type, max(ts) AS s, max(ts) FILTER (WHERE ts < TIMESTAMP '2024-01-28') AS d FROM events GROUP BY 1)""",
+    """SELECT *, CASE WHEN lag_seconds <= 86400 THEN 'passed' ELSE 'failed' END AS status FROM (
+      SELECT event_type, s AS source_latest, d AS dest_latest, CASE WHEN s < d THEN 0.0::DOUBLE ELSE (epoch_us(s) - epoch_us(d)) / 1e6 END AS lag_seconds FROM (
+      SELECT event_type, max(ts) AS s, max(ts) FILTER (WHERE ts < TIMESTAMP '2024-01-28' AND event_type <> 'signup') AS d FROM events GROUP BY 1))""",
 )
 def lag_between_tables(spark, sf):
     e = i.read(spark, sf, "events")
-    dest = e.filter(F.col("ts") < F.expr("timestamp_ntz'2024-01-28'"))
-    return lag.between_tables(e, dest, "ts", "ts", ["event_type"])
+    # nothing of one type has arrived
+    dest = e.filter((F.col("ts") < F.expr("timestamp_ntz'2024-01-28'")) & (F.col("event_type") != "signup"))
+    return lag.between_tables(e, dest, "ts", "ts", ["event_type"], 86400.0)
 
 
 @query(
