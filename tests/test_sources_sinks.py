@@ -13,7 +13,9 @@ from tidemark.sources import gen, readers
 
 def test_stream_options():
     o = readers._options("kafka", None, "earliest", {"subscribe": "t"})
-    assert o == {"startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000", "subscribe": "t"}
+    assert o == {"startingOffsets": "earliest", "failOnDataLoss": "true", "subscribe": "t"}
+    assert readers._options("kafka", 9, "earliest", {}, False) == {"startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "9"}
+    assert readers._options("parquet", None, "earliest", {}) == {}
     assert readers._options("kafka", 5, "latest", {})["startingOffsets"] == "latest"
     assert readers._options("parquet", 7, "earliest", {}) == {"maxFilesPerTrigger": "7"}
     with pytest.raises(ValueError):

@@ -61,12 +61,40 @@ def test_append_restart_without_loss_or_doubles(spark, folder):
 def test_batches_are_bounded(spark, folder):
     src, out = folder("src"), folder("out")
     changes(spark, 0, 80).repartition(4).write.parquet(src)
-    q = streams.append_to(stream(spark, src, files=1), out, folder("check"), every=None)
-    q.awaitTermination()
-    p = streams.progress(spark, q)
+    with streams.ProgressLog(spark, folder("log")) as log:
+        streams.append_to(stream(spark, src, files=1), out, folder("check"), every=None).awaitTermination()
+    p = log.rows()
     assert p.filter("input_rows > 0").count() == 4 and p.agg(F.sum("input_rows")).first()[0] == 80
 
 
+def test_progress_of_more_batches_than_spark_keeps(spark, folder):
+    src = folder("src")
+    changes(spark, 0, 210).repartition(105, "n").write.parquet(src)
+    n = spark.read.parquet(src).select(F.input_file_name()).distinct().count()
+    with streams.ProgressLog(spark, folder("log"), every=40) as log:
+        q = streams.append_to(stream(spark, src, files=1), folder("out"), folder("check"), every=None)
+        q.awaitTermination()
+    p = log.rows()
+    assert p.agg(F.sum("input_rows")).first()[0] == 210 and p.select("batch_id").distinct().count() >= n
+    assert len(q.recentProgress) <= 100
+
+
+def test_callback_stops_and_the_next_run_goes_on(spark, folder):
+    src, check, seen = folder("src"), folder("check"), {}
+    changes(spark, 0, 60).repartition(6, "n").write.parquet(src)
+
+    def third(batch, batch_id):
+        seen[batch_id] = [r.n for r in batch.collect()]
+        return batch_id == 2
+
+    assert streams.run_until(stream(spark, src, files=1), third, check)
+    assert max(seen) == 2 and sum(map(len, seen.values())) < 60
+    assert not streams.run_until(stream(spark, src, files=1), lambda b, k: bool(seen.update({k: [r.n for r in b.collect()]})), check)
+    assert sorted(n for b in seen.values() for n in b) == list(range(60))
+    with pytest.raises(Exception, match="own fault"):
+        streams.run_until(stream(spark, src), lambda b, k: (_ for _ in ()).throw(ValueError("own fault")), folder("check2"))
+
+
 def test_late_rows_are_dropped(spark, folder):
     src, out = folder("src"), folder("out")
     check = folder("check")
@@ -96,8 +124,8 @@ def test_fan_out(spark, folder):
     src, out = folder("src"), folder("out")
     changes(spark, 0, 100).coalesce(1).write.parquet(src)
     streams.fan_out(stream(spark, src), "op", ["c", "u"], out, folder("check")).awaitTermination()
-    got = {r.table_name: r["count"] for r in spark.read.parquet(out).groupBy("table_name").count().collect()}
-    want = {r.op: r["count"] for r in changes(spark, 0, 100).groupBy("op").count().collect() if r.op in "cu"}
+    got = {(r.table_name, r.source_table): r["count"] for r in spark.read.parquet(out).groupBy("table_name", "source_table").count().collect()}
+    want = {(r.op if r.op in "cu" else "__rest", r.op): r["count"] for r in changes(spark, 0, 100).groupBy("op").count().collect()}
     assert got == want
 
 

@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_local: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors reach. Only a local session without the setting (a test) gets a
-    temporary folder; on a cluster the setting is required."""
+    """Folder that all executors reach. Only a session in a single process without the setting (a test) gets a
+    temporary folder, which goes with the process; on a cluster the setting is required."""
     folder = spark.conf.get(SETTING, None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="run-")
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="run-"))
+            atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+        folder = _local[0]
     return folder.rstrip("/")
 
 
@@ -26,6 +33,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of the frame."""
     sc = df.sparkSession.sparkContext

@@ -34,16 +34,16 @@ def range_bucket(number: str | Column, width: int) -> Column:
     return F.floor(col(number) / F.lit(width))
 
 
-# Rows of one key that a single task can still put in order with ease.
+# Defaults of ``split_hot``: rows of one key that a single task can still put in order with ease, and the number
+# of keys that may be hot. Callers set both.
 HOT_ROWS = 1_000_000
-# No more keys than this can be hot, whatever the data.
 MAX_HOT_KEYS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows and more than their share of 1 / MAX_HOT_KEYS of all rows, so
-    there are at most MAX_HOT_KEYS of them."""
-    share = df.select((F.count("*") / F.lit(MAX_HOT_KEYS)).alias("s")).scalar()
+def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, most: int = MAX_HOT_KEYS) -> DataFrame:
+    """Keys with more than ``rows`` rows and more than their share of 1 / ``most`` of all rows, so
+    there are at most ``most`` of them."""
+    share = df.select((F.count("*") / F.lit(most)).alias("s")).scalar()
     per_key = df.groupBy(*keys).agg(F.count("*").alias("__n"))
     return per_key.filter(F.col("__n") > F.greatest(F.lit(float(rows)), share)).select(*keys)
 
@@ -54,13 +54,18 @@ def default_bucket(df: DataFrame, order_by: Sequence[str]) -> Column | None:
     return F.date_trunc("hour", F.col(order_by[0])) if timed else None
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], bucket: Column, name: str, rows: int = HOT_ROWS) -> DataFrame:
-    """Add the bucket column ``name``: the bucket for rows of hot keys, null for all others.
+def split_hot(
+    df: DataFrame, keys: Sequence[str], bucket: Column, name: str, rows: int = HOT_ROWS, most: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """Add the bucket column ``name``: the bucket for rows of hot keys, null for all others. With ``rows`` 0 every
+    key is cut by its bucket.
 
     Costs a count per key, which reads the key columns only and combines map-side. The hot keys are
-    broadcast, so ``df`` is not shuffled for this; MAX_HOT_KEYS bounds their number.
+    broadcast, so ``df`` is not shuffled for this; ``most`` bounds their number.
     """
-    hot = F.broadcast(hot_keys(df, keys, rows).withColumn("__hot", F.lit(True)))
+    if rows <= 0:
+        return df.withColumn(name, bucket)
+    hot = F.broadcast(hot_keys(df, keys, rows, most).withColumn("__hot", F.lit(True)))
     return df.join(hot, list(keys), "left").withColumn(name, F.when(F.col("__hot"), bucket)).select(*df.columns, name)
 
 

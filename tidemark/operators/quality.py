@@ -46,6 +46,18 @@ CUSTOMER_RULES = (
     Rule("tier_known", "customer_tier in ('Bronze', 'Silver', 'Gold', 'Platinum')"),
     Rule("lifetime_value_not_negative", "lifetime_value >= 0"),
 )
+REGISTRATION_RULE = Rule("registered_in_the_past", "registration_date <= current_timestamp()")
+# The rules for orders (with ``registration_date`` of the customer joined in) and for products.
+ORDER_RULES = (
+    Rule("amount_positive", "total_amount > 0"),
+    Rule("status_known", "order_status in ({})".format(", ".join(f"'{s}'" for s in ORDER_STATUSES))),
+)
+ORDER_DATE_RULE = Rule("ordered_after_registration", "order_date >= registration_date")
+PRODUCT_RULES = (
+    Rule("price_positive", "price > 0"),
+    Rule("cost_in_range", "cost > 0 and cost <= price"),
+    Rule("stock_not_negative", "quantity_in_stock >= 0"),
+)
 BUSINESS_RULES = (
     Rule("email_present", "email is not null"),
     Rule("lifetime_value_not_negative", "lifetime_value >= 0"),
@@ -99,15 +111,32 @@ def check_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def check_unique(df: DataFrame, rules: Sequence[Rule], unique: str) -> DataFrame:
+    """``check_rules`` with one rule more, that the column ``unique`` has no value twice: one aggregation by that
+    column has both. A value's rows beyond the first fail; nulls are not values."""
+    per = df.groupBy(unique).agg(F.count("*").alias("n"), *[F.count_if(r.broken()).alias(f"f{i}") for i, r in enumerate(rules)])
+    again = F.when(F.col(unique).isNotNull(), F.col("n") - 1).otherwise(0)
+    sums = {**{r.name: F.sum(f"f{i}") for i, r in enumerate(rules)}, f"{unique}_unique": F.sum(again)}
+    total = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), *[F.coalesce(s, F.lit(0)).alias(n) for n, s in sums.items()])
+    entries = [F.struct(F.lit(n).alias("rule"), F.col(n).alias("failures")) for n in sums]
+    out = total.select("checked", F.inline(F.array(*entries)))
+    return out.select(
+        "rule", "checked", "failures",
+        F.when(F.col("failures") > 0, FAILED).when(F.col("checked") == 0, SKIPPED).otherwise(PASSED).alias("status"),
+    )
+
+
 def check_events(
     events: DataFrame,
     keys: Sequence[str],
     operation: str = "operation",
     times: Sequence[str] = ("source_ts", "capture_ts", "process_ts"),
+    present: Sequence[str] = (),
 ) -> DataFrame:
     """Rules for standard events with ``event_id, before, after``: failures per rule.
 
-    Uniqueness and the row rules share one aggregation by event id.
+    Uniqueness and the row rules share one aggregation by event id. A missing time is out of order; the columns
+    ``present`` (source system and table) may not be null.
     """
     op, b, a = F.col(operation), F.col("before"), F.col("after")
     moved = F.lit(False)
@@ -115,7 +144,7 @@ def check_events(
         moved = moved | ~F.col(f"before.`{k}`").eqNullSafe(F.col(f"after.`{k}`"))
     late = F.lit(False)
     for first, second in zip(times, times[1:]):
-        late = late | (F.col(first) > F.col(second))
+        late = late | ~F.coalesce(F.col(first) <= F.col(second), F.lit(False))
     bad = {
         "operation_known": ~F.coalesce(op.isin(*OPERATIONS), F.lit(False)),
         "insert_has_no_before": (op == "INSERT") & b.isNotNull(),
@@ -124,6 +153,7 @@ def check_events(
         "key_unchanged": (op == "UPDATE") & b.isNotNull() & a.isNotNull() & moved,
         "times_in_order": late,
         "event_id_present": F.col("event_id").isNull(),
+        **{f"{c}_present": F.col(c).isNull() for c in present},
     }
     per_id = events.groupBy("event_id").agg(
         F.count("*").alias("n"), *[F.count_if(c).alias(name) for name, c in bad.items()]

@@ -308,12 +308,14 @@ def predicates(spark, sf):
 RULES_SQL = """SELECT r.rule, count(*) AS checked, count(*) FILTER (WHERE CASE r.rule
     WHEN 'email_format' THEN NOT coalesce(regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$'), false)
     WHEN 'phone_format' THEN NOT regexp_matches(phone, '^\\+?[1-9]\\d{1,14}$')
+    WHEN 'registered_in_the_past' THEN NOT coalesce(registration_date <= now()::TIMESTAMP, false)
     WHEN 'tier_known' THEN coalesce(customer_tier NOT IN ('Bronze', 'Silver', 'Gold', 'Platinum'), true)
     ELSE NOT lifetime_value >= 0 END) AS failures
   FROM (SELECT trim(email) AS email, CAST(customer_id * 7 AS VARCHAR) AS phone, lifetime_value,
+          CASE WHEN customer_id % 11 = 0 THEN TIMESTAMP '9999-01-01' WHEN customer_id % 13 <> 0 THEN registration_date END AS registration_date,
           CASE customer_tier WHEN 'MACHINERY' THEN 'Gold' WHEN 'BUILDING' THEN 'Silver' ELSE customer_tier END AS customer_tier
         FROM cust),
-    (VALUES ('email_format'), ('phone_format'), ('tier_known'), ('lifetime_value_not_negative')) r(rule) GROUP BY r.rule"""
+    (VALUES ('email_format'), ('phone_format'), ('tier_known'), ('lifetime_value_not_negative'), ('registered_in_the_past')) r(rule) GROUP BY r.rule"""
 
 
 @query(
@@ -326,8 +328,48 @@ def row_rules(spark, sf):
     c = i.customers(spark, sf).select(
         F.trim("email").alias("email"), (F.col("customer_id") * 7).cast("string").alias("phone"), "lifetime_value",
         F.when(tier == "MACHINERY", "Gold").when(tier == "BUILDING", "Silver").otherwise(tier).alias("customer_tier"),
+        F.when(F.col("customer_id") % 11 == 0, F.expr("timestamp_ntz'9999-01-01'"))
+        .when(F.col("customer_id") % 13 != 0, F.col("registration_date").cast("timestamp_ntz")).alias("registration_date"),
     )
-    return quality.check_rules(c, quality.CUSTOMER_RULES)
+    return quality.check_rules(c, [*quality.CUSTOMER_RULES, quality.REGISTRATION_RULE])
+
+
+@query(
+    "f7_order_rules",
+    """SELECT rule, count(*) AS checked, count(*) FILTER (WHERE NOT ok) AS failures,
+      CASE WHEN count(*) FILTER (WHERE NOT ok) > 0 THEN 'failed' ELSE 'passed' END AS status FROM (
+      SELECT r.rule, CASE r.rule WHEN 'amount_positive' THEN o_totalprice - 20000 > 0 WHEN 'status_known' THEN o_orderstatus IN ('F', 'P')
+        ELSE o_orderdate >= TIMESTAMP '1996-01-01' + to_days(CAST(30 * c_nationkey AS INTEGER)) END AS ok
+      FROM orders JOIN customer ON o_custkey = c_custkey, (VALUES ('amount_positive'), ('status_known'), ('ordered_after_registration')) r(rule))
+    GROUP BY rule""",
+)
+def order_rules(spark, sf):
+    status = F.col("o_orderstatus")
+    o = i.read(spark, sf, "orders").select(
+        "o_custkey", (F.col("o_totalprice") - 20000).alias("total_amount"), F.col("o_orderdate").alias("order_date"),
+        F.when(status == "F", "delivered").when(status == "P", "pending").otherwise("lost").alias("order_status"),
+    )
+    days = F.make_dt_interval(30 * F.col("c_nationkey"))
+    c = i.read(spark, sf, "customer").select("c_custkey", (F.expr("timestamp_ntz'1996-01-01'") + days).alias("registration_date"))
+    both = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return quality.check_rules(both, [*quality.ORDER_RULES, quality.ORDER_DATE_RULE])
+
+
+@query(
+    "f7_product_rules",
+    """WITH p AS (SELECT p_retailprice - 950 AS price, CAST(p_size * 20 - 40 AS DOUBLE) AS cost, p_size - 3 AS stock, p_name || p_brand AS sku FROM part)
+    SELECT *, CASE WHEN failures > 0 THEN 'failed' ELSE 'passed' END AS status FROM (
+      SELECT 'price_positive' AS rule, count(*) AS checked, count(*) FILTER (WHERE NOT price > 0) AS failures FROM p
+      UNION ALL SELECT 'cost_in_range', count(*), count(*) FILTER (WHERE NOT (cost > 0 AND cost <= price)) FROM p
+      UNION ALL SELECT 'stock_not_negative', count(*), count(*) FILTER (WHERE NOT stock >= 0) FROM p
+      UNION ALL SELECT 'sku_unique', count(*), count(*) - count(DISTINCT sku) FROM p)""",
+)
+def product_rules(spark, sf):
+    p = i.read(spark, sf, "part").select(
+        (F.col("p_retailprice") - 950).alias("price"), (F.col("p_size") * 20 - 40).cast("double").alias("cost"),
+        (F.col("p_size") - 3).alias("quantity_in_stock"), F.concat("p_name", "p_brand").alias("sku"),
+    )
+    return quality.check_unique(p, quality.PRODUCT_RULES, "sku")
 
 
 @query(
@@ -341,6 +383,8 @@ def row_rules(spark, sf):
       UNION ALL SELECT 'key_unchanged', 0
       UNION ALL SELECT 'times_in_order', count(*) FILTER (WHERE ts_ms > CAST(floor(value) AS BIGINT) * 1000 + ts_ms - 60000) FROM env
       UNION ALL SELECT 'event_id_present', 0
+      UNION ALL SELECT 'system_present', 0
+      UNION ALL SELECT 'table_present', count(*) FILTER (WHERE event_type = 'view') FROM env
       UNION ALL SELECT 'event_id_unique', count(*) - count(DISTINCT (user_id, op, ver)) FROM env)""",
     ("env",),
 )
@@ -355,8 +399,9 @@ def event_rules(spark, sf):
         "before",
         F.when(F.col("op") != "d", image).alias("after"),
         F.col("ts_ms").alias("source_ts"), F.col("capture").alias("capture_ts"), F.col("capture").alias("process_ts"),
+        F.lit("shop").alias("system"), F.when(F.col("event_type") != "view", F.col("event_type")).alias("table"),
     )
-    return quality.check_events(e, ["user_id"])
+    return quality.check_events(e, ["user_id"], present=["system", "table"])
 
 
 @query(
@@ -376,7 +421,21 @@ def dedupe_events(spark, sf):
     ("env",),
 )
 def before_image(spark, sf):
-    d = i.with_before(spark, sf)
+    return _old_values(i.with_before(spark, sf))
+
+
+@query(
+    "w2_before_image_cut",
+    """SELECT event_id, op, CASE WHEN has_before THEN p_event_type END AS old_type,
+      CASE WHEN has_before THEN p_value END AS old_value FROM env""",
+    ("env",),
+)
+def before_image_cut(spark, sf):
+    """Every key's events are cut by the hour, as those of a hot key are."""
+    return _old_values(envelope.add_before(i.changes(spark, sf), i.KEYS, i.ORDER, i.FEED_ROW, hot_rows=0))
+
+
+def _old_values(d):
     return d.select(
         "event_id", "op", F.col("before.event_type").alias("old_type"), F.col("before.value").alias("old_value")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import lineage
+from tidemark.functions import lineage, ordered
 from tidemark.operators import envelope, quality, transform
 from tidemark.plans import inputs as i
 from tidemark.plans.catalog import query
@@ -36,12 +36,12 @@ def _done(q):
 
 @query(
     "s1_change_stream",
-    "SELECT event_type, count(*) AS events FROM events GROUP BY 1",
+    "SELECT * FROM events",
 )
 def change_stream(spark, sf):
     out, check = lineage.scratch(spark), lineage.scratch(spark)
-    _done(streams.append_to(_stream(spark, sf).select("event_type", "event_id"), out, check, every=None))
-    return spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("events"))
+    _done(streams.append_to(_stream(spark, sf), out, check, every=None))
+    return spark.read.parquet(out)
 
 
 @query(
@@ -81,15 +81,13 @@ def streaming_projection(spark, sf):
 
 @query(
     "k6_streaming_append_by_partition",
-    "SELECT event_type, count(*) AS events, max(event_id) AS last_event FROM events GROUP BY 1",
+    "SELECT * FROM events",
 )
 def streaming_append_by_partition(spark, sf):
     out, check = lineage.scratch(spark), lineage.scratch(spark)
-    e = _stream(spark, sf).select("event_type", "event_id")
+    e = _stream(spark, sf)
     _done(streams.append_to(e, out, check, every=None, partition_by=["event_type"]))
-    return spark.read.parquet(out).groupBy("event_type").agg(
-        F.count("*").alias("events"), F.max("event_id").alias("last_event")
-    )
+    return spark.read.parquet(out).select(*e.columns)
 
 
 @query("m2_streaming_upsert", CURRENT_SQL, ("chg",))
@@ -103,14 +101,14 @@ def streaming_upsert(spark, sf):
 
 @query(
     "s18_fan_out",
-    "SELECT tbl AS table_name, count(*) AS events FROM chg GROUP BY 1",
+    "SELECT CASE WHEN tbl = 'users' THEN tbl ELSE '__rest' END AS table_name, tbl AS source_table, event_id FROM chg",
     ("chg",),
 )
 def fan_out(spark, sf):
     out, check = lineage.scratch(spark), lineage.scratch(spark)
     c = i.changes_of(_stream(spark, sf)).select("event_id", "tbl")
-    _done(streams.fan_out(c, "tbl", ["users", "carts"], out, check))
-    return spark.read.parquet(out).groupBy("table_name").agg(F.count("*").alias("events"))
+    _done(streams.fan_out(c, "tbl", ["users"], out, check))
+    return spark.read.parquet(out).select("table_name", "source_table", "event_id")
 
 
 @query("m4_streaming_dedupe", "SELECT event_id, user_id FROM events")
@@ -162,15 +160,25 @@ def sliding_counts(spark, sf):
     return _walls(streams.counts(e, "ts", ["event_type"], "2 hours", "1 hour"))
 
 
-@query(
-    "m6_sessions",
-    """SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '6 hours' AS session_end, count(*) AS events FROM (
+SESSIONS_SQL = """SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '6 hours' AS session_end, count(*) AS events FROM (
       SELECT *, sum(CASE WHEN ts < prev + INTERVAL '6 hours' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (
-        SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)) GROUP BY user_id, s""",
-)
+        SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)) GROUP BY user_id, s"""
+
+
+@query("m6_sessions", SESSIONS_SQL)
 def sessions(spark, sf):
+    return _sessions(spark, sf, ordered.HOT_ROWS)
+
+
+@query("m6_sessions_cut", SESSIONS_SQL)
+def sessions_cut(spark, sf):
+    """Every group's events are cut by the hour, as those of a hot group are."""
+    return _sessions(spark, sf, 0)
+
+
+def _sessions(spark, sf, hot_rows):
     hour = F.date_trunc("hour", F.col("ts"))
-    d = streams.sessions(i.read(spark, sf, "events"), "ts", ["user_id"], "6 hours", bucket=hour)
+    d = streams.sessions(i.read(spark, sf, "events"), "ts", ["user_id"], "6 hours", bucket=hour, hot_rows=hot_rows)
     return d.withColumns({"session_start": i.wall("session_start"), "session_end": i.wall("session_end")})
 
 
@@ -183,19 +191,59 @@ def restart_from_checkpoint(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("m9_progress_metrics", "SELECT count(*) AS input_rows FROM events")
+def _in_files(spark, sf, files):
+    """The events as a folder of several files, and a stream over it that takes one file at a time."""
+    e, src = i.read(spark, sf, "events"), lineage.scratch(spark)
+    e.repartition(files, "event_id").write.parquet(src)
+    return readers.change_stream(spark, "parquet", src, e.schema, limit=1)
+
+
+@query("m9_progress_metrics", "SELECT count(*) AS input_rows, CAST(12 AS BIGINT) AS batches FROM events")
 def progress_metrics(spark, sf):
+    """Rows of all micro-batches of a run, as its listener saw them."""
     out, check = lineage.scratch(spark), lineage.scratch(spark)
-    q = streams.append_to(_stream(spark, sf).select("event_id"), out, check, every=None)
-    _done(q)
-    return streams.progress(spark, q).agg(F.sum("input_rows").alias("input_rows"))
+    with streams.ProgressLog(spark, lineage.scratch(spark), every=5) as log:
+        _done(streams.append_to(_in_files(spark, sf, 12), out, check, every=None))
+    seen = log.rows().filter("input_rows > 0")
+    return seen.agg(F.sum("input_rows").alias("input_rows"), F.count_distinct("batch_id").alias("batches"))
 
 
-@query("m10_bounded_run", "SELECT max(ts) AS last_ts, count(*) AS events FROM events")
+@query("m10_bounded_run", "SELECT event_id, ts FROM events")
 def bounded_run(spark, sf):
     out, check = lineage.scratch(spark), lineage.scratch(spark)
     _done(streams.feed_to(_stream(spark, sf).select("event_id", "ts"), out, check))
-    return spark.read.parquet(out).agg(F.max("ts").alias("last_ts"), F.count("*").alias("events"))
+    return spark.read.parquet(out).select("event_id", "ts")
+
+
+@query("k7_micro_batches", "SELECT event_id, user_id, event_type, CAST(6 AS BIGINT) AS batches FROM events")
+def micro_batches(spark, sf):
+    """One file a batch and a time between batches; the run ends when all files are through."""
+    out, check = lineage.scratch(spark), lineage.scratch(spark)
+    q = streams.feed_to(_in_files(spark, sf, 6).select("event_id", "user_id", "event_type"), out, check, every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = spark.read.parquet(out)
+    return rows.select("event_id", "user_id", "event_type", rows.select(F.count_distinct("batch_id").alias("n")).scalar().alias("batches"))
+
+
+@query("z2_callback_stops", "SELECT event_id, value, true AS stopped, false AS stopped_again FROM events")
+def callback_stops(spark, sf):
+    """A callback keeps the batches it sees and ends the run at the third one; the next run on the checkpoint goes on."""
+    check, out = lineage.scratch(spark), lineage.scratch(spark)
+
+    def keep(last):
+        def one(batch, batch_id):
+            batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            return batch_id == last
+
+        return one
+
+    stream = _in_files(spark, sf, 6).select("event_id", "value")
+    stopped = [streams.run_until(stream, keep(last), check) for last in (2, -1)]
+    flags = [F.lit(s).alias(n) for n, s in zip(("stopped", "stopped_again"), stopped)]
+    return spark.read.parquet(out).select("event_id", "value", *flags)
 
 
 @query(
@@ -211,6 +259,19 @@ def streaming_validation(spark, sf):
     return d.agg(F.sum("checked").alias("checked"), F.sum("failures").alias("failures"))
 
 
+@query(
+    "z2_for_each_batch",
+    """SELECT event_id, len(list_distinct(string_split(event_type, ''))) + length(CAST(event_id AS VARCHAR)) > 7 AS handled FROM events""",
+)
+def for_each_batch(spark, sf):
+    """The user's function sees the events of the stream many at a time."""
+    out, check = lineage.scratch(spark), lineage.scratch(spark)
+    e = _stream(spark, sf).select("event_id", "event_type")
+    letters = lambda pdf: pdf["event_type"].map(lambda t: len(set(t))) + pdf["event_id"].astype(str).str.len() > 7
+    _done(streams.append_to(streams.handle_batches(e, letters, ["event_id"]), out, check, every=None))
+    return spark.read.parquet(out)
+
+
 @query("z2_for_each_event", "SELECT event_id, value > 20 AND event_type <> 'error' AS handled FROM events")
 def for_each_event(spark, sf):
     """The user's function sees every event of the stream."""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import lineage
+from tidemark.functions import lineage, ordered
 from tidemark.operators import apply, diff, envelope, feed, history, schema
 from tidemark.plans import inputs as i
 from tidemark.plans.catalog import query
@@ -28,6 +29,11 @@ def net_sql(lo: str, hi: str) -> str:
     return f"""SELECT * FROM ({state_sql(hi)}) EXCEPT ALL SELECT * FROM ({state_sql(lo)})"""
 
 
+def _table_name(part: str) -> str:
+    """A catalog name of this run's own."""
+    return f"tidemark_{part}_{uuid.uuid4().hex}"
+
+
 @query("current_state_from_events", CURRENT_SQL, ("chg",))
 def current_state_from_events(spark, sf):
     """Raw JSON envelopes -> good events -> last change per key -> live rows."""
@@ -253,7 +259,7 @@ def sorted_write(spark, sf):
 @query("k5_ensure_table", "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1")
 def ensure_table(spark, sf):
     rows = i.read(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("orders"))
-    name = "tidemark_k5_orders"
+    name = _table_name("k5")
     writers.drop_table(spark, name)
     path = lineage.scratch(spark)
     writers.ensure_table(spark, name, rows.schema, path=path)
@@ -299,7 +305,7 @@ UPSERT_SQL = """SELECT * FROM snap_a UNION ALL
 def apply_changes_bucketed(spark, sf):
     """The old state is a table bucketed by its key; only the changes are shuffled to it."""
     b, a = i.snapshot_before(spark, sf), i.snapshot_after(spark, sf)
-    name = "tidemark_k8_orders"
+    name = _table_name("k8")
     writers.drop_table(spark, name)
     writers.save_bucketed(b, name, KEY, 8, path=lineage.scratch(spark))
     d = diff.snapshot_diff(b, a, KEY, images=False)
@@ -460,7 +466,7 @@ def soft_delete_merge(spark, sf):
 
 @query("k22_drop_table", "SELECT count(*) AS orders, false AS table_exists FROM orders")
 def drop_table(spark, sf):
-    name = "tidemark_k22_orders"
+    name = _table_name("k22")
     o = i.read(spark, sf, "orders").select("o_orderkey")
     writers.drop_table(spark, name)
     writers.ensure_table(spark, name, o.schema, path=lineage.scratch(spark))
@@ -558,18 +564,26 @@ def compare_sizes(spark, sf):
     return diff.compare_states(b, a, sizes=True)
 
 
-@query(
-    "w3_audit_trail",
-    """SELECT user_id, _commit_version, _change_type, value, row_number() OVER w AS step,
+AUDIT_SQL = """SELECT user_id, _commit_version, _change_type, value, row_number() OVER w AS step,
       lag(CASE WHEN _change_type <> 'delete' THEN value END) OVER w AS previous_value,
       round(CASE WHEN _change_type <> 'delete' THEN value END - lag(CASE WHEN _change_type <> 'delete' THEN value END) OVER w, 6) AS delta
-    FROM feed WHERE _change_type <> 'update_preimage' WINDOW w AS (PARTITION BY user_id ORDER BY _commit_version)""",
-    ("feed",),
-)
+    FROM feed WHERE _change_type <> 'update_preimage' WINDOW w AS (PARTITION BY user_id ORDER BY _commit_version)"""
+
+
+@query("w3_audit_trail", AUDIT_SQL, ("feed",))
 def audit_trail(spark, sf):
-    from tidemark.functions.ordered import range_bucket
+    return _audited(spark, sf, hot_rows=ordered.HOT_ROWS)
+
+
+@query("w3_audit_trail_cut", AUDIT_SQL, ("feed",))
+def audit_trail_cut(spark, sf):
+    """Every key's changes are cut by a range of versions, as those of a hot key are."""
+    return _audited(spark, sf, hot_rows=0)
+
 
-    d = feed.audit_trail(i.change_feed(spark, sf), i.KEYS, "value", range_bucket("_commit_version", 7))
+def _audited(spark, sf, hot_rows):
+    bucket = ordered.range_bucket("_commit_version", 7)
+    d = feed.audit_trail(i.change_feed(spark, sf), i.KEYS, "value", bucket, hot_rows)
     return d.select(
         "user_id", "_commit_version", "_change_type", "value", "step", "previous_value", F.round("delta", 6).alias("delta")
     )

@@ -119,11 +119,19 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return [r.version for r in log.distinct().orderBy("version").collect()]
 
 
+def latest_version(spark: SparkSession, root: str, upto: int | None = None) -> int | None:
+    """Greatest complete version (not above ``upto``), or None: one number comes to the driver."""
+    try:
+        log = spark.read.schema("version long").parquet(f"{root}/log")
+    except AnalysisException:
+        return None
+    return (log if upto is None else log.filter(F.col("version") <= upto)).agg(F.max("version")).first()[0]
+
+
 def read_version(spark: SparkSession, root: str, version: int | None = None, fmt: str = "parquet") -> DataFrame:
-    have = versions(spark, root)
-    v = version if version is not None else (have[-1] if have else None)
-    if v not in have:
-        raise FileNotFoundError(f"no complete version {v} under {root}")
+    v = latest_version(spark, root, version)
+    if v is None or version not in (None, v):
+        raise FileNotFoundError(f"no complete version {version} under {root}")
     return spark.read.format(fmt).load(f"{root}/version={v}")
 
 

@@ -20,21 +20,20 @@ MESSAGE = T.StructType(
     ]
 )
 FILE_FORMATS = ("parquet", "json", "orc", "csv", "avro", "text")
-# Defaults of the streaming source.
-OFFSETS_PER_TRIGGER = 1000
-FILES_PER_TRIGGER = 1000
 
 
-def _options(fmt: str, limit: int | None, start: str, options: Mapping[str, str]) -> dict[str, str]:
+def _options(fmt: str, limit: int | None, start: str, options: Mapping[str, str], fail_on_data_loss: bool = True) -> dict[str, str]:
     out: dict[str, str] = {}
     if fmt == "kafka":
         if start not in ("earliest", "latest"):
             raise ValueError("start is 'earliest' or 'latest'")
         out["startingOffsets"] = start
-        out["failOnDataLoss"] = "false"
-        out["maxOffsetsPerTrigger"] = str(OFFSETS_PER_TRIGGER if limit is None else limit)
+        out["failOnDataLoss"] = str(fail_on_data_loss).lower()
+        if limit is not None:
+            out["maxOffsetsPerTrigger"] = str(limit)
     elif fmt in FILE_FORMATS:
-        out["maxFilesPerTrigger"] = str(FILES_PER_TRIGGER if limit is None else limit)
+        if limit is not None:
+            out["maxFilesPerTrigger"] = str(limit)
         if start == "latest":
             raise ValueError("a folder is read from its start; use modifiedAfter or poll_by_column")
     elif limit is not None:
@@ -49,10 +48,12 @@ def change_stream(
     schema: T.StructType = MESSAGE,
     limit: int | None = None,
     start: str = "earliest",
+    fail_on_data_loss: bool = True,
     **options: str,
 ) -> DataFrame:
-    """Unbounded source with a bound per trigger: offsets for a broker, files for a folder."""
-    reader = spark.readStream.format(fmt).options(**_options(fmt, limit, start, options))
+    """Unbounded source. ``limit`` bounds a trigger, in offsets of a broker or files of a folder; without it a trigger
+    takes all there is. Offsets that are gone fail the query unless ``fail_on_data_loss`` is false."""
+    reader = spark.readStream.format(fmt).options(**_options(fmt, limit, start, options, fail_on_data_loss))
     if fmt in FILE_FORMATS:
         reader = reader.schema(schema)
     return reader.load(path) if path else reader.load()

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.functions import ordered
 from tidemark.operators import apply as ap
@@ -71,12 +74,12 @@ def upsert_to(
 def _state(spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Last change per key over the base and the batches after it (deletes included)."""
     delta = spark.read.parquet(f"{root}/delta")
-    folded = writers.versions(spark, f"{root}/base")
-    if folded:
-        base = writers.read_version(spark, f"{root}/base", folded[-1])
-        delta = delta.filter(F.col("batch_id") > folded[-1])
+    folded = writers.latest_version(spark, f"{root}/base")
+    if folded is not None:
+        base = writers.read_version(spark, f"{root}/base", folded)
+        delta = delta.filter(F.col("batch_id") > folded)
     delta = delta.drop("batch_id")
-    if folded:
+    if folded is not None:
         return ap.merge_latest(base, delta, keys, order_by)
     return ap.latest_per_key(delta, keys, order_by)
 
@@ -107,12 +110,18 @@ def feed_to(
     return _trigger(writer, every).start()
 
 
+REST = "__rest"
+
+
 def fan_out(
     events: DataFrame, table: str | Column, tables: Sequence[str], path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """One stream to many tables in one pass: rows are written partitioned by their table's name."""
+    """One stream to many tables in one pass: rows are written partitioned by their table's name. Rows of tables that
+    aren't listed, or without a table, go to the table ``__rest``; ``source_table`` says whose they are."""
     name = F.col(table) if isinstance(table, str) else table
-    routed = events.withColumn("table_name", name).filter(F.col("table_name").isin(*tables))
+    routed = events.withColumn("source_table", name)
+    listed = F.coalesce(F.col("source_table").isin(*tables), F.lit(False))
+    routed = routed.withColumn("table_name", F.when(listed, F.col("source_table")).otherwise(REST))
     return append_to(routed, path, checkpoint, every=every, partition_by=["table_name"])
 
 
@@ -180,6 +189,44 @@ def for_each(events: DataFrame, callback: Callable[[Mapping], None], checkpoint:
     return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
+def run_until(events: DataFrame, callback: Callable[[DataFrame, int], bool], checkpoint: str, every: str | None = None) -> bool:
+    """Call the user's function with every micro-batch until it returns true or, without ``every``, all that is there has
+    been seen. Returns whether the function stopped the run.
+
+    Batches after the one it stopped at are not committed: a later run on the checkpoint begins with them, or with
+    that batch itself when the stop came before its commit.
+    """
+    stop = threading.Event()
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        if stop.is_set():
+            raise RuntimeError("stopped by the callback")
+        if callback(batch, batch_id):
+            stop.set()
+
+    query = _trigger(events.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint), every).start()
+    try:
+        while not query.awaitTermination(1):
+            if stop.is_set():
+                query.stop()
+    except StreamingQueryException:
+        if not stop.is_set():
+            raise
+    return stop.is_set()
+
+
+def handle_batches(events: DataFrame, callback: Callable[[pd.DataFrame], pd.Series], keep: Sequence[str]) -> DataFrame:
+    """As ``handle``, for a function that takes many events at once, as a pandas frame, and gives a verdict for each."""
+    kept = [f for f in events.schema.fields if f.name in keep]
+    names = [f.name for f in kept]
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf[names].assign(handled=callback(pdf).astype(bool).to_numpy())
+
+    return events.mapInPandas(run, T.StructType([*kept, T.StructField("handled", T.BooleanType())]))
+
+
 def handle(events: DataFrame, callback: Callable[[Mapping], bool], keep: Sequence[str]) -> DataFrame:
     """Call the user's function for every event and keep its verdict in ``handled``.
 
@@ -201,10 +248,52 @@ def handle(events: DataFrame, callback: Callable[[Mapping], bool], keep: Sequenc
 PROGRESS = "run_id string, batch_id bigint, timestamp string, input_rows bigint, rows_per_second double"
 
 
-def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent micro-batches of a query as rows (Spark keeps the last 100)."""
-    rows = [
-        (str(p.runId), p.batchId, p.timestamp, p.numInputRows, float(p.processedRowsPerSecond or 0.0))
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, PROGRESS)
+class ProgressLog(StreamingQueryListener):
+    """Keeps the progress of every micro-batch of the session's queries as rows of a table.
+
+    Rows are appended to ``path`` whenever ``every`` of them have come together and when a query ends, so a run of any
+    length is counted whole. ``with ProgressLog(spark, path) as log: ...`` listens inside the block.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 1000):
+        self.spark, self.path, self.every = spark, path, every
+        self.waiting: list[tuple] = []
+        self.lock = threading.Lock()
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        # events still on their way come before the listener goes
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self.spark.streams.removeListener(self)
+        self.flush()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self.lock:
+            self.waiting.append((str(p.runId), p.batchId, p.timestamp, p.numInputRows, float(p.processedRowsPerSecond or 0.0)))
+            full = len(self.waiting) >= self.every
+        if full:
+            self.flush()
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+
+    def flush(self) -> None:
+        with self.lock:
+            rows, self.waiting = self.waiting, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def rows(self) -> DataFrame:
+        """Progress of all micro-batches so far."""
+        self.flush()
+        return self.spark.read.schema(PROGRESS).parquet(self.path)
