@@ -185,7 +185,7 @@ def test_as_of_many(spark):
     h = versions(spark)
     probes = spark.createDataFrame([(i, T0 + timedelta(hours=7 * i - 20)) for i in range(30)], "id long, at timestamp_ntz")
     for unit in ("day", "hour", "minute"):
-        got = {r.id: r.version for r in history.as_of_many(probes, h, "at", ["id"], unit).collect()}
+        got = {r.id: r.version for r in history.as_of_many(probes, h, "at", unit).collect()}
         for i in range(30):
             hours = 7 * i - 20
             assert got[i] == (None if hours < 0 else min(5, hours // 24)), (unit, i)

@@ -175,7 +175,12 @@ def test_suite(spark):
     assert q.run_now(spark, {"b": bad, "a": ok}).count() == 2
     fails_late = lambda: rows(spark, 1).select(F.lit("late").alias("validator"), F.raise_error(F.lit("x")).alias("status"),
                                                *[F.lit(1).alias(c) for c in q.RESULT_COLUMNS[2:]])
-    assert q.run_now(spark, {"late": fails_late}).first().status == "failed"
+    late = q.run_now(spark, {"late": fails_late}).first()
+    assert late.status == "failed" and late.error and late.message
+    lost = q.run(spark, {"c": broken}).first()
+    assert lost.error == "AnalysisException" and "nope" in lost.message
+    with pytest.raises(KeyError):
+        q.run(spark, {"own": lambda: {}["mistake"]})
 
 
 @pytest.mark.parametrize(

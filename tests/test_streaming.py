@@ -49,6 +49,30 @@ def test_upsert_equals_batch_and_survives_restart(spark, folder):
     assert table(streams.read_upserted(spark, root, columns=["id", "v"], **args)) == want
 
 
+def test_folds_between_batches_remove_what_they_cover(spark, folder, monkeypatch):
+    src, root, check = folder("src"), folder("root"), folder("check")
+    args = dict(keys=["id"], order_by=["n"])
+
+    def numbers(part, name):
+        return sorted(n for n, _ in streams.lineage.numbered_folders(spark, f"{root}/{part}", name))
+
+    for k in range(4):
+        changes(spark, 50 * k, 50 * k + 50).coalesce(1).write.mode("append").parquet(src)
+        streams.upsert_to(stream(spark, src), root, check, columns=["id", "v"], **args).awaitTermination()
+        if k == 2:  # the run ends after the base was listed and before anything is removed
+            with monkeypatch.context() as m:
+                m.setattr(streams.lineage, "remove", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+                with pytest.raises(OSError):
+                    streams.fold(spark, root, **args)
+        else:
+            assert streams.fold(spark, root, **args) == k
+        want = table(feed.current_of_changes(changes(spark, 0, 50 * k + 50), ["id"], ["n"]).select("id", "v"))
+        assert table(streams.read_upserted(spark, root, columns=["id", "v"], **args)) == want
+    assert numbers("delta", "batch_id") == [3] and numbers("base", "version") == [2, 3]
+    streams.fold(spark, root, forget=F.col("n") < 1000, **args)
+    assert table(streams.read_upserted(spark, root, columns=["id", "v"], **args)) == want
+
+
 def test_append_restart_without_loss_or_doubles(spark, folder):
     src, out, check = folder("src"), folder("out"), folder("check")
     for lo, hi in [(0, 50), (50, 120)]:

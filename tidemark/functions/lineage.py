@@ -33,6 +33,14 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
+def numbered_folders(spark: SparkSession, root: str, name: str) -> list[tuple[int, str]]:
+    """(n, path) of the folders ``name=n`` under ``root``."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    paths = [str(s.getPath()) for s in fs.listStatus(target)] if fs.exists(target) else []
+    return [(int(p.rsplit("=", 1)[1]), p) for p in paths if p.rsplit("/", 1)[1].startswith(f"{name}=")]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table that nothing reads any more."""
     jvm = spark.sparkContext._jvm

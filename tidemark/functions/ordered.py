@@ -38,6 +38,8 @@ def range_bucket(number: str | Column, width: int) -> Column:
 # of keys that may be hot. Callers set both.
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
+# Width of a range of whole numbers.
+NUMBERS = 1_000_000
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, most: int = MAX_HOT_KEYS) -> DataFrame:
@@ -49,23 +51,28 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, most: int
 
 
 def default_bucket(df: DataFrame, order_by: Sequence[str]) -> Column | None:
-    """The hour, when the rows are ordered by a time first; None when nothing is known of the order."""
-    timed = df.schema[order_by[0]].dataType.typeName() in ("timestamp", "timestamp_ntz")
-    return F.date_trunc("hour", F.col(order_by[0])) if timed else None
+    """The hour, when the rows are ordered by a time first; ranges of ``NUMBERS`` when it is a whole number (a log
+    position, an offset); None when nothing is known of the order."""
+    kind = df.schema[order_by[0]].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.date_trunc("hour", F.col(order_by[0]))
+    return range_bucket(order_by[0], NUMBERS) if kind in ("long", "integer", "short") else None
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], bucket: Column, name: str, rows: int = HOT_ROWS, most: int = MAX_HOT_KEYS
+    df: DataFrame, keys: Sequence[str], bucket: Column, name: str, rows: int = HOT_ROWS, most: int = MAX_HOT_KEYS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the bucket column ``name``: the bucket for rows of hot keys, null for all others. With ``rows`` 0 every
     key is cut by its bucket.
 
     Costs a count per key, which reads the key columns only and combines map-side. The hot keys are
-    broadcast, so ``df`` is not shuffled for this; ``most`` bounds their number.
+    broadcast, so ``df`` is not shuffled for this; ``most`` bounds their number. ``counted`` is a cheaper frame whose
+    rows per key are no fewer.
     """
     if rows <= 0:
         return df.withColumn(name, bucket)
-    hot = F.broadcast(hot_keys(df, keys, rows, most).withColumn("__hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(df if counted is None else counted, keys, rows, most).withColumn("__hot", F.lit(True)))
     return df.join(hot, list(keys), "left").withColumn(name, F.when(F.col("__hot"), bucket)).select(*df.columns, name)
 
 

@@ -47,10 +47,12 @@ def from_changes(
     op: str = "op",
     bucket: Column | None = None,
     committed: str | None = None,
+    hot_rows: int = ordered.HOT_ROWS,
 ) -> DataFrame:
     """Build the feed from an ordered change log cut into commits by ``version``.
 
-    The log is first collapsed to one change per key and version; only that is put in order per key.
+    The log is first collapsed to one change per key and version; only that is put in order per key. ``bucket`` (rising
+    with the version) cuts every key; without it keys with more than ``hot_rows`` changes are cut by ranges of versions.
     The commit time is the last event time of the version, joined by version; a log that has its commit
     time in a column (``committed``) needs no join.
     """
@@ -59,6 +61,9 @@ def from_changes(
     last = latest_per_key(changes.filter(has_op(op)).select(*needed), [*keys, version], order_by)
     row = F.struct(*wanted)
     state = F.struct(F.col(op).alias("o"), row.alias("r"))
+    if bucket is None:
+        last = ordered.split_hot(last, keys, ordered.range_bucket(version, 10_000), "__cut", hot_rows, counted=changes)
+        bucket = "__cut"
     with_prev = ordered.previous(last, keys, [version], state, "__prev", bucket)
     had = F.coalesce(F.col("__prev.o") != "d", F.lit(False))
     gone = F.col(op) == "d"
@@ -340,7 +345,3 @@ def restore_changes(feed: DataFrame, keys: Sequence[str], version: int, at: date
     )
     out = undone.select(F.explode(entries).alias("e")).select("e.r.*", F.col("e.t").alias(CHANGE_TYPE))
     return out.select(*base_columns(feed), CHANGE_TYPE, _latest(feed, -1).alias(VERSION), _like(feed, at).alias(TIMESTAMP))
-
-
-def empty(spark: SparkSession, table: DataFrame) -> DataFrame:
-    return spark.createDataFrame([], schema_of(table))

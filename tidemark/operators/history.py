@@ -81,20 +81,29 @@ def as_of(history: DataFrame, ts: datetime, earliest_if_before: bool = False) ->
     return history.agg(found.alias(_id(history)))
 
 
-def as_of_many(
-    probes: DataFrame, history: DataFrame, at: str, order_by: Sequence[str], unit: str = "minute"
-) -> DataFrame:
-    """Add the version in force at each probe's time.
+def as_of_many(probes: DataFrame, history: DataFrame, at: str, unit: str = "minute") -> DataFrame:
+    """Add the version in force at each probe's time; null before the first version, or without a time.
 
-    Probes and versions are put into one time order and the last version is carried on, unit by unit of
-    time in parallel: no range join, and the history is not broadcast.
+    The history is cut by ``unit`` of time: a unit that has probes or versions is one row with its own versions and the
+    version in force when it begins, carried along over these rows only. Probes find their unit by an equi join, so
+    they are neither sorted nor put in one task for a busy unit: a small table of units is broadcast by its
+    size, with a large one a hot unit is split at run time. Of versions with the same time the greatest counts.
     """
     name = _id(history)
     ts_type = probes.schema[at].dataType
-    marks = history.select(F.col("timestamp").cast(ts_type).alias(at), F.col(name), F.lit(0).alias("__kind"))
-    both = probes.withColumn("__kind", F.lit(1)).unionByName(marks, allowMissingColumns=True)
-    known = ordered.last_known(both, [], [at, "__kind", *order_by], F.col(name), "__v", F.date_trunc(unit, F.col(at)))
-    return known.filter(F.col("__kind") == 1).drop("__kind", name).withColumnRenamed("__v", name)
+    cut = lambda c: F.date_trunc(unit, c).cast(ts_type)
+    stamp = F.col("timestamp").cast(ts_type)
+    versions = history.select(cut(stamp).alias("__unit"), F.struct(stamp.alias("t"), F.col(name).alias("v")).alias("__m"))
+    own = versions.groupBy("__unit").agg(F.sort_array(F.collect_list("__m")).alias("__own"))
+    asked = probes.select(cut(F.col(at)).alias("__unit")).filter(F.col("__unit").isNotNull()).distinct()
+    units = asked.join(own, "__unit", "full_outer").withColumn("__last", F.element_at("__own", -1)["v"])
+    carried = ordered.scan(units, [], ["__unit"], {"__upto": ordered.known(F.col("__last"))}, F.date_trunc("day", F.col("__unit")))
+    before = ordered.scan(carried, [], ["__unit"], {"__start": ordered.prior(F.col("__upto"))}, F.date_trunc("day", F.col("__unit")))
+    table = before.select(F.col("__unit").alias("__u"), "__own", "__start")
+    inside = F.filter("__own", lambda m: m["t"] <= F.col(at))
+    found = F.coalesce(F.try_element_at(inside, F.lit(-1))["v"], F.col("__start"))
+    joined = probes.join(table, cut(F.col(at)) == F.col("__u"), "left")
+    return joined.select(*probes.columns, found.alias(name))
 
 
 def operation_counts(history: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,11 @@ from tidemark.functions import checksum as sums
 STATUSES = ("skipped", "passed", "warning", "failed")
 PASSED, FAILED, WARNING, SKIPPED = "passed", "failed", "warning", "skipped"
 RESULT_COLUMNS = ("validator", "status", "checked", "failures", "expected", "actual")
-RESULT = "validator string, status string, checked bigint, failures bigint, expected bigint, actual bigint"
+# Columns of a suite's rows: why a validator couldn't run, else null.
+SUITE_COLUMNS = (*RESULT_COLUMNS, "error", "message")
+SUITE = (
+    "validator string, status string, checked bigint, failures bigint, expected bigint, actual bigint, error string, message string"
+)
 # Text patterns of the customer rules.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 PHONE = r"^\+?[1-9]\d{1,14}$"
@@ -490,24 +496,31 @@ def sample(df: DataFrame, k: int, order_by: Sequence[str]) -> DataFrame:
     return df.orderBy(*order_by).limit(k)
 
 
-def _literal(spark: SparkSession, name: str, status: str) -> DataFrame:
+def _reason(x: Exception) -> tuple[str, str]:
+    """(class, first line of the message) of what stopped a validator."""
+    return type(x).__name__, (str(x).strip().splitlines() or [""])[0]
+
+
+def _literal(spark: SparkSession, name: str, status: str, error: str | None = None, message: str | None = None) -> DataFrame:
     return spark.range(1).select(
         F.lit(name).alias("validator"), F.lit(status).alias("status"),
         *[F.lit(None).cast("bigint").alias(c) for c in ("checked", "failures", "expected", "actual")],
+        F.lit(error).cast("string").alias("error"), F.lit(message).cast("string").alias("message"),
     )
 
 
 def run(spark: SparkSession, suite: Mapping[str, Callable[[], DataFrame]], only: Sequence[str] | None = None) -> DataFrame:
     """Result rows of all validators as one lazy frame. A validator that cannot be planned (a missing
-    column, say) gives a failed row; an empty suite gives one warning row."""
+    column, say) gives a failed row with the error; an empty suite gives one warning row."""
     frames = []
     for name, build in suite.items():
         if only is not None and name not in only:
             continue
         try:
-            frames.append(build().select(*RESULT_COLUMNS))
-        except Exception:
-            frames.append(_literal(spark, name, FAILED))
+            none = [F.lit(None).cast("string").alias(c) for c in ("error", "message")]
+            frames.append(build().select(*RESULT_COLUMNS, *none))
+        except (PySparkException, Py4JJavaError) as x:
+            frames.append(_literal(spark, name, FAILED, *_reason(x)))
     if not frames:
         return _literal(spark, "suite", WARNING)
     out = frames[0]
@@ -526,13 +539,13 @@ def run_now(
         if only is not None and name not in only:
             continue
         try:
-            found = [tuple(r) for r in build().select(*RESULT_COLUMNS).collect()]
-        except Exception:
-            found = [(name, FAILED, None, None, None, None)]
+            found = [(*r, None, None) for r in build().select(*RESULT_COLUMNS).collect()]
+        except (PySparkException, Py4JJavaError) as x:
+            found = [(name, FAILED, None, None, None, None, *_reason(x))]
         rows += found
         if fail_fast and any(r[1] == FAILED for r in found):
             break
-    return spark.createDataFrame(rows or [("suite", WARNING, None, None, None, None)], RESULT)
+    return spark.createDataFrame(rows or [("suite", WARNING, *[None] * 6)], SUITE)
 
 
 

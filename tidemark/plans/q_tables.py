@@ -723,7 +723,7 @@ def snapshot_before_first(spark, sf):
 )
 def version_of_each_event(spark, sf):
     probes = i.read(spark, sf, "events").select("event_id", "ts")
-    return history.as_of_many(probes, i.versions(spark, sf), "ts", ["event_id"], "minute").select("event_id", "version")
+    return history.as_of_many(probes, i.versions(spark, sf), "ts", "minute").select("event_id", "version")
 
 
 @query("h7_snapshot_info", "SELECT * FROM snaps WHERE snapshot_id = 1140", ("snaps",))

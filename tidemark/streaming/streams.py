@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from tidemark.functions import ordered
+from tidemark.functions import lineage, ordered
 from tidemark.operators import apply as ap
 from tidemark.sinks import writers
 
@@ -91,10 +91,28 @@ def read_upserted(
     return _state(spark, root, keys, order_by).filter(F.col(op) != "d").select(*columns)
 
 
-def fold(spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str]) -> int:
-    """Write the merged state as a new base that covers all batches so far; returns the last batch."""
+def fold(
+    spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str], forget: Column | None = None, op: str = "op"
+) -> int:
+    """Write the merged state as a new base that covers all batches so far; returns the last batch.
+
+    Once the new base is listed, the batches that the base before it covers and all older bases are removed: readers
+    that began with the last base still find what they need, and after a failure in between the next call does it.
+    Deletes that meet the condition ``forget`` (so old that no late change to their key can come) leave the base.
+    """
+    before = writers.latest_version(spark, f"{root}/base")
     last = spark.read.parquet(f"{root}/delta").agg(F.max("batch_id")).first()[0]
-    writers.write_version(_state(spark, root, keys, order_by), f"{root}/base", last)
+    state = _state(spark, root, keys, order_by)
+    if forget is not None:
+        state = state.filter(~((F.col(op) == "d") & F.coalesce(forget, F.lit(False))))
+    if before is None or last > before:
+        writers.write_version(state, f"{root}/base", last)
+    if before is not None:
+        bound = before if last > before else -1
+        for name, kind, keep in ((f"{root}/delta", "batch_id", bound + 1), (f"{root}/base", "version", bound)):
+            for number, path in lineage.numbered_folders(spark, name, kind):
+                if number < keep:
+                    lineage.remove(spark, path)
     return last
 
 
