@@ -1,6 +1,6 @@
 """Toxicity classifier with counterfactual regularisation.
 
-A logistic regression over the presence of words. In labelled sentences that mention a group, the identity terms are
+A logistic regression over the presence of words and of word beginnings (of 4 to 6 letters). In labelled sentences that mention a group, the identity terms are
 swapped for the other terms of their kind; beside the loss, fitting penalises the squared change of the score's
 logit between a text and its swapped copies. So a term that stands in toxic texts by chance gets no weight of its own,
 and neutral mentions of a group aren't false positives. Since the words of a text are a set, swapping every sentence
@@ -34,7 +34,9 @@ from tidemark.llm.discriminant import one_label_each
 MAX_ROWS, MAX_WORDS = 40_000, 4096
 #: A word is a feature if so many rows have it and its shares in the classes differ by so many standard errors.
 LEAST_ROWS, LEAST_Z = 4, 4.0
-L2, COUNTERFACTUAL, STEPS = 2e-4, 1.0, 400
+L2, COUNTERFACTUAL, STEPS = 5e-4, 1.0, 400
+#: Lengths of word beginnings, and the most that a row of class 1 counts where there are fewer of them.
+BEGINNINGS, MOST_WEIGHT = (4, 5, 6), 3.0
 THRESHOLD = 0.5
 #: Terms of one kind stand for each other in counterfactual sentences.
 IDENTITY = (
@@ -57,6 +59,11 @@ def words_in(text: str) -> list[str]:
     return sorted(set(_word.findall(text.lower())))
 
 
+def features(words: Iterable[str]) -> set[str]:
+    words = set(words)
+    return words | {"^" + w[:k] for w in words for k in BEGINNINGS if len(w) >= k}
+
+
 def swaps(words: Iterable[str], groups=IDENTITY) -> list[set[str]]:
     """The counterfactual sets: for k = 1, 2, ... each identity term becomes the k-th next one of its group, until
     every term of the largest group met has been put in."""
@@ -73,7 +80,7 @@ class Model:
     intercept: float = 0.0
 
     def score(self, words: Iterable[str]) -> float:
-        z = self.intercept + sum(self.weights.get(w, 0.0) for w in words)
+        z = self.intercept + math.fsum(self.weights.get(f, 0.0) for f in features(words))
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
@@ -85,18 +92,20 @@ def _sparse(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], n: int, l2: float = L2, counterfactual: float = COUNTERFACTUAL, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and intercept by accelerated gradient steps. ``rows`` has the columns of each text, ``pairs`` those of a
     text and of a swapped copy. The last column, for all texts, is the intercept and isn't shrunk."""
+    count = np.where(y > 0, np.clip((y <= 0).sum() / max(1, (y > 0).sum()), 1.0, MOST_WEIGHT), 1.0)
+    count /= count.sum()
     at, col = _sparse([np.append(r, n) for r in rows])
     shrunk = np.append(np.full(n, l2), 0.0)
     left, right = (_sparse([p[k] for p in pairs]) for k in (0, 1))
     m = max(1, len(pairs))
     # a bound of the curvature: Frobenius norms over the numbers of rows
-    per_row = np.bincount(at, minlength=len(rows))
+    per_row = np.bincount(at, minlength=len(rows)) * count
     apart = max((len(a) + len(b) for a, b in pairs), default=0)
-    step = 1 / (0.25 * per_row.mean() + l2 + 2 * counterfactual * apart)
+    step = 1 / (0.25 * per_row.sum() + l2 + 2 * counterfactual * apart)
     w, ahead, t = np.zeros(n + 1), np.zeros(n + 1), 1.0
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(at, ahead[col], len(rows)), -500, 500)))
-        g = np.bincount(col, (p - y)[at], n + 1) / len(rows) + shrunk * ahead
+        g = np.bincount(col, (count * (p - y))[at], n + 1) + shrunk * ahead
         if pairs:
             change = np.bincount(left[0], ahead[left[1]], len(pairs)) - np.bincount(right[0], ahead[right[1]], len(pairs))
             g += 2 * counterfactual / m * (np.bincount(left[1], change[left[0]], n + 1) - np.bincount(right[1], change[right[0]], n + 1))
@@ -117,7 +126,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
         share = n1 / (n0 + n1) if n0 + n1 else 0.5
         return Model({}, math.log((share + 1e-9) / (1 - share + 1e-9)))
     terms = [w for g in IDENTITY for w in g]
-    seen = sample.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+    starts = [F.transform(F.filter("words", lambda w: F.length(w) >= k), lambda w: F.concat(F.lit("^"), F.substring(w, 1, k))) for k in BEGINNINGS]
+    seen = sample.select("label", F.explode(F.array_distinct(F.concat("words", *starts))).alias("word")).groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
     share = (F.col("a") + F.col("b")) / float(n0 + n1)
     z = F.abs(F.col("a") / float(n1) - F.col("b") / float(n0)) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
     telling = (F.col("a") + F.col("b") >= LEAST_ROWS) & (z >= LEAST_Z)
@@ -125,7 +135,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
     vocabulary = {r.word: k for k, r in enumerate(top.select("word").collect())}
 
     def columns(words: Iterable[str]) -> list[int]:
-        return sorted(vocabulary[w] for w in words if w in vocabulary)
+        return sorted(vocabulary[f] for f in features(words) if f in vocabulary)
 
     def numbered(batches):
         for b in batches:
@@ -145,7 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document. Rows whose id has crc32 remainder 0 of 5 are held out."""
     model = learn(docs, labels, label, doc_id, text)
-    score = per_text(lambda t: (model.score(set(_word.findall(t.lower()))),), "score double")
+    score = per_text(lambda t: (model.score(_word.findall(t.lower())),), "score double")
     rows = docs.select(quoted(doc_id).alias("doc_id"), (crc_rest(quoted(doc_id), 5) == 0).alias("held_out"), score(quoted(text))["score"].alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
