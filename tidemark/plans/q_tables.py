@@ -387,7 +387,7 @@ def compact(spark, sf):
     many, few = lineage.scratch(spark), lineage.scratch(spark)
     writers.append(i.snapshot_before(spark, sf).repartition(12), many)
     writers.append(i.snapshot_after(spark, sf).repartition(12), many)
-    writers.compact(spark.read.parquet(many), few, 2, ["o_custkey"])
+    writers.compact(spark.read.parquet(many), few, order_by=["o_custkey"], target_bytes=2**19)
     return spark.read.parquet(few)
 
 

@@ -92,10 +92,20 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def compact(df: DataFrame, path: str, files: int, order_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Rewrite a table into ``files`` files in a new folder. With ``order_by`` they are cut by range and
+TARGET_BYTES = 256 * 2**20
+
+
+def compact(
+    df: DataFrame, path: str, files: int | None = None, order_by: Sequence[str] = (), fmt: str = "parquet",
+    target_bytes: int = TARGET_BYTES,
+) -> None:
+    """Rewrite a table into files of about ``target_bytes`` (of its present size on disk), or into ``files`` of them, in a
+    new folder. With ``order_by`` they are cut by range and
     sorted, so that scans on those columns skip files; rows that tie are cut by their hash, so a hot
     value is spread over files."""
+    if files is None:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        files = max(1, -(-size // target_bytes))
     if order_by:
         out = df.repartitionByRange(files, *order_by, F.xxhash64(*df.columns)).sortWithinPartitions(*order_by)
     else:
