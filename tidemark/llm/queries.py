@@ -22,4 +22,5 @@ ORACLE = {
     "op4_licence_scan": sql.OP4,
     "op5_top_k": sql.OP5,
     "op8_chat_format": sql.OP8,
+    "op10_near_copies": sql.OP10,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, licences, mixing, top_k
+from tidemark.llm import chat, licences, mixing, near_copies, top_k
 from tidemark.llm import quality_rules as rules
 
 ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -138,3 +138,18 @@ whole as (select min(conv_id) as conv_id, n, h, count(*) as copies from p where
 kept as (select conv_id, n as n_turns, copies from whole where not exists (select 1 from p where p.place < p.n and p.place = whole.n and p.h = whole.h))
 select n.conv_id, n.part, n_turns, copies, string_agg('{chat.OPEN}' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '{chat.CLOSE}' || chr(10), '' order by place) as text
 from n join kept on n.conv_id is not distinct from kept.conv_id group by n.conv_id, n.part, n_turns, copies"""
+
+_N = near_copies.SHINGLE
+#: Brute force over all pairs of documents with a shingle in common: for small tables.
+OP10 = f"""
+with recursive d as (select doc_id, regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '{licences.LICENCE_WORD}') as ws from documents),
+shingles as (select distinct doc_id, array_to_string(list_slice(ws, k, k + {_N - 1}), ' ') as s
+  from (select doc_id, ws, unnest(range(1, greatest(1, len(ws) - {_N - 1}) + 1)) as k from d where len(ws) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where {1 + near_copies.THRESHOLD} * c >= {near_copies.THRESHOLD} * (x.n + y.n) - 1e-6),
+reach as (select doc_id, doc_id as other from d union select reach.doc_id, b from reach join links on other = a),
+groups as (select doc_id, min(other) as class_id from reach group by doc_id),
+counts as (select a as doc_id, count(*) as n_links from links group by a)
+select d.doc_id, class_id, coalesce(n_links, 0)::bigint as n_links from d join groups using (doc_id) left join counts using (doc_id)"""
