@@ -1,6 +1,5 @@
 """Operators against brute force, exact libraries, held-out labels and their SQL."""
 
-import base64
 import collections
 import hashlib
 import os
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import check
-from tidemark.llm import byte_pair, chat, discriminant, licences, mixing, near_copies, personal_data, quality_rules, queries, sql, top_k, toxicity
+from tidemark.llm import byte_pair, chat, discriminant, licences, mixing, near_copies, personal_data, queries, sql, top_k, toxicity
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")

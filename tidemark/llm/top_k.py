@@ -7,7 +7,7 @@ components at the depth reached, is below its k-th score: no row not yet met can
 
 Queries are a stated set (rows whose id is divisible by a number). They are cut into blocks, too, and every block of
 queries meets every block of rows in a task of its own, of bounded size; each hands back k rows per query, of which
-the best k are kept. A block of queries carries the k-th score it has found from list to list only inside its task.
+the best k are kept.
 
 Defined results: a vector that is null or has null or non-finite components takes no part, nor does a row without id;
 rows that share an id count once, with the least vector; vectors shorter than the longest one are zero beyond
