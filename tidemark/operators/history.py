@@ -6,7 +6,6 @@ timestamp, operation, summary``. A history has one row per commit.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
