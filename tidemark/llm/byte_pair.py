@@ -18,6 +18,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
+import sys
+import types
 
 import numpy as np
 import pandas as pd
@@ -30,8 +33,8 @@ from pyspark.sql.types import StringType
 from tidemark.llm.common import per_text, quoted, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Pre-tokens whose ids a task keeps, and the bytes of the longest one kept.
-KEPT, KEPT_BYTES = 200_000, 64
+#: Bytes of a short pre-token: merged with bitmaps of places, and kept. Pre-tokens whose ids a task keeps: twice KEPT.
+SHORT, KEPT = 64, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -110,41 +113,130 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+_AFTER, _BEFORE = list(range(1, SHORT + 1)), list(range(-1, SHORT))
+
+
+def merge_short(piece: bytes, ranks: dict[bytes, int], pairs: list[int], buckets: list[int], low: list[int]) -> list[int]:
+    """The same for at most ``SHORT`` bytes: the buckets are bitmaps of places, in a list by rank, under a rank bitmap of
+    two levels of 256 bits. ``pairs`` has the rank of two bytes, or -1. The lists are used again and again: all zero
+    before and after."""
+    if piece in ranks:
+        return [ranks[piece]]
+    get, n = ranks.get, len(piece)
+    after, ends, before = _AFTER[:n], _AFTER[:n], _BEFORE[:n]
+    pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    top, bit = 0, 1
+    for rank in pair:
+        if rank >= 0:
+            places = buckets[rank]
+            if not places:
+                a = rank >> 8
+                low[a] |= 1 << (rank & 255)
+                top |= 1 << a
+            buckets[rank] = places | bit
+        bit <<= 1
+    pair.append(-1)
+    while top:
+        a = (top & -top).bit_length() - 1
+        word = low[a]
+        rank = (a << 8) + (word & -word).bit_length() - 1
+        places = buckets[rank]
+        bit = places & -places
+        buckets[rank] = places = places ^ bit
+        if not places:
+            low[a] = word = word & (word - 1)
+            if not word:
+                top &= top - 1
+        k = bit.bit_length() - 1
+        if pair[k] != rank:
+            continue  # stale
+        gone = after[k]
+        end = ends[k] = ends[gone]
+        follower = after[k] = after[gone]
+        pair[gone] = pair[k] = -1
+        if follower < n:
+            before[follower] = k
+            new = get(piece[k : ends[follower]])
+            if new is not None:
+                pair[k] = new
+                places = buckets[new]
+                if not places:
+                    a = new >> 8
+                    low[a] |= 1 << (new & 255)
+                    top |= 1 << a
+                buckets[new] = places | bit
+        start = before[k]
+        if start >= 0:
+            new = get(piece[start:end])
+            if new is None:
+                pair[start] = -1
+            else:
+                pair[start] = new
+                places = buckets[new]
+                if not places:
+                    a = new >> 8
+                    low[a] |= 1 << (new & 255)
+                    top |= 1 << a
+                buckets[new] = places | 1 << start
+    out, k = [], 0
+    while k < n:
+        out.append(ranks[piece[k : ends[k]]])
+        k = after[k]
+    return out
+
+
 class Codec:
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.pattern = regex.compile(pattern)
+        size = max(self.ranks.values(), default=0) + 1
+        self.buckets, self.low = [0] * size, [0] * (size // 256 + 1)
+        self.pairs = [self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def piece(self, text: str) -> bytes:
-        raw = text.encode("utf-8", "surrogatepass")
-        ids = np.array(merge(raw, self.ranks), "<u4").tobytes()
-        if len(raw) <= KEPT_BYTES:
-            if len(self.kept) >= KEPT:
-                self.kept.clear()
-            self.kept[text] = ids
+        """Ids of a pre-token that isn't among those met lately."""
+        ids = self.older.get(text)
+        if ids is None:
+            raw = text.encode("utf-8", "surrogatepass")
+            if len(raw) > SHORT:
+                return np.array(merge(raw, self.ranks), "<u4").tobytes()
+            found = merge_short(raw, self.ranks, self.pairs, self.buckets, self.low)
+            ids = struct.pack(f"<{len(found)}I", *found)
+        if len(self.kept) >= KEPT:
+            self.older, self.kept = self.kept, {}
+        self.kept[text] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        kept = self.kept
-        return b"".join([kept.get(p) or self.piece(p) for p in self.pattern.findall(text)])
+        kept, out = self.kept, []
+        for p in self.pattern.findall(text):
+            ids = kept.get(p)
+            if ids is None:
+                ids = self.piece(p)
+                kept = self.kept
+            out.append(ids)
+        return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def per_codec(fn, fields: str, path: str, pattern: str):
-    """A pandas UDF of texts whose function gets the codec, which each Python worker reads once per task."""
-    made: list[Codec] = []
+def codec_of(path: str, pattern: str) -> Codec:
+    """The codec of this Python process: workers go from task to task, and so do the ids they keep."""
+    module = sys.modules.setdefault("_kept_codecs", types.ModuleType("_kept_codecs"))
+    codecs = module.__dict__.setdefault("codecs", {})
+    if (path, pattern) not in codecs:
+        codecs[path, pattern] = Codec(path, pattern)
+    return codecs[path, pattern]
 
-    def run(text: str) -> tuple:
-        if not made:
-            made.append(Codec(path, pattern))
-        return fn(made[0], text)
 
-    return per_text(run, fields)
+def per_codec(fn, fields: str, path: str, pattern: str):
+    """A pandas UDF of texts whose function gets the codec."""
+    return per_text(lambda text: fn(codec_of(path, pattern), text), fields)
 
 
 def ids_of(codec: Codec, text: str) -> tuple:
