@@ -23,7 +23,6 @@ other columns are left as they are, and of equal ids and texts one row stays.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 
 import numpy as np
