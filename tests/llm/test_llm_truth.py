@@ -266,6 +266,34 @@ def test_licence_spans(spark):
     assert [(s.start, s.end, s.label) for s in r.spans if not s.whole] == [(2, 23, "mit")]
 
 
+GNU = "{} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version 3"
+NOTICES = {
+    "gpl": ["General Public License"],
+    "lgpl": ["Lesser General Public License", "Library General Public License"],
+    "agpl": ["Affero General Public License"],
+}
+CC = {
+    "cc-by": ["Attribution"],
+    "cc-by-nc": ["Attribution-NonCommercial", "Attribution Non-Commercial"],
+    "cc-by-sa": ["Attribution-ShareAlike", "Attribution-Share Alike"],
+    "cc-by-nd": ["Attribution-NoDerivatives", "Attribution-NoDerivs"],
+    "cc-by-nc-sa": ["Attribution-NonCommercial-ShareAlike"],
+    "cc-by-nc-nd": ["Attribution-NonCommercial-NoDerivs"],
+}
+
+
+def test_licences_of_a_family_are_told_apart(spark):
+    rows = [(label, text) for label, names in NOTICES.items() for name in names for text in (GNU.format("This program", name), GNU.format("This library", name), f"It is licensed under the GNU {name}.", f"This work is licensed under the GNU {name} version 2")]
+    for label, names in CC.items():
+        for name in names:
+            rows += [(label, f"x This work is licensed under a Creative Commons {name}{v} License. y") for v in (" 4.0 International", " 3.0 Unported", " 2.5", " 3.0 Germany", "")]
+            rows += [(label, f"Text is available under the terms of the Creative Commons {name} License")]
+        rows += [(label, f"licensed under {label.upper().replace('CC-', 'CC ')}{v}") for v in (" 4.0", "")]
+    rows += [("", "This work is licensed under a Creative Commons license"), ("gpl,lgpl", "GNU " + GNU.format("this program", "General Public License") + ". " + GNU.format("This library", "Lesser General Public License"))]
+    got = licences.scan(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")).collect()
+    assert {rows[r.doc_id][1]: r.labels for r in got} == {t: label for label, t in rows}
+
+
 @needs_tables
 def test_pipeline_as_its_operators_in_brute_force(spark, ranks):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

@@ -5,6 +5,12 @@ a diagonal, the offset of the document's place against the template's. Votes are
 next to each other (words put in or left out) are merged into one span, and a span holds if it covers enough of its
 template and is made of it densely enough. Phrases are templates that have to stand whole, on a single diagonal.
 
+Licences of a family (Creative Commons, GNU) have most words in common, so such a span is then verified against the
+document's own words: the places where a text names a variant ("attribution" or "cc by" with what follows, "general
+public" with the word before) are kept for every document with a hit, and a span is of the variants named inside it, of
+none if nothing is named. Versions and suffixes are no part of ``CORES``, so any of them may follow or be left out. Of
+overlapping spans of one label the best stays.
+
 All rolling k-grams of a text are hashed and looked up in the set of template hashes; what passes is joined by the
 words themselves, so a span never rests on a hash. The templates are a fixed list; documents' words are neither
 shuffled nor exploded.
@@ -22,6 +28,7 @@ from tidemark.llm.common import quoted, table, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LICENCE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SPANS = "array<struct<start:int,end:int,label:string,whole:boolean,score:double>>"
 K = 3
 #: Diagonals at most so far apart belong to one span.
 NEIGHBOUR = 3
@@ -52,18 +59,40 @@ NOTICES = (
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
+# Notices without version and suffix; their variant is what the document names.
+CORES = (
+    ("cc-by", "licensed under a creative commons attribution"),
+    ("cc-by", "licensed under the creative commons attribution"),
+    ("cc-by", "under the terms of the creative commons attribution"),
+    ("cc-by", "licensed under cc by"),
+    ("gpl", "under the terms of the gnu general public license"),
+    ("gpl", "licensed under the gnu general public license"),
+    ("lgpl", "licensed under the gnu lesser general public license"),
+    ("lgpl", "licensed under the gnu library general public license"),
+    ("agpl", "licensed under the gnu affero general public license"),
+)
+FAMILIES = ("cc-by", "cc-by-nc", "cc-by-sa", "gpl", "lgpl", "agpl")
+_SAYS = {"nc": "non ?commercial|nc", "sa": "share ?alike|sa", "nd": "no ?deriv(?:ative)?s?(?: works)?|nd"}
 
 
-def template_grams() -> list[tuple[int, str, bool, int, int, str]]:
-    """(template, label, whole, grams, place, gram) of every k-gram of every template."""
+def _grams(rows: list[tuple[str, str, bool]], first: int) -> list[tuple[int, str, bool, int, int, str]]:
     out = []
-    for t, (label, text, whole) in enumerate([(*p, True) for p in PHRASES] + [(*n, False) for n in NOTICES]):
+    for t, (label, text, whole) in enumerate(rows, first):
         words = text.split()
         n = len(words) - K + 1
         out += [(t, label, whole, n, k, " ".join(words[k : k + K])) for k in range(n)]
     return out
 
 
+def template_grams() -> list[tuple[int, str, bool, int, int, str]]:
+    """(template, label, whole, grams, place, gram) of every k-gram of every template."""
+    return _grams([(*p, True) for p in PHRASES] + [(*n, False) for n in NOTICES], 0)
+
+
+def core_grams() -> list[tuple[int, str, bool, int, int, str]]:
+    return _grams([(*c, False) for c in CORES], len(PHRASES) + len(NOTICES))
+
+
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(LICENCE_WORD), F.lit(0))
 
@@ -72,11 +101,51 @@ def _gram_hash(words: Column, k: Column) -> Column:
     return F.xxhash64(*[F.get(words, k + j) for j in range(K)])
 
 
+def _named(words: Column) -> Column:
+    """(at, label) of every place where a variant of a family is named."""
+
+    def word(k: Column) -> Column:
+        return F.get(words, k)
+
+    def is_cc(k: Column) -> Column:
+        return ((word(k) == "attribution") & (word(k - 1) == "commons")) | ((word(k) == "by") & (word(k - 1) == "cc"))
+
+    def label(k: Column) -> Column:
+        every = "|".join(_SAYS.values())
+        said = F.regexp_extract(F.concat_ws(" ", F.slice(words, k + 2, 8)), rf"^(?:(?:and )?(?:{every})(?: |$))*", 0)
+        cc = F.concat(F.lit("cc-by"), *[F.when(said.rlike(rf"\b(?:{p})\b"), f"-{v}").otherwise("") for v, p in _SAYS.items()])
+        before = F.coalesce(word(k - 1), F.lit(""))
+        gnu = F.when(before.isin("lesser", "library"), "lgpl").when(before == "affero", "agpl").otherwise("gpl")
+        return F.when(word(k) == "general", gnu).otherwise(cc)
+
+    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda k: is_cc(k) | ((word(k) == "general") & (word(k + 1) == "public")))
+    return F.transform(places, lambda k: F.struct(k.alias("at"), label(k).alias("label")))
+
+
+def _verified(spans: Column, named: Column) -> Column:
+    """Spans of families by the variants named inside them; of spans of one label that overlap the best."""
+
+    def variants(s: Column) -> Column:
+        inside = F.filter(named, lambda n: (n["at"] >= s["start"]) & (n["at"] < s["end"]))
+        return F.when(s["label"].isin(*FAMILIES), F.array_distinct(F.transform(inside, lambda n: n["label"]))).otherwise(F.array(s["label"]))
+
+    named_spans = F.flatten(F.transform(spans, lambda s: F.transform(variants(s), lambda v: s.withField("label", v))))
+    ordered = F.array_sort(F.transform(named_spans, lambda s: F.struct(s["label"].alias("label"), s["whole"].alias("whole"), s["start"].alias("start"), s.alias("s"))))
+
+    def best(kept: Column, x: Column) -> Column:
+        last, s = F.get(kept, F.size(kept) - 1), x["s"]
+        overlap = F.coalesce((last["label"] == s["label"]) & (last["whole"] == s["whole"]) & (s["start"] < last["end"]), F.lit(False))
+        better = F.struct(s["score"], s["end"] - s["start"]) > F.struct(last["score"], last["end"] - last["start"])
+        return F.when(~overlap, F.concat(kept, F.array(s))).when(better, F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(s))).otherwise(kept)
+
+    return F.sort_array(F.aggregate(ordered, F.array().cast(SPANS), best))
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``,
     ``labels``, ``score``, and ``spans``, an array of (label, whole, start, end, score), words from 0, end exclusive."""
     spark = docs.sparkSession
-    grams = spark.createDataFrame(template_grams(), "template int, label string, whole boolean, grams int, place int, gram string")
+    grams = spark.createDataFrame(template_grams() + core_grams(), "template int, label string, whole boolean, grams int, place int, gram string")
     grams = grams.withColumn("hash", F.xxhash64(*[F.get(F.split("gram", " "), F.lit(j)) for j in range(K)]))
     hashes = [r.hash for r in grams.select("hash").distinct().collect()]  # of the fixed list of templates
 
@@ -84,7 +153,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     places = F.when(F.size("words") >= K, F.sequence(F.lit(0), F.size("words") - K)).otherwise(F.array().cast("array<int>"))
     met = F.filter(places, lambda k: _gram_hash(F.col("words"), k).isin(hashes))
     met = F.transform(met, lambda k: F.struct(k.alias("at"), F.concat_ws(" ", F.slice("words", k + 1, K)).alias("gram")))
-    narrow = written(cut.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), met.alias("met")))
+    cut = cut.withColumn("met", met)
+    named = F.when(F.size("met") > 0, _named(F.col("words"))).alias("named")
+    narrow = written(cut.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), "met", named))
 
     key = ["doc_id", "text_hash"]
     hits = narrow.where(F.size("met") > 0).select(*key, F.explode("met").alias("m")).select(*key, "m.at", "m.gram")
@@ -111,8 +182,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     found = phrases.unionByName(spans).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "end", "label", "whole", "score"))).alias("spans"))
     found = found.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "spans")
     rows = narrow.drop("met").join(found, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("text_hash").eqNullSafe(F.col("h")), "left")
-    spans = F.coalesce(F.col("spans"), F.array().cast("array<struct<start:int,end:int,label:string,whole:boolean,score:double>>"))
-    base = F.filter(spans, lambda s: s["whole"])
+    spans = F.coalesce(F.col("spans"), F.array().cast(SPANS))
+    rows = rows.withColumn("spans", spans).withColumn("base", F.filter("spans", lambda s: s["whole"]))
+    rows = rows.withColumn("spans", F.when(F.size("spans") > 0, _verified(F.col("spans"), F.col("named"))).otherwise(F.col("spans")))
+    base, spans = F.col("base"), F.col("spans")
 
     def labels(of: Column) -> Column:
         return F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(of, lambda s: s["label"]))))
@@ -126,7 +199,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         labels(base).alias("base_labels"),
         labels(spans).alias("labels"),
         F.coalesce(F.array_max(F.transform(spans, lambda s: s["score"])), F.lit(0.0)).alias("score"),
-        spans.alias("spans"),
+        "spans",
     )
 
 
