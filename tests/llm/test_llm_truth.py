@@ -192,6 +192,24 @@ def test_chat_as_sql(spark, folder, monkeypatch):
     assert twin(spark, folder(), {"conversations": table}, chat.op8, text) is None
 
 
+def test_chat_parts_are_cut_by_rows_and_bytes(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PART_ROWS", 50, raising=False)
+    monkeypatch.setattr(chat, "PART_BYTES", 4000, raising=False)
+    rng = random.Random(12)
+    rows = [(None, k % 7, "user", f"t{rng.randrange(40)}") for k in range(700)]  # numbers that repeat
+    rows += [(1, None, "user", f"n{rng.randrange(300)}") for _ in range(400)] + [(1, k, "user", "x") for k in range(5)]  # no numbers
+    rows += [(2, k, "user", "y" * 900) for k in range(20)] + [(2, 3, "user", "z" * 9000)]  # long texts
+    rows += [(3, k, "user", "few") for k in range(2000, 2030)]
+    got = chat.render(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)).collect()
+    for c in (None, 1, 2, 3):
+        parts = sorted((r.part, r.text) for r in got if r.conv_id == c)
+        want = "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for _, _, r, t in sorted(((n is None, n or 0, r, t) for i, n, r, t in rows if i == c)))
+        assert "".join(t for _, t in parts) == want
+        assert all(t.count("<|im_start|>") <= 50 and len(t) - t.index("<|im_end|>") <= 4020 for _, t in parts)
+        assert [p for p, _ in parts] == ([1] if c == 3 else list(range(len(parts))))
+        assert len({r.n_turns for r in got if r.conv_id == c}) == 1
+
+
 def test_mix_meets_its_targets(spark):
     rng = random.Random(5)
     rows = [(k, prose(rng, 1 + int(rng.paretovariate(0.9) * 20) % 900), None if k % 50 == 0 else f"s{min(k % 9, 4)}") for k in range(3000)]
