@@ -134,6 +134,17 @@ def test_near_copies_in_blocks(spark, copied, monkeypatch):
     assert {r.doc_id: (r.class_id, r.n_links) for r in got} == links_by_brute_force(copied)
 
 
+def test_repeats_of_a_row_are_shingled_once(spark, monkeypatch):
+    text = prose(random.Random(8), 120, 3000)
+    near = text.replace(text.split()[60], "x", 1)
+    rows = [(1, text)] * 500 + [(None, near)] * 300 + [(7, "alone")]
+    met, verified = [], near_copies.verified
+    monkeypatch.setattr(near_copies, "verified", lambda m: met.append(m.count()) or verified(m))
+    got = near_copies.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert met == [2]
+    assert collections.Counter((r.doc_id, r.class_id, r.n_links) for r in got) == {(1, 1, 799): 500, (None, 1, 799): 300, (7, 7, 0): 1}
+
+
 def test_forest_depth():
     depth = near_copies.depth_for()
     recall = [1 - (1 - near_copies.THRESHOLD**d) ** near_copies.TRIES for d in (depth, depth + 1)]

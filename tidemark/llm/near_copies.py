@@ -211,7 +211,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     groups = components(edges)
 
     members = groups.join(classes, F.col("node") == F.col("cls")).select(F.col("root").alias("grp"), "cls", "weight", "n", F.col("row.row_hash").alias("r"), F.col("row.text_hash").alias("t"))
-    found = placed(members).join(rows, (F.col("r") == F.col("row_hash")) & (F.col("t") == F.col("text_hash")))
+    # repeats of a row go map-side, before its text is shingled and sent to every block
+    texts = rows.groupBy("row_hash", "text_hash").agg(F.first("text").alias("text"))
+    found = placed(members).join(texts, (F.col("r") == F.col("row_hash")) & (F.col("t") == F.col("text_hash")))
     hashed = per_text(lambda t: (shingles(t).tobytes(),), "s binary")
     met = written(verified(found.withColumn("shingles", hashed(F.col("text"))["s"])))
 
