@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import byte_pair, chat, discriminant, licences, mixing, near_copies, personal_data, quality_rules, sql, top_k, toxicity
+from tidemark.llm import byte_pair, chat, discriminant, divergence, fill_middle, licences, mixing, near_copies, personal_data, quality_rules, sql, token_files, top_k, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_chat_format": chat.op8,
     "op9_personal_data": personal_data.op9,
     "op10_near_copies": near_copies.op10,
+    "op11_source_divergence": divergence.op11,
+    "op12_fill_middle": fill_middle.op12,
+    "op13_token_files": token_files.op13,
 }
 ORACLE = {
     "op1_quality_rules": sql.OP1,
@@ -23,4 +26,6 @@ ORACLE = {
     "op5_top_k": sql.OP5,
     "op8_chat_format": sql.OP8,
     "op10_near_copies": sql.OP10,
+    "op11_source_divergence": sql.OP11,
+    "op12_fill_middle": sql.OP12,
 }

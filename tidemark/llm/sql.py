@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, licences, mixing, near_copies, top_k
+from tidemark.llm import chat, divergence, fill_middle, licences, mixing, near_copies, top_k
 from tidemark.llm import quality_rules as rules
 
 ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -153,3 +153,41 @@ reach as (select doc_id, doc_id as other from d union select reach.doc_id, b fro
 groups as (select doc_id, min(other) as class_id from reach group by doc_id),
 counts as (select a as doc_id, count(*) as n_links from links group by a)
 select d.doc_id, class_id, coalesce(n_links, 0)::bigint as n_links from d join groups using (doc_id) left join counts using (doc_id)"""
+
+_F = "((p - q) * (p - q) // q)::bigint"
+OP11 = f"""
+with d as (select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source, {ASCII_LOWER.format("coalesce(text, '')")} as text from documents),
+occurrences as (select rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+counted as (select lang, source, term, count(*) as n from occurrences group by all),
+kept as (select lang, term, count(*) as total from occurrences group by all having count(distinct rid) >= {divergence.LEAST_DOCUMENTS}),
+langs as (select lang, count(*) as v, sum(total) as lang_n from kept group by all),
+groups as (select lang, source, coalesce(group_n, 0) as group_n from (select distinct lang, source from d)
+  left join (select lang, source, sum(n) as group_n from counted join kept using (lang, term) group by all) using (lang, source)),
+shares as (select g.lang, g.source, kept.term, coalesce(n, 0) as n, (1 + {divergence.SCALE}::hugeint * (coalesce(n, 0) + 1) // (group_n + v))::hugeint as p,
+    (1 + {divergence.SCALE}::hugeint * (total + 1) // (lang_n + v))::hugeint as q
+  from groups g join langs using (lang) join kept using (lang) left join counted c on c.lang = g.lang and c.source = g.source and c.term = kept.term),
+pairs as (select a.lang, a.source, b.source as item, coalesce(sum(f), 0)::bigint as value from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join (select lang, x.source, y.source as item, (x.p - y.p) * (x.p - y.p) // y.p as f from shares x join shares y using (lang, term)) t
+    on t.lang = a.lang and t.source = a.source and t.item = b.source group by all),
+terms as (select lang, source, term as item, {_F} as value from shares where n > 0 and p > q),
+ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item)::int as rank from pairs
+  union all select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item)::int from terms)
+select * from ranked where part = 'pair' or rank <= {divergence.TOP_TERMS}"""
+
+_P, _S, _M = fill_middle.SENTINELS
+OP12 = f"""
+with d as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, sha256('{fill_middle.SEED}:' || coalesce(doc_id::varchar, '')) as h from documents),
+hashes as (select *, {", ".join(f"('0x' || substr(h, {8 * k + 1}, 8))::bigint as h{k + 1}" for k in range(4))} from d),
+places as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or {" or ".join(f"contains(t, '{s}')" for s in fill_middle.SENTINELS)} or h3 % 100 >= {fill_middle.CUT_OF_100} then 'plain'
+      when h4 % 100 < {fill_middle.SUFFIX_FIRST_OF_100} then 'spm' else 'psm' end as form from hashes),
+parts as (select *, substr(t, 1, a) as prefix, substr(t, a + 1, b - a) as middle, substr(t, b + 1) as suffix from places),
+made as (select *, case form when 'plain' then t when 'psm' then '{_P}' || prefix || '{_S}' || suffix || '{_M}' || middle
+    else '{_S}' || suffix || '{_P}' || prefix || '{_M}' || middle end as output from parts),
+found as (select *, strpos(output, '{_P}') as p, strpos(output, '{_S}') as s, strpos(output, '{_M}') as m from made),
+back as (select *, case form when 'plain' then output
+    when 'psm' then substr(output, 4, s - 4) || substr(output, m + 3) || substr(output, s + 3, m - s - 3)
+    else substr(output, p + 3, m - p - 3) || substr(output, m + 3) || substr(output, 4, p - 4) end as restored from found)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then a end::bigint as prefix_chars, case when form <> 'plain' then b - a end::bigint as middle_chars,
+  sha256(output) as output_sha256, sha256(restored) as restored_sha256 from back"""
