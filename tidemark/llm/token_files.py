@@ -53,6 +53,10 @@ NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A part that ends in marks behind an ASCII word: pre-tokens always end between the two.
 _marked = re.compile(r"([A-Za-z0-9]+)([.,;:!?#$%&*|<>]+)")
+#: A part that is one pre-token: letters that stay one letter each when lowered.
+_letters = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Ends the last token of a pre-token; a fixed value of the file.
+WORD_END = "</w>"
 #: Stands between parts that the library is asked for together: a pre-token, and so a token, of its own.
 GAP = "\x00"
 
@@ -72,22 +76,28 @@ class Encoder:
         rules = json.loads(self.tokenizer.to_str())
         normal, split = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}
         split = (split.get("pretokenizers") or [{}])[0]
+        self.ends = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, bool)
+        self.ends[[k for t, k in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(WORD_END)]] = True
         gap = self.tokenizer.encode(GAP, add_special_tokens=False).ids
         self.gap = gap[0] if len(gap) == 1 else None
         self.in_parts = (
             [n["type"] for n in normal.get("normalizers", [])] == NORMALIZERS
             and (split.get("type"), split.get("behavior"), split.get("invert"), split.get("pattern", {}).get("Regex")) == ("Split", "Removed", True, PRE_TOKEN)
+            and rules["model"].get("end_of_word_suffix") == WORD_END
             and self.gap is not None
         )
 
-    def _ask(self, parts: list[str]) -> None:
-        """Keep the ids of parts by the library."""
-        ids = np.array(self.tokenizer.encode_batch_fast([f" {GAP} ".join(parts)], add_special_tokens=False)[0].ids, self.dtype)
-        ends = np.append(np.flatnonzero(ids == self.gap), len(ids))
-        raw, width, start = ids.tobytes(), ids.itemsize, 0
+    def _ask(self, parts: list[str], between: str) -> None:
+        """Keep the ids of parts by the library, asked for together: words end with a token that ends a pre-token, other
+        parts with the gap between them."""
+        ids = np.array(self.tokenizer.encode_batch_fast([between.join(parts)], add_special_tokens=False)[0].ids, self.dtype)
+        words, raw, width, start = between == " ", ids.tobytes(), ids.itemsize, 0
+        ends = np.flatnonzero(self.ends[ids]) + 1 if words else np.append(np.flatnonzero(ids == self.gap), len(ids))
+        if len(ends) != len(parts):
+            raise ValueError("the tokenizer doesn't end words as its file says")
         for p, end in zip(parts, (ends * width).tolist()):
             self.kept[p] = raw[start:end]
-            start = end + width
+            start = end if words else end + width
 
     def _learn(self, parts: list[str]) -> None:
         """Keep the ids of parts: from those kept before, else of word and marks, else from the library."""
@@ -106,8 +116,11 @@ class Encoder:
                             whole[x] = None
             else:
                 whole[p] = None
-        if whole:
-            self._ask(list(whole))
+        words = [p for p in whole if _letters.fullmatch(p)]
+        others = [p for p in whole if not _letters.fullmatch(p)]
+        for asked, between in ((words, " "), (others, f" {GAP} ")):
+            if asked:
+                self._ask(asked, between)
         for p, word, marks in cut:
             kept[p] = kept[word] + kept[marks]
 
