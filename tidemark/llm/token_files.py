@@ -30,7 +30,7 @@ import sys
 import types
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -99,28 +99,29 @@ class Encoder:
             self.kept[p] = raw[start:end]
             start = end if words else end + width
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: Iterable[str]) -> None:
         """Keep the ids of parts: from those kept before, else of word and marks, else from the library."""
-        kept, older, whole, cut = self.kept, self.older, {}, []
+        kept, older, words, others, cut = self.kept, self.older, {}, {}, []
         for p in parts:
-            if p in older:
-                kept[p] = older[p]
+            if (ids := older.get(p)) is not None:
+                kept[p] = ids
+            elif _letters.fullmatch(p):
+                words[p] = None
             elif m := _marked.fullmatch(p):
-                word, marks = m.groups()
-                cut.append((p, word, marks))
-                for x in (word, marks):
-                    if x not in kept:
-                        if x in older:
-                            kept[x] = older[x]
-                        else:
-                            whole[x] = None
+                cut.append((p, *m.groups()))
             else:
-                whole[p] = None
-        words = [p for p in whole if _letters.fullmatch(p)]
-        others = [p for p in whole if not _letters.fullmatch(p)]
-        for asked, between in ((words, " "), (others, f" {GAP} ")):
-            if asked:
-                self._ask(asked, between)
+                others[p] = None
+        for _, word, marks in cut:
+            for x in (word, marks):
+                if x not in kept:
+                    if (ids := older.get(x)) is not None:
+                        kept[x] = ids
+                    else:
+                        (words if _letters.fullmatch(x) else others)[x] = None
+        if words:
+            self._ask(list(words), " ")
+        if others:
+            self._ask(list(others), f" {GAP} ")
         for p, word, marks in cut:
             kept[p] = kept[word] + kept[marks]
 
@@ -134,7 +135,7 @@ class Encoder:
             ask = {p for p, ids in zip(parts, got) if ids is None}
             if len(self.kept) >= KEPT:
                 self.older, self.kept = self.kept, {}
-            self._learn(sorted(ask))
+            self._learn(ask)
             kept = self.kept
             got = [kept[p] if ids is None else ids for p, ids in zip(parts, got)]
             for p in ask:
