@@ -23,6 +23,7 @@ columns are not read. Counts must stay below 2.8 * 10^14, where 64 bits hold eve
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,8 @@ from tidemark.llm.common import join_small, quoted, struct_of, table, written
 LEAST_DOCUMENTS, TOP_TERMS = 3, 200
 #: A share of 1 is SCALE; its two factors keep products within 64 bits.
 SCALE, FACTORS = 1_000_000_000, (31_250, 32_000)
-#: Terms that a task counts before it hands them on; postings of a block of terms; pairs of groups that one task sums.
-HELD, BLOCK, PAIRS = 400_000, 250_000, 2_000_000
+#: Terms, and words, that a task counts before it hands them on (both counts of a term share 64 bits); postings of a block of terms; pairs of groups that one task sums.
+HELD, WORDS, BLOCK, PAIRS = 900_000, 2**30, 250_000, 2_000_000
 #: Postings that are scattered at a time.
 STEP = 1_000_000
 
@@ -55,35 +56,26 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
         for (of, by), terms in held.items():
             m = len(terms)
             columns = [pa.array([of] * m), pa.array([by] * m), pa.array(list(terms), pa.string())]
-            pairs = np.array(list(terms.values()), np.int64).reshape(m, 2)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["lang", "source", "term", "n", "docs"])
+            both = np.fromiter(terms.values(), np.int64, m)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(both >> 32), pa.array(both & 0xFFFFFFFF)], ["lang", "source", "term", "n", "docs"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, dict] = {}
-        size = 0
+        size = words = 0
         for batch in batches:
             for of, by, t in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"]):
                 terms = held.setdefault((of, by), {})
                 size -= len(terms)
                 t = t.as_py()
-                own: dict[str, int] = {}
-                for w in _term.findall(t.lower() if t.isascii() else t.translate(_lower)):
-                    own[w] = own.get(w, 0) + 1
-                for w, n in own.items():
-                    if w in terms:
-                        pair = terms[w]
-                        pair[0] += n
-                        pair[1] += 1
-                    else:
-                        terms[w] = [n, 1]
-                if None in terms:
-                    terms[None][1] += 1
-                else:
-                    terms[None] = [0, 1]
+                own = Counter(_term.findall(t.lower() if t.isascii() else t.translate(_lower)))
+                own[None] = 0  # the document itself
+                for w, n in own.items():  # occurrences above, documents below bit 32
+                    terms[w] = terms.get(w, 0) + (n << 32 | 1)
                 size += len(terms)
-                if size > HELD:
+                words += own.total()
+                if size > HELD or words > WORDS:
                     yield from handed(held)
-                    held, size = {}, 0
+                    held, size, words = {}, 0, 0
         yield from handed(held)
 
     partial = rows.mapInArrow(count, struct_of(COUNTS))
