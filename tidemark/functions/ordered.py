@@ -137,6 +137,16 @@ def known(value: Column) -> Step:
     )
 
 
+def known_before(value: Column) -> Step:
+    """Latest non-null ``value`` of the rows before this one."""
+    return Step(
+        local=lambda w: F.last(value, ignorenulls=True).over(_before(w)),
+        summary=lambda order_by: F.max_by(value, F.when(value.isNotNull(), _mark(order_by))),
+        carry=lambda edge, w: F.last(edge, ignorenulls=True).over(_before(w)),
+        combine=lambda here, before: F.coalesce(here, before),
+    )
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],

@@ -271,6 +271,13 @@ def row_count(df: DataFrame, where: str | Column | None = None) -> DataFrame:
     return _where(df, where).agg(F.count("*").alias("row_count")).withColumn("is_empty", F.col("row_count") == 0)
 
 
+def row_estimate(table: DataFrame) -> DataFrame:
+    """One row: rows of a stored table as its files' footers say, summed in tasks; no column is read. (Of a stored feed,
+    and of a planned read of it, ``FeedStore.estimate`` knows more.)"""
+    per_file = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    return per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("estimated_rows")).withColumn("is_empty", F.col("estimated_rows") == 0)
+
+
 def table_info(feed: DataFrame, keys: Sequence[str], partition_columns: Sequence[str] = (), location: str | None = None) -> DataFrame:
     """One row: whether changes are tracked, versions, changes, live rows, partitioning, location.
 

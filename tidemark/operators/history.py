@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import ordered
-from tidemark.functions.lineage import cut
+from tidemark.functions.lineage import cut, scratch
 from tidemark.operators import feed as feeds
 
 # Operations that count as writes and as deletes.
@@ -96,8 +96,8 @@ def as_of_many(probes: DataFrame, history: DataFrame, at: str, unit: str = "minu
     own = versions.groupBy("__unit").agg(F.sort_array(F.collect_list("__m")).alias("__own"))
     asked = probes.select(cut(F.col(at)).alias("__unit")).filter(F.col("__unit").isNotNull()).distinct()
     units = asked.join(own, "__unit", "full_outer").withColumn("__last", F.element_at("__own", -1)["v"])
-    carried = ordered.scan(units, [], ["__unit"], {"__upto": ordered.known(F.col("__last"))}, F.date_trunc("day", F.col("__unit")))
-    before = ordered.scan(carried, [], ["__unit"], {"__start": ordered.prior(F.col("__upto"))}, F.date_trunc("day", F.col("__unit")))
+    units = _kept(units)  # read twice by the scan, and small: a row per unit
+    before = ordered.scan(units, [], ["__unit"], {"__start": ordered.known_before(F.col("__last"))}, F.date_trunc("day", F.col("__unit")))
     table = before.select(F.col("__unit").alias("__u"), "__own", "__start")
     inside = F.filter("__own", lambda m: m["t"] <= F.col(at))
     found = F.coalesce(F.try_element_at(inside, F.lit(-1))["v"], F.col("__start"))
@@ -105,6 +105,13 @@ def as_of_many(probes: DataFrame, history: DataFrame, at: str, unit: str = "minu
     return joined.select(*probes.columns, found.alias(name))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """The frame as a table written once in the shared folder."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def operation_counts(history: DataFrame) -> DataFrame:
     return history.groupBy("operation").agg(F.count("*").alias("versions"))
 

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import envelope, feed, history, schema
+from tidemark.functions import lineage
+from tidemark.operators import envelope, feed, schema
+from tidemark.sinks.feed_store import FeedStore
 
 ROW = T.StructType(
     [
@@ -245,6 +247,31 @@ def change_feed(spark: SparkSession, sf: str) -> DataFrame:
     return feed.from_changes(changes(spark, sf), KEYS, FEED_ROW, ORDER, "ver", "ts")
 
 
+#: Days that begin a new stretch of the stored feed, and the last day that its base covers.
+STRETCHES, BASE_DAY = (0, 7, 14, 21), 13
+_stores: dict[tuple[str, str], str] = {}
+
+
+def new_feed_store(spark: SparkSession, sf: str, root: str) -> FeedStore:
+    """The change feed stored by weeks, with a base at the end of the second one."""
+    store, whole = FeedStore(spark, root, KEYS), lineage.scratch(spark)
+    change_feed(spark, sf).write.parquet(whole)
+    rows = spark.read.parquet(whole)
+    for lo, hi in zip(STRETCHES, [*STRETCHES[1:], None]):
+        store.append(feed.between_versions(rows, lo, None if hi is None else hi - 1))
+    store.add_base(BASE_DAY)
+    lineage.remove(spark, whole)
+    return store
+
+
+def feed_store(spark: SparkSession, sf: str) -> FeedStore:
+    """The stored feed that queries read; it is written once per application and set of tables."""
+    of = spark.sparkContext.applicationId, sf
+    if of not in _stores:
+        _stores[of] = new_feed_store(spark, sf, lineage.scratch(spark)).root
+    return FeedStore(spark, _stores[of], KEYS)
+
+
 def bookmarks(spark: SparkSession, sf: str) -> DataFrame:
     """How far two readers have come: one to the commits before a date, one to a week before that."""
     c = changes(spark, sf)
@@ -265,7 +292,7 @@ USES["marks"] = ("chg",)
 
 def versions(spark: SparkSession, sf: str) -> DataFrame:
     """Version history; the operation is set by the version number."""
-    h = history.from_changes(change_feed(spark, sf))
+    h = feed_store(spark, sf).history()
     third = F.col("version") % 3
     return h.withColumn("operation", F.when(third == 0, "WRITE").when(third == 1, "MERGE").otherwise("DELETE"))
 

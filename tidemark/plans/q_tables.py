@@ -71,12 +71,92 @@ def feed_between_versions(spark, sf):
     ("feed",),
 )
 def stored_feed_between_versions(spark, sf):
-    """The same on a feed stored by version, where the bounds prune folders."""
+    """The same on a stored feed: the ledger says which stretches hold these versions."""
+    return i.feed_store(spark, sf).changes(5, 9)
+
+
+@query("s7_feed_folders_by_version", "SELECT * FROM feed WHERE _commit_version BETWEEN 5 AND 9", ("feed",))
+def feed_folders_by_version(spark, sf):
+    """The same on a feed with a folder per version, where the bounds prune folders."""
     path = lineage.scratch(spark)
     writers.append_feed(i.change_feed(spark, sf), path)
     return readers.change_feed(spark, path, start=5, end=9)
 
 
+@query("s4_stored_state", state_sql("true"), ("feed",))
+def stored_state(spark, sf):
+    return i.feed_store(spark, sf).as_of()
+
+
+@query("s5_stored_as_of_version", state_sql("_commit_version <= 14"), ("feed",))
+def stored_as_of_version(spark, sf):
+    """A base and one version after it."""
+    return i.feed_store(spark, sf).as_of(14)
+
+
+@query("s5_stored_before_base", state_sql("_commit_version <= 9"), ("feed",))
+def stored_before_base(spark, sf):
+    return i.feed_store(spark, sf).as_of(9)
+
+
+@query("s6_stored_as_of_timestamp", state_sql("_commit_timestamp <= TIMESTAMP '2024-01-20 12:00:00'"), ("feed",))
+def stored_as_of_timestamp(spark, sf):
+    return i.feed_store(spark, sf).as_of_time(datetime(2024, 1, 20, 12))
+
+
+@query(
+    "s8_stored_between_timestamps",
+    """SELECT * FROM feed WHERE _commit_timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-11 12:30:15'""",
+    ("feed",),
+)
+def stored_between_timestamps(spark, sf):
+    return i.feed_store(spark, sf).changes_by_time(datetime(2024, 1, 5, 0, 0, 0, 900), datetime(2024, 1, 11, 12, 30, 15, 999))
+
+
+@query(
+    "s9_stored_latest_versions",
+    "SELECT * FROM feed WHERE _commit_version >= (SELECT greatest(0, max(_commit_version) - 2) FROM feed)",
+    ("feed",),
+)
+def stored_latest_versions(spark, sf):
+    return i.feed_store(spark, sf).latest_changes(3)
+
+
+@query(
+    "s11_stored_incremental_by_time",
+    net_sql("_commit_timestamp <= TIMESTAMP '2024-01-10 06:00:00'", "_commit_timestamp <= TIMESTAMP '2024-01-22 06:00:00'"),
+    ("feed",),
+)
+def stored_incremental_by_time(spark, sf):
+    return i.feed_store(spark, sf).incremental_by_time(datetime(2024, 1, 10, 6), datetime(2024, 1, 22, 6))
+
+
+@query(
+    "k16_stored_retention",
+    f"""SELECT s.*, (SELECT min(_commit_version) FROM feed WHERE _commit_timestamp >= TIMESTAMP '2024-01-15') AS first_version
+    FROM ({state_sql("true")}) s""",
+    ("feed",),
+)
+def stored_retention(spark, sf):
+    """The table after the changes of the first two weeks were given up, and the first version that is left."""
+    store = i.new_feed_store(spark, sf, lineage.scratch(spark))
+    store.expire(datetime(2024, 1, 15))
+    first = store.ledger().agg(F.min("version").alias("v")).select("v").scalar()
+    return store.as_of().withColumn("first_version", first)
+
+
+@query(
+    "a8_planned_scan",
+    f"""SELECT count(DISTINCT _commit_version) AS versions, count(DISTINCT least(_commit_version // 7, 3)) AS stretches, count(*) AS planned_changes,
+      (SELECT count(*) FROM ({state_sql("_commit_version <= 18")})) AS table_rows
+    FROM feed WHERE _commit_version BETWEEN 5 AND 18""",
+    ("feed",),
+)
+def planned_scan(spark, sf):
+    """What a read of versions 5 to 18 would open and give, and the table's rows at its end, without reading changes."""
+    return i.feed_store(spark, sf).estimate(5, 18)
+
+
 @query(
     "s8_feed_between_timestamps",
     """SELECT * FROM feed WHERE _commit_timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-11 12:30:15'""",
@@ -498,16 +578,24 @@ def change_summary(spark, sf):
     return feed.summary(i.change_feed(spark, sf))
 
 
-@query(
-    "a2_change_statistics",
-    """SELECT count(*) AS total_changes, count(*) FILTER (WHERE _change_type = 'insert') AS inserts,
+A2_SQL = """SELECT count(*) AS total_changes, count(*) FILTER (WHERE _change_type = 'insert') AS inserts,
       count(*) FILTER (WHERE _change_type = 'update_postimage') AS updates,
       count(*) FILTER (WHERE _change_type = 'delete') AS deletes, min(_commit_version) AS first_version,
       max(_commit_version) AS last_version, min(_commit_timestamp) AS first_timestamp,
-      max(_commit_timestamp) AS last_timestamp, max(_commit_version) - min(_commit_version) + 1 AS version_count FROM feed""",
+      max(_commit_timestamp) AS last_timestamp, max(_commit_version) - min(_commit_version) + 1 AS version_count FROM feed"""
+
+
+@query(
+    "a2_change_statistics",
+    A2_SQL,
     ("feed",),
 )
 def change_statistics(spark, sf):
+    return i.feed_store(spark, sf).change_stats()
+
+
+@query("a2_change_statistics_of_rows", A2_SQL, ("feed",))
+def change_statistics_of_rows(spark, sf):
     return feed.stats(i.change_feed(spark, sf))
 
 
@@ -527,6 +615,11 @@ def changes_by_version(spark, sf):
     )
 
 
+@query("a7_row_estimate", "SELECT count(*) AS estimated_rows, count(*) = 0 AS is_empty FROM orders")
+def row_estimate(spark, sf):
+    return feed.row_estimate(i.read(spark, sf, "orders"))
+
+
 @query(
     "a7_row_count",
     "SELECT count(*) AS row_count, count(*) = 0 AS is_empty FROM orders WHERE o_totalprice > 100000",
@@ -669,7 +762,16 @@ def changed_files(spark, sf):
 
 @query("h1_version_history", "SELECT version, ts, inserted, updated, deleted FROM hist", ("hist",))
 def version_history(spark, sf):
-    h = history.from_changes(i.change_feed(spark, sf))
+    return _history_rows(i.feed_store(spark, sf).history())
+
+
+@query("h1_version_history_of_rows", "SELECT version, ts, inserted, updated, deleted FROM hist", ("hist",))
+def version_history_of_rows(spark, sf):
+    """The same from the feed's rows."""
+    return _history_rows(history.from_changes(i.change_feed(spark, sf)))
+
+
+def _history_rows(h):
     m = F.col("metrics")
     return h.select(
         "version", F.col("timestamp").alias("ts"), *[m[k].cast("bigint").alias(k) for k in ("inserted", "updated", "deleted")]
