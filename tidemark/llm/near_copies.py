@@ -1,16 +1,16 @@
-"""N-gram Jaccard join by a MinHash LSH forest, verified exactly.
+"""N-gram Jaccard join by MinHash bands of a fixed depth, verified exactly (not a forest that adapts: see the README).
 
 A text's shingles are its runs of five words (lower-case ASCII letters, digits and all characters beyond ASCII; a text
 of fewer words is one shingle). Two texts are linked if the Jaccard similarity of their shingle sets is 0.8 or more.
 
 1. Texts with equal shingle sets form a class, which goes on as one row; copies are never paired with each other.
-2. Every class has a MinHash signature, cut into the paths of a number of tries. Matches are looked for at a prefix of
-   the paths: the full depth is shortened, level by level, until tries of that depth find a pair at the threshold with the
-   target recall (``depth_for``). Classes with the same prefix in the sorted trie hang on the least one of them: a
-   star, not all pairs.
+2. Every class has a MinHash signature, cut into bands. Their depth is the greatest at which some band of a pair at the
+   threshold matches with the target recall (``depth_for``). Classes with the same band hang on the least one of them:
+   a star, not all pairs.
 3. Connected stars are candidate groups; all links lie inside them. A group is cut into blocks of bounded size, and every
    two blocks meet in one task, which counts common shingles exactly. What goes out is one row per class and
-   block pair, its number of links and the least class it is connected with, never the pairs.
+   block pair, its number of links and the least class it is connected with, never the pairs. These rows are summed per
+   class before groups are built, so there is one edge per class whatever the number of blocks.
 
 So the result has no cap: for each document the number of documents linked to it (copies and near copies), and the
 least document of its connected group. Shingles are compared as 64-bit hashes of the words.
@@ -217,8 +217,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     hashed = per_text(lambda t: (shingles(t).tobytes(),), "s binary")
     met = written(verified(found.withColumn("shingles", hashed(F.col("text"))["s"])))
 
-    links = met.groupBy("cls").agg(F.sum("links").alias("links")).withColumnRenamed("cls", "c")
-    roots = components(met.select(F.col("cls").alias("a"), F.col("least").alias("b")))
+    # one edge per class, to the least it met; the others it met hang on that one, too, and are few: one or some per block pair
+    per = met.groupBy("cls").agg(F.sum("links").alias("links"), F.min("least").alias("least"), F.collect_set("least").alias("leasts"))
+    per = written(per)
+    links = per.select(F.col("cls").alias("c"), "links")
+    hanging = per.where(F.size("leasts") > 1).select(F.explode("leasts").alias("a"), F.col("least").alias("b")).distinct()
+    roots = components(per.select(F.col("cls").alias("a"), F.col("least").alias("b")).union(hanging))
     near = links.join(roots, F.col("c") == F.col("node"), "left").drop("node")
     final = classes.select("cls", "digest", "weight", "row").join(near, F.col("cls") == F.col("c"), "left")
     final = written(final.select("digest", F.coalesce("root", "cls").alias("root"), "row", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
