@@ -90,11 +90,21 @@ def test_top_k_edges(spark):
     got = {}
     for r in top_k.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert got[0][0] == (8, 2**63 - 1) and got[0][1:] == [(1, 256 * 256 + 128 * 128), (2, 256 * 256), (7, 0), (50, -256 * 256)]
-    assert [i for i, _ in got[50]] == [7, 0, 1, 2, 8] and got[50][-1][1] == -(2**63)
+    # both rows of id 0 are queries, ranked together, and candidates of the others
+    one = 256 * 256 + 128 * 128
+    assert got[0] == [(8, 2**63 - 1), (8, 2**63 - 1), (1, one), (1, one), (2, 256 * 256)]
+    assert [i for i, _ in got[50]] == [7, 0, 0, 1, 2]
     assert top_k.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_top_k_keeps_rows_that_share_an_id(spark):
+    rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (1, [2.0, 0.5]), (1, [3.0, 0.5]), (2, [1.0, 1.0]), *[(k, [1.0, 1.0]) for k in range(3, 9)]]
+    df = spark.createDataFrame([(*r, 7, "q") for r in rows], "vec_id long, embedding array<double>, score long, query_id string")
+    got = [(r.rank, r.vec_id, r.score) for r in top_k.search(df).orderBy("rank").collect()]
+    # ties at rank k go to the smaller id
+    assert got == [(1, 1, 256 * 256 * 3 + 128 * 128), (2, 1, 256 * 256 * 2 + 128 * 128), (3, 2, 256 * 256 + 256 * 128), (4, 3, 256 * 256 + 256 * 128), (5, 4, 256 * 256 + 256 * 128)]
+
+
 def test_chat_edges(spark):
     rows = [(1, 0, "user", "hi"), (2, 0, "user", "hi"), (2, 1, None, None), (3, 0, "user", "hi"), (3, 1, "", ""), (None, None, "user", "a<|b"), (None, None, "user", "a<|b"), (5, 0, "user", "hi"), (5, 0, "user", "hi")]
     got = {r.conv_id: r for r in chat.render(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()}

@@ -10,7 +10,7 @@ queries meets every block of rows in a task of its own, of bounded size; each ha
 the best k are kept.
 
 Defined results: a vector that is null or has null or non-finite components takes no part, nor does a row without id;
-rows that share an id count once, with the least vector; vectors shorter than the longest one are zero beyond
+rows that share an id are candidates each, and queries each, whose results are ranked together; vectors shorter than the longest one are zero beyond
 their end; ties go to the smaller id; with fewer rows than k all are given; an empty table gives no rows; other
 columns are not handed back. Scores beyond 64 bits are held at its ends.
 """
@@ -87,7 +87,7 @@ def search(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, vec_i
     x = vectors.select(quoted(vec_id).cast("long").alias("vec_id"), quoted(embedding).cast("array<double>").alias("x")).where("vec_id is not null and x is not null")
     x = x.withColumn("x", F.transform("x", lambda c: scale * c))
     whole = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    x = written(x.where(whole).groupBy("vec_id").agg(F.min("x").alias("x")))
+    x = written(x.where(whole).withColumn("row", F.monotonically_increasing_id()))  # from here on the numbers are fixed
     size = x.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("x")), F.lit(0)).alias("d"), F.sum((F.pmod("vec_id", F.lit(query_every)) == 0).cast("long")).alias("q")).first()
     d = max(1, size.d)
     cores = vectors.sparkSession.sparkContext.defaultParallelism
@@ -96,7 +96,7 @@ def search(vectors: DataFrame, k: int = K, query_every: int = QUERY_EVERY, vec_i
 
     def spread(rows: DataFrame, own: str, blocks: int, other: str, others: int, is_query: bool) -> DataFrame:
         """Rows with a block of their own kind, once for each block of the other kind."""
-        rows = rows.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+        rows = rows.withColumn(own, F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
         return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1)))).select("rb", "qb", "vec_id", "x", F.lit(is_query).alias("is_query"))
 
     queries = x.where(F.pmod("vec_id", F.lit(query_every)) == 0)
