@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import lineage, ordered
@@ -10,7 +13,7 @@ from tidemark.plans import inputs as i
 from tidemark.plans.catalog import query
 from tidemark.plans.q_tables import CURRENT_SQL
 from tidemark.sources import readers
-from tidemark.streaming import streams
+from tidemark.streaming import keyed, streams
 
 FLAT_ROW = ["user_id", "event_type", "value", "props"]
 
@@ -228,6 +231,71 @@ def micro_batches(spark, sf):
     return rows.select("event_id", "user_id", "event_type", rows.select(F.count_distinct("batch_id").alias("n")).scalar().alias("batches"))
 
 
+@query(
+    "p9_counted_in_the_write",
+    """SELECT event_id, value, (SELECT count(*) FROM events) AS seen, (SELECT count(*) FROM events WHERE NOT coalesce(value >= 5, false)) AS skipped
+    FROM events WHERE value >= 5""",
+)
+def counted_in_the_write(spark, sf):
+    """Events below a value are skipped; seen and skipped rows are counted by the pass that writes the others."""
+    out, check = lineage.scratch(spark), lineage.scratch(spark)
+    bad = ~F.coalesce(F.col("value") >= 5, F.lit(False))
+    with streams.ProgressLog(spark, lineage.scratch(spark)) as log:
+        e = streams.counted(_in_files(spark, sf, 4).select("event_id", "value"), "events", skipped=bad)
+        _done(streams.append_to(e.filter(~bad), out, check, every=None))
+    counts = log.counts("events", "rows", "skipped")
+    rows = spark.read.parquet(out)
+    return rows.select("*", counts.select("rows").scalar().alias("seen"), counts.select("skipped").scalar().alias("skipped"))
+
+
+@query(
+    "k7_size_or_time",
+    """SELECT lane, batch, CASE WHEN (batch + 1) * 700 <= n THEN 'size' ELSE 'time' END AS closed_by, least(700, n - batch * 700) AS events, lane_ids
+    FROM (SELECT event_type AS lane, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS lane_ids, unnest(range(0, (count(*) + 699) // 700)) AS batch
+      FROM events GROUP BY 1)""",
+)
+def size_or_time(spark, sf):
+    """Batches of 700 events per type; what is left over is handed on when its time has come. The sum of the ids shows that
+    each event is in one batch."""
+    out, check = lineage.scratch(spark), lineage.scratch(spark)
+    e = _stream(spark, sf).select("event_id", "event_type")
+    _until(streams.feed_to(keyed.batches(e, "event_type", 700, 1000), out, check, every="1 second", batch_column="written"), out, i.read(spark, sf, "events"))
+    rows = spark.read.parquet(out)
+    per = rows.groupBy(F.col("batch_lane").alias("lane"), "batch", "closed_by").agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+    return per.select("lane", "batch", "closed_by", "events", F.sum("ids").over(Window.partitionBy("lane")).alias("lane_ids"))
+
+
+def _until(query, out, events, seconds=120):
+    """Let a stream with timers, which always has a next batch, run until it has handed on as many rows as there are events."""
+    want, end = events.count(), time.monotonic() + seconds
+    try:
+        while query.isActive and time.monotonic() < end:
+            written = [path for _, path in lineage.numbered_folders(events.sparkSession, out, "written")]
+            if written and events.sparkSession.read.schema("event_id bigint").parquet(out).count() >= want:
+                return
+            time.sleep(0.5)
+        raise query.exception() or TimeoutError("rows are still waiting")
+    finally:
+        query.stop()
+
+
+PREVIOUS_SQL = """SELECT event_id, lag(event_type) OVER w AS old_type, lag(value) OVER w AS old_value
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+
+
+@query("w2_streaming_before_image", PREVIOUS_SQL)
+def streaming_before_image(spark, sf):
+    """Previous event of each user across micro-batches: the events come by days, a file at a time."""
+    out, check, src = lineage.scratch(spark), lineage.scratch(spark), lineage.scratch(spark)
+    e = i.read(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    for lo, hi in (("2023-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2030-01-01")):
+        e.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))).coalesce(1).write.mode("append").parquet(src)
+    s = readers.change_stream(spark, "parquet", src, e.schema, limit=1)
+    d = keyed.previous_image(s, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
+    _done(streams.append_to(d.select("event_id", F.col("before.event_type").alias("old_type"), F.col("before.value").alias("old_value")), out, check, every=None))
+    return spark.read.parquet(out)
+
+
 @query("z2_callback_stops", "SELECT event_id, value, true AS stopped, false AS stopped_again FROM events")
 def callback_stops(spark, sf):
     """A callback keeps the batches it sees and ends the run at the third one; the next run on the checkpoint goes on."""

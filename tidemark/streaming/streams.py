@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import threading
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
@@ -71,17 +73,44 @@ def upsert_to(
     return _trigger(writer, every).start()
 
 
-def _state(spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Last change per key over the base and the batches after it (deletes included)."""
+#: Key buckets of a base: a fold rewrites only those that a batch since the last fold has touched.
+BUCKETS = 64
+_FOLD, _BUCKET, _LIST = "fold_id", "key_bucket", "key_bucket int, fold_id bigint, buckets int"
+
+
+def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _base_list(spark: SparkSession, root: str, fold: int | None) -> list:
+    """Which fold wrote each bucket of the base (-1: the bucket has no rows); one small row per bucket."""
+    if fold is None:
+        return []
+    return spark.read.schema(_LIST).parquet(f"{root}/base/version={fold}").collect()
+
+
+def _base_rows(spark: SparkSession, root: str, listed: Sequence) -> DataFrame | None:
+    paths = [f"{root}/buckets/{_FOLD}={r.fold_id}/{_BUCKET}={r.key_bucket}" for r in listed if r.fold_id >= 0]
+    if not paths:
+        return None
+    return spark.read.option("basePath", f"{root}/buckets").parquet(*paths).drop(_FOLD, _BUCKET)
+
+
+def _newer(spark: SparkSession, root: str, folded: int | None) -> DataFrame:
+    """Collapsed batches that the base doesn't cover."""
     delta = spark.read.parquet(f"{root}/delta")
+    return (delta if folded is None else delta.filter(F.col("batch_id") > folded)).drop("batch_id")
+
+
+def _merged(base: DataFrame | None, newer: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Last change per key over base rows and the batches after them (deletes included)."""
+    return ap.latest_per_key(newer, keys, order_by) if base is None else ap.merge_latest(base, newer, keys, order_by)
+
+
+def _state(spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     folded = writers.latest_version(spark, f"{root}/base")
-    if folded is not None:
-        base = writers.read_version(spark, f"{root}/base", folded)
-        delta = delta.filter(F.col("batch_id") > folded)
-    delta = delta.drop("batch_id")
-    if folded is not None:
-        return ap.merge_latest(base, delta, keys, order_by)
-    return ap.latest_per_key(delta, keys, order_by)
+    base = _base_rows(spark, root, _base_list(spark, root, folded))
+    return _merged(base, _newer(spark, root, folded), keys, order_by)
 
 
 def read_upserted(
@@ -92,27 +121,49 @@ def read_upserted(
 
 
 def fold(
-    spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str], forget: Column | None = None, op: str = "op"
+    spark: SparkSession, root: str, keys: Sequence[str], order_by: Sequence[str], forget: Column | None = None, op: str = "op",
+    buckets: int = BUCKETS, whole: bool = False,
 ) -> int:
-    """Write the merged state as a new base that covers all batches so far; returns the last batch.
+    """Fold all batches so far into the base; returns the last one.
 
-    Once the new base is listed, the batches that the base before it covers and all older bases are removed: readers
-    that began with the last base still find what they need, and after a failure in between the next call does it.
-    Deletes that meet the condition ``forget`` (so old that no late change to their key can come) leave the base.
+    The base is cut into key buckets (their number is that of the first fold). Only buckets that a new batch has touched, or
+    all of them if ``whole``, are written anew, as ``buckets/fold_id=n/key_bucket=b``; a small list of
+    which fold wrote each bucket then makes the new base visible, in one step. Untouched buckets keep their files.
+
+    Then what no reader needs is removed: batches that the base before this one covers, lists older than that, and bucket
+    files that neither of both lists names. Readers that began with the base before find what they need, and after a failure
+    in between the next call does it. Deletes that meet the condition ``forget`` (so old that no late change to their
+    key can come) leave the buckets that are written.
     """
     before = writers.latest_version(spark, f"{root}/base")
     last = spark.read.parquet(f"{root}/delta").agg(F.max("batch_id")).first()[0]
-    state = _state(spark, root, keys, order_by)
-    if forget is not None:
-        state = state.filter(~((F.col(op) == "d") & F.coalesce(forget, F.lit(False))))
+    listed = _base_list(spark, root, before)
     if before is None or last > before:
-        writers.write_version(state, f"{root}/base", last)
+        n = listed[0].buckets if listed else buckets
+        newer = _newer(spark, root, before)
+        touched = set(range(n)) if whole else {r[0] for r in newer.select(_bucket_of(keys, n)).distinct().collect()}
+        state = _merged(_base_rows(spark, root, [r for r in listed if r.key_bucket in touched]), newer, keys, order_by)
+        if forget is not None:
+            state = state.filter(~((F.col(op) == "d") & F.coalesce(forget, F.lit(False))))
+        path = f"{root}/buckets/{_FOLD}={last}"
+        writers.overwrite(state.withColumn(_BUCKET, _bucket_of(keys, n)), path, partition_by=[_BUCKET])
+        there = {b for b, _ in lineage.numbered_folders(spark, path, _BUCKET)}
+        kept = {r.key_bucket: r.fold_id for r in listed}
+        rows = [(b, (last if b in there else -1) if b in touched else kept.get(b, -1), n) for b in range(n)]
+        writers.write_version(spark.createDataFrame(rows, _LIST).coalesce(1), f"{root}/base", last)
     if before is not None:
         bound = before if last > before else -1
         for name, kind, keep in ((f"{root}/delta", "batch_id", bound + 1), (f"{root}/base", "version", bound)):
             for number, path in lineage.numbered_folders(spark, name, kind):
                 if number < keep:
                     lineage.remove(spark, path)
+        now = _base_list(spark, root, last)
+        named = {(r.fold_id, r.key_bucket) for r in [*listed, *now]}
+        for fold_id, folder in lineage.numbered_folders(spark, f"{root}/buckets", _FOLD):
+            parts = lineage.numbered_folders(spark, folder, _BUCKET)
+            gone = [path for b, path in parts if (fold_id, b) not in named]
+            for path in gone if len(gone) < len(parts) or fold_id >= last else [folder]:
+                lineage.remove(spark, path)
     return last
 
 
@@ -263,20 +314,28 @@ def handle(events: DataFrame, callback: Callable[[Mapping], bool], keep: Sequenc
     return events.mapInPandas(run, out)
 
 
-PROGRESS = "run_id string, batch_id bigint, timestamp string, input_rows bigint, rows_per_second double"
+def counted(df: DataFrame, name: str, **conditions: Column) -> DataFrame:
+    """The same rows, counted on their way to the sink: all of them (``rows``) and those that meet each condition. No
+    second read: the counts come with the progress of each micro-batch (``ProgressLog.counts``)."""
+    return df.observe(name, F.count("*").alias("rows"), *[F.count_if(c).alias(k) for k, c in conditions.items()])
+
+
+PROGRESS = "run_id string, batch_id bigint, timestamp string, input_rows bigint, rows_per_second double, observed string"
 
 
 class ProgressLog(StreamingQueryListener):
     """Keeps the progress of every micro-batch of the session's queries as rows of a table.
 
-    Rows are appended to ``path`` whenever ``every`` of them have come together and when a query ends, so a run of any
-    length is counted whole. ``with ProgressLog(spark, path) as log: ...`` listens inside the block.
+    Rows are appended to ``path`` whenever ``every`` of them have come together or ``seconds`` have gone by, and when a query
+    ends, so a run of any length is counted whole; rows wait until a write of them succeeded. ``observed`` has the metrics of
+    ``counted`` frames as JSON. ``with ProgressLog(spark, path) as log: ...`` listens inside the block.
     """
 
-    def __init__(self, spark: SparkSession, path: str, every: int = 1000):
-        self.spark, self.path, self.every = spark, path, every
+    def __init__(self, spark: SparkSession, path: str, every: int = 1000, seconds: float = 60.0):
+        self.spark, self.path, self.every, self.seconds = spark, path, every, seconds
         self.waiting: list[tuple] = []
-        self.lock = threading.Lock()
+        self.lock, self.writing = threading.Lock(), threading.Lock()
+        self.written_at = time.monotonic()
 
     def __enter__(self) -> ProgressLog:
         self.spark.streams.addListener(self)
@@ -296,9 +355,10 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
+        observed = json.dumps({k: v.asDict() for k, v in p.observedMetrics.items()}, default=str)
         with self.lock:
-            self.waiting.append((str(p.runId), p.batchId, p.timestamp, p.numInputRows, float(p.processedRowsPerSecond or 0.0)))
-            full = len(self.waiting) >= self.every
+            self.waiting.append((str(p.runId), p.batchId, p.timestamp, p.numInputRows, float(p.processedRowsPerSecond or 0.0), observed))
+            full = len(self.waiting) >= self.every or time.monotonic() - self.written_at >= self.seconds
         if full:
             self.flush()
 
@@ -306,10 +366,19 @@ class ProgressLog(StreamingQueryListener):
         self.flush()
 
     def flush(self) -> None:
-        with self.lock:
-            rows, self.waiting = self.waiting, []
-        if rows:
-            self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+        with self.writing:
+            with self.lock:
+                rows = list(self.waiting)
+            if rows:
+                self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+                with self.lock:
+                    del self.waiting[: len(rows)]
+            self.written_at = time.monotonic()
+
+    def counts(self, name: str, *metrics: str) -> DataFrame:
+        """One row: the sums of a ``counted`` frame's metrics over all micro-batches so far."""
+        seen = F.from_json(F.get_json_object("observed", f"$.{name}"), "map<string,bigint>")
+        return self.rows().agg(*[F.coalesce(F.sum(seen[m]), F.lit(0)).alias(m) for m in metrics])
 
     def rows(self) -> DataFrame:
         """Progress of all micro-batches so far."""
