@@ -46,18 +46,18 @@ def test_batches_close_by_size_or_time_and_survive_a_restart(spark, folder):
     wait_for(q, lambda: len(got()) == 20)
     assert sorted(r.id for r in got()) == sorted(r.id for r in got() if r.lane == "fast" and r.closed_by == "size") and len(got()) == 20
     q.stop()  # eight rows wait in the checkpoint
-    put(spark, src, make("slow", range(103, 112)))
+    put(spark, src, make("slow", range(103, 112)) + make("fast", [25]))  # a timer is set anew when a row comes
     q = start(1500)
     try:
-        wait_for(q, lambda: len(got()) == 37)
+        wait_for(q, lambda: len(got()) == 38)
     finally:
         q.stop()
     rows = got()
-    assert sorted(r.id for r in rows) == [*range(25), *range(100, 112)] and all(r.b == (r.id % 2 == 0) and r.x is None for r in rows)
+    assert sorted(r.id for r in rows) == [*range(26), *range(100, 112)] and all(r.b == (r.id % 2 == 0) and r.x is None for r in rows)
     by = {}
     for r in rows:
         by.setdefault((r.lane, r.batch, r.closed_by), []).append(r.id)
-    assert {k: len(v) for k, v in by.items()} == {("fast", 0, "size"): 10, ("fast", 1, "size"): 10, ("fast", 2, "time"): 5, ("slow", 0, "size"): 10, ("slow", 1, "time"): 2}
+    assert {k: len(v) for k, v in by.items()} == {("fast", 0, "size"): 10, ("fast", 1, "size"): 10, ("fast", 2, "time"): 6, ("slow", 0, "size"): 10, ("slow", 1, "time"): 2}
 
 
 def test_alerts_come_by_the_clock_and_clear_with_the_next_event(spark, folder):
