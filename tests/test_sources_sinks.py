@@ -1,6 +1,7 @@
 """Readers, writers and generated rows."""
 
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +144,15 @@ def test_generated_rows_are_stable_and_follow_the_shares(spark):
     assert gen.table("suppliers", ids).select("email").distinct().count() == 20000
     items = gen.table("order_items", ids.selectExpr("id", "id o", "id p"), order="o", product="p")
     assert items.filter("quantity not between 1 and 10").isEmpty()
+
+
+def test_compact_counts_files_by_their_size_on_disk(spark, folder):
+    spark.range(20_000).selectExpr("id", "id % 7 AS k").repartition(10).write.parquet(folder("a b"))
+    df = spark.read.parquet(folder("a b"))
+    size = sum(os.path.getsize(f"{folder('a b')}/{f}") for f in os.listdir(folder("a b")) if f.endswith(".parquet"))
+    joined = df.join(df.withColumnRenamed("id", "other"), "k").filter("id < 3 and other < 3")
+    for n, frame in enumerate((df, joined)):  # the planner takes a join for the product of its sides
+        writers.compact(frame, folder(f"out{n}"), order_by=["k"], target_bytes=size // 3 + 1)
+        assert sum(f.endswith(".parquet") for f in os.listdir(folder(f"out{n}"))) <= 3
+    with pytest.raises(ValueError):
+        writers.compact(spark.range(5), folder("out9"))

@@ -48,6 +48,16 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def bytes_of(df: DataFrame) -> int:
+    """Size on disk of the files that a frame reads, each counted once."""
+    names = df.inputFiles()
+    if not names:
+        raise ValueError("the frame reads no files, so their size is unknown")
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(n)) for n in set(names)]
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of the frame."""
     sc = df.sparkSession.sparkContext

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import lineage
+
 # Units a time column can be bucketed by.
 TIME_UNITS = ("year", "month", "day", "hour")
 
@@ -99,13 +101,13 @@ def compact(
     df: DataFrame, path: str, files: int | None = None, order_by: Sequence[str] = (), fmt: str = "parquet",
     target_bytes: int = TARGET_BYTES,
 ) -> None:
-    """Rewrite a table into files of about ``target_bytes`` (of its present size on disk), or into ``files`` of them, in a
+    """Rewrite a table into files of about ``target_bytes`` (of the present size of the files it is read from; without any,
+    ``files`` must be given), or into ``files`` of them, in a
     new folder. With ``order_by`` they are cut by range and
     sorted, so that scans on those columns skip files; rows that tie are cut by their hash, so a hot
     value is spread over files."""
     if files is None:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        files = max(1, -(-size // target_bytes))
+        files = max(1, -(-lineage.bytes_of(df) // target_bytes))
     if order_by:
         out = df.repartitionByRange(files, *order_by, F.xxhash64(*df.columns)).sortWithinPartitions(*order_by)
     else:
