@@ -1,15 +1,17 @@
 """Distribution divergence: character-class and common-word histograms against language references.
 
 Every document gets two histograms, of its characters over eight classes and of its words over the
-common words of all languages known here. The reference of a language is the sum of the histograms of all
-its documents that pass the base rules; a document is held against the reference of its own language by
+common words of all languages known here. The reference of a language is the mean of the histograms, as shares, of the
+distinct texts of all its documents that pass the base rules, the judged text left out: a long text weighs no more than
+a short one, copies count once, and no text is held against itself. Where fewer than ``MIN_DOCS`` other texts are left,
+the reference is that of all languages together. A document is held against its reference by
 Jensen-Shannon distance (square root of the divergence in bits, 0 to 1). Documents too short for a
 histogram to mean anything aren't judged by it (minimum-length guards).
 
-Defined results: a null or empty text has no words and fails the base rules; a null language, or one without
-any document that passes the base rules, has the reference of all languages together; repeated rows are
-judged row by row and alike; an empty table gives no rows; other columns are left as they are in
-``judge`` (internal names avoid theirs).
+Defined results: a null or empty text has no words and fails the base rules; a null language has the reference of all
+languages together; a text that is the only one to pass the base rules has no reference and its distances are null;
+repeated rows are judged row by row and alike; an empty table gives no rows; other columns are left as they are in
+``judge`` (internal names avoid theirs). A text under two languages counts once in each.
 """
 
 from __future__ import annotations
@@ -47,6 +49,10 @@ MIN_CHARS, MIN_WORDS = 200, 60
 #: the root of their words.
 MAX_CHARS, MAX_WORDS, WORDS_SLACK = 0.25, 0.2, 1.0
 MIN_BASE_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
+#: Least number of other distinct texts that a language's own reference is made of.
+MIN_DOCS = 30
+#: Shares are added up as whole numbers of this part, so sums don't depend on their order.
+SCALE = 2**24
 
 _word, _symbol = re.compile(WORD), re.compile(r"[#*$%&|<>]")
 _index = {w.encode(): k for k, w in enumerate(WORDS)}
@@ -131,17 +137,23 @@ def base_failed(m: str) -> Column:
     return (F.col(f"{m}.n_words") < MIN_BASE_WORDS) | (100 * F.col(f"{m}.n_repeat_words") > MAX_REPEATED_PERCENT * F.col(f"{m}.n_words"))
 
 
-def references(measures: DataFrame, m: str, lang: str) -> tuple[DataFrame, dict[str, list[float]]]:
-    """Summed histograms of all documents that pass the base rules, as shares: one row (language, chars, words) per
-    language, made of partial sums, and those of all of them together (a fixed number of values)."""
+def shares(m: str, h: str, n: str) -> Column:
+    """A histogram as whole parts of SCALE; its sum ``n`` is over 0."""
+    return F.transform(F.col(f"{m}.{h}"), lambda c: F.floor(F.lit(SCALE) * c / F.col(f"{m}.{n}")))
+
+
+def references(measures: DataFrame, m: str, text_hash: str, lang: str) -> tuple[DataFrame, dict]:
+    """Summed shares of the distinct texts that pass the base rules: one row (language, docs, chars, words) per language,
+    and the same of all of them together (a fixed number of values). Copies go map-side, before the shuffle."""
     sizes = {"chars": len(CLASSES), "words": len(WORDS) + 1}
-    passed = measures.where(~base_failed(m)).select(quoted(lang).alias("language"), F.col(m).alias("m"))
-    per = written(passed.groupBy("language").agg(*[F.sum(F.col(f"m.{h}")[k]).alias(f"{h}{k}") for h, n in sizes.items() for k in range(n)]))
+    parts = F.struct(shares(m, "chars", "n_chars").alias("chars"), shares(m, "words", "n_words").alias("words"))
+    passed = measures.where(~base_failed(m)).select(quoted(lang).alias("language"), F.col(text_hash).alias("t"), parts.alias("s"))
+    texts = passed.groupBy("language", "t").agg(F.first("s").alias("s"))
+    bins = [(h, k) for h, n in sizes.items() for k in range(n)]
+    per = written(texts.groupBy("language").agg(F.count("*").alias("docs"), *[F.sum(F.col(f"s.{h}")[k]).alias(f"{h}{k}") for h, k in bins]))
     total = per.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per.columns[1:]]).first()
-    n = {h: sum(F.col(f"{h}{k}") for k in range(size)) for h, size in sizes.items()}
-    shares = [F.array(*[F.col(f"{h}{k}") / n[h] for k in range(size)]).alias(h) for h, size in sizes.items()]
-    whole = {h: [total[f"{h}{k}"] / max(1, sum(total[f"{h}{j}"] for j in range(size))) for k in range(size)] for h, size in sizes.items()}
-    return per.where("language is not null").select("language", *shares), whole
+    whole = {"docs": total["docs"]} | {h: [total[f"{h}{k}"] for k in range(n)] for h, n in sizes.items()}
+    return per.where("language is not null").select("language", "docs", *[F.array(*[f"{h}{k}" for k in range(n)]).alias(h) for h, n in sizes.items()]), whole
 
 
 def js_distance(counts: Column, n: Column, shares: Column) -> Column:
@@ -158,23 +170,28 @@ def judge(docs: DataFrame, out: str, text: str = "text", lang: str = "lang", kee
     """The documents with a struct column ``out``: the base counts, ``base_failed``, the two distances (null where
     the length guard holds them back) and ``kept``. The texts are measured once, into a written table (without the
     texts unless ``keep_text``); they are never shuffled."""
-    m = free(docs, "measured")
-    docs = docs.withColumn(m, measured(quoted(text)))
+    m, text_hash = free(docs, "measured"), free(docs, "text_hash")
+    docs = docs.withColumns({m: measured(quoted(text)), text_hash: F.xxhash64(quoted(text))})
     docs = written(docs if keep_text else docs.drop(text))
-    refs, total = references(docs, m, lang)
-    refs = refs.select(F.struct("language", "chars", "words").alias(ref := free(docs, "reference")))
+    refs, total = references(docs, m, text_hash, lang)
+    refs = refs.select(F.struct("language", "docs", "chars", "words").alias(ref := free(docs, "reference")))
     with_ref = join_small(docs, refs, quoted(lang) == F.col(f"{ref}.language"))
+    failed = base_failed(m)
+    own = F.when(failed, 0).otherwise(1)  # texts that failed are in no reference
+    others = F.coalesce(F.col(f"{ref}.docs"), F.lit(0)) - own
+    known = others >= MIN_DOCS
+    n_docs = F.when(known, others).otherwise(F.lit(total["docs"]) - own)
 
     def distance(h: str, n: str, enough: Column) -> Column:
-        q = F.coalesce(F.col(f"{ref}.{h}"), F.array(*[F.lit(x) for x in total[h]]))
-        return F.when(enough, js_distance(F.col(f"{m}.{h}"), F.col(f"{m}.{n}"), q))
+        sums = F.when(known, F.col(f"{ref}.{h}")).otherwise(F.array(*[F.lit(x).cast("long") for x in total[h]]))
+        q = F.zip_with(sums, shares(m, h, n), lambda x, y: (x - y * own) / n_docs / SCALE)
+        return F.when(enough & (n_docs > 0), js_distance(F.col(f"{m}.{h}"), F.col(f"{m}.{n}"), q))
 
     chars, words = distance("chars", "n_chars", F.col(f"{m}.word_chars") >= MIN_CHARS), distance("words", "n_words", F.col(f"{m}.n_words") >= MIN_WORDS)
     fields = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    failed = base_failed(m)
     near = (F.coalesce(chars, F.lit(0.0)) <= MAX_CHARS) & (F.coalesce(words, F.lit(0.0)) <= MAX_WORDS + WORDS_SLACK / F.sqrt(F.col(f"{m}.n_words")))
     verdict = F.struct(*[F.col(f"{m}.{c}").alias(c) for c in fields], failed.alias("base_failed"), chars.alias("js_chars"), words.alias("js_words"), (~failed & near).alias("kept"))
-    return with_ref.withColumn(out, verdict).drop(m, ref)
+    return with_ref.withColumn(out, verdict).drop(m, text_hash, ref)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,18 +42,21 @@ common as (select rid, case when bin is null then '*' else bin end as bin, count
 histogram as (
   select rid, lang, kind, bin, case bin {counts} end as n from d, bins where kind = 'c'
   union all select d.rid, lang, kind, bins.bin, coalesce(n, 0) from d cross join bins left join common on common.rid = d.rid and common.bin = bins.bin where kind = 'w'),
-sums as (select lang, kind, bin, sum(n) as n from histogram join base using (rid) where not base_failed group by all),
-shares as (select lang, kind, bin, n / sum(n) over (partition by lang, kind) as q from sums where lang is not null),
-pooled as (select kind, bin, sum(n) as n from sums group by all),
-whole as (select kind, bin, n / greatest(1, sum(n) over (partition by kind)) as q from pooled),
-terms as (select h.rid, h.kind, h.n / sum(h.n) over (partition by h.rid, h.kind) as p,
-    case when l.lang is null then coalesce(whole.q, 0) else shares.q end as q
-  from histogram h left join (select distinct lang from shares) l on h.lang = l.lang left join whole on h.kind = whole.kind and h.bin = whole.bin
-    left join shares on shares.lang = h.lang and shares.kind = h.kind and shares.bin = h.bin),
+firsts as (select min(rid) as rid from d join base using (rid) where not base_failed group by lang, t),
+parts as (select rid, lang, kind, bin, n / sum(n) over (partition by rid, kind) as p, floor({rules.SCALE} * n / sum(n) over (partition by rid, kind))::bigint as share
+  from histogram join base using (rid) where not base_failed),
+sums as (select lang, kind, bin, sum(share)::bigint as s from parts join firsts using (rid) group by all),
+pooled as (select kind, bin, sum(s)::bigint as s from sums group by all),
+counts as (select lang, count(*) as docs from firsts join d using (rid) group by lang),
+others as (select rid, coalesce(counts.docs, 0) - 1 >= {rules.MIN_DOCS} as known, case when known then counts.docs else (select sum(docs) from counts) end - 1 as n_docs
+  from d left join counts on counts.lang = d.lang),
+terms as (select rid, parts.kind, p, n_docs, (case when known then sums.s else pooled.s end - share) / nullif(n_docs, 0) / {rules.SCALE} as q
+  from parts join others using (rid) join pooled on pooled.kind = parts.kind and pooled.bin = parts.bin
+    left join sums on sums.lang = parts.lang and sums.kind = parts.kind and sums.bin = parts.bin),
 distances as (select rid, kind, sqrt(greatest(0, sum((case when p > 0 then p * log2(2 * p / (p + q)) else 0 end + case when q > 0 then q * log2(2 * q / (p + q)) else 0 end) / 2))) as js
-  from terms group by all),
-verdict as (select base.*, not base_failed and (word_chars < {rules.MIN_CHARS} or c.js <= {rules.MAX_CHARS})
-    and (n_words < {rules.MIN_WORDS} or w.js <= {rules.MAX_WORDS} + {rules.WORDS_SLACK} / sqrt(n_words)) as kept
+  from terms where n_docs > 0 group by all),
+verdict as (select base.*, not base_failed and (word_chars < {rules.MIN_CHARS} or coalesce(c.js, 0) <= {rules.MAX_CHARS})
+    and (n_words < {rules.MIN_WORDS} or coalesce(w.js, 0) <= {rules.MAX_WORDS} + {rules.WORDS_SLACK} / sqrt(n_words)) as kept
   from base left join distances c on c.rid = base.rid and c.kind = 'c' left join distances w on w.rid = base.rid and w.kind = 'w')
 select d.* exclude (rid, t), verdict.* exclude (rid) from d join verdict using (rid)"""
 
