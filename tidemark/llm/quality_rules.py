@@ -50,7 +50,7 @@ MIN_CHARS, MIN_WORDS = 200, 60
 MAX_CHARS, MAX_WORDS, WORDS_SLACK = 0.25, 0.2, 1.0
 MIN_BASE_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 #: Least number of other distinct texts that a language's own reference is made of.
-MIN_DOCS = 30
+MIN_DOCS = 10
 #: Shares are added up as whole numbers of this part, so sums don't depend on their order.
 SCALE = 2**24
 
