@@ -161,7 +161,8 @@ def detect_changes(schemas: DataFrame) -> DataFrame:
 
 
 def renames(changes: DataFrame) -> DataFrame:
-    """Candidate renames: a DROP and an ADD of one type in the same step, paired in name order."""
+    """Candidate renames by schema alone: a DROP and an ADD of one type in the same step, paired in name order. Where there are
+    several, ``renames_by_content`` tells which is which."""
     on = ["table", "version", "type"]
     w = Window.partitionBy(*on).orderBy("column")
 
@@ -173,6 +174,91 @@ def renames(changes: DataFrame) -> DataFrame:
     return dropped.join(added, [*on, "nth"]).select(*on, "old_name", "new_name")
 
 
+#: Values of a column are sketched by the least hash in each of so many groups of hashes.
+SKETCH = 64
+#: Weights of equal values, of equal shapes of values, and of the share of nulls; and the least score of a rename.
+RENAME_WEIGHTS, RENAME_SCORE = (0.6, 0.3, 0.1), 0.3
+
+
+def _sketch(text: Column) -> tuple[Column, Column]:
+    """(group, number) of a text's hash."""
+    h = F.xxhash64(text)
+    return F.pmod(h, F.lit(SKETCH)).cast("int"), F.shiftrightunsigned(h, 6)
+
+
+def profiles(events: DataFrame, json_text: str, table: str | Column, version: str | Column) -> DataFrame:
+    """What the columns of each version hold: ``(table, version, column, rows, known, of, bin, least)``.
+
+    ``of`` is ``value`` or ``shape`` (a text with its digits as 9, capitals as A, other letters as a, runs as one); ``least`` is the least hash
+    in a bin. Everything is a count or a minimum, summed up map-side, so profiles of parts can be merged by
+    ``merge_profiles`` and a version with any number of rows has at most ``2 * SKETCH`` rows per column. A value that is
+    null and a field that isn't there both count as unknown.
+    """
+    keep = [col(table).alias("table"), col(version).alias("version")]
+    f = _fields(events, json_text, keep)
+    text = F.col("value").cast("string")
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "[0-9]+", "9"), r"\p{Lu}+", "A"), r"\p{Ll}+", "a")
+    sketched = [F.struct(F.lit(name).alias("of"), _sketch(c)[0].alias("bin"), _sketch(c)[1].alias("least")) for name, c in (("value", text), ("shape", shape))]
+    known = f.filter(text.isNotNull()).select("table", "version", "column", F.inline(F.array(*sketched)))
+    least = known.groupBy("table", "version", "column", "of", "bin").agg(F.min("least").alias("least"), F.count("*").alias("known"))
+    rows = events.select(*keep).groupBy("table", "version").agg(F.count("*").alias("rows"))
+    return least.join(rows, ["table", "version"]).select("table", "version", "column", "rows", "known", "of", "bin", "least")
+
+
+def merge_profiles(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Profiles of two parts of the rows as that of all of them."""
+    on = ["table", "version", "column", "of", "bin"]
+    both = a.unionByName(b).groupBy(*on).agg(F.min("least").alias("least"), F.sum("known").alias("known"))
+    # every row of a part carries that part's count
+    rows = a.select("table", "version", "rows").distinct().unionAll(b.select("table", "version", "rows").distinct())
+    rows = rows.groupBy("table", "version").agg(F.sum("rows").alias("rows"))
+    return both.join(rows, ["table", "version"]).select(*a.columns)
+
+
+def renames_by_content(changes: DataFrame, profiled: DataFrame, least_score: float = RENAME_SCORE) -> DataFrame:
+    """Renames ``(table, version, type, old_name, new_name, score)``: a dropped and an added column of one type whose
+    contents are alike, before and after the step.
+
+    The score weighs the share of equal values (minima of hash groups that agree), of equal shapes, and how near the shares
+    of nulls are. Within a step the best pair is taken first and its columns are used up, ties go by name, so several renames
+    in one step come out one to one. A schema is narrow, so the pairs of one step are few.
+    """
+    at = ["table", "version"]
+    grouped = profiled.groupBy(*at, "column").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("of", "bin").alias("k"), F.col("least")))).alias("least"),
+        (F.sum(F.when(F.col("of") == "value", F.col("known")).otherwise(0)) / F.max("rows")).alias("share"),
+    )
+    steps = profiled.select(*at).distinct().withColumn("before", F.lag("version").over(Window.partitionBy("table").orderBy("version")))
+
+    def side(kind: str, type_column: str, name: str) -> DataFrame:
+        return changes.filter(F.col("change_type") == kind).select(*at, F.col(type_column).alias("type"), F.col("column").alias(name))
+
+    pairs = side("DROP", "old_type", "old_name").join(side("ADD", "new_type", "new_name"), [*at, "type"]).join(steps, at)
+    old = grouped.select("table", F.col("version").alias("before"), F.col("column").alias("old_name"), F.col("least").alias("a"), F.col("share").alias("old_share"))
+    new = grouped.select(*at, F.col("column").alias("new_name"), F.col("least").alias("b"), F.col("share").alias("new_share"))
+    pairs = pairs.join(old, ["table", "before", "old_name"], "left").join(new, [*at, "new_name"], "left")
+
+    def alike(of: str) -> Column:
+        keys = F.filter(F.array_union(F.map_keys("a"), F.map_keys("b")), lambda k: k["of"] == of)
+        same = F.filter(keys, lambda k: F.try_element_at("a", k) == F.try_element_at("b", k))
+        return F.coalesce(F.when(F.size(keys) > 0, F.size(same) / F.size(keys)), F.lit(0.0))
+
+    shares = F.abs(F.coalesce("old_share", F.lit(0.0)) - F.coalesce("new_share", F.lit(0.0)))
+    value, shape, nulls = RENAME_WEIGHTS
+    scored = pairs.withColumn("score", value * alike("value") + shape * alike("shape") + nulls * (1 - shares))
+    scored = scored.filter(F.col("score") >= least_score)
+    entry = F.struct((-F.col("score")).alias("bad"), "old_name", "new_name")
+    kind = "array<struct<bad:double,old_name:string,new_name:string>>"
+
+    def take(kept: Column, x: Column) -> Column:
+        used = F.exists(kept, lambda k: (k["old_name"] == x["old_name"]) | (k["new_name"] == x["new_name"]))
+        return F.when(used, kept).otherwise(F.concat(kept, F.array(x)))
+
+    best = scored.groupBy(*at, "type").agg(F.sort_array(F.collect_list(entry)).alias("pairs"))
+    kept = best.select(*at, "type", F.explode(F.aggregate("pairs", F.array().cast(kind), take)).alias("p"))
+    return kept.select(*at, "type", "p.old_name", "p.new_name", (-F.col("p.bad")).alias("score"))
+
+
 def ledger(changes: DataFrame) -> DataFrame:
     """Schema changes as rows of a version ledger."""
     change = F.col("change_type")

@@ -381,6 +381,18 @@ def drifting(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("event_type", "ver", "ts", "event_id", text.alias("json"))
 
 
+def renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON with two text fields that get new names on day 20, in crossed name order."""
+    c = changes(spark, sf)
+    day = F.col("ver")
+    user, page = F.concat(F.lit("user "), F.col("user_id")), F.get_json_object("props", "$.k")
+    body = F.struct(
+        F.when(day < 20, user).alias("actor"), F.when(day < 20, F.concat(F.lit("K-"), page)).alias("code"),
+        F.when(day >= 20, F.concat(F.lit("K-"), page)).alias("label"), F.when(day >= 20, user).alias("person"),
+    )
+    return c.select("event_type", "ver", F.to_json(body).alias("json"))
+
+
 def schemas(spark: SparkSession, sf: str) -> DataFrame:
     return schema.observed(drifting(spark, sf), "json", "event_type", "ver")
 

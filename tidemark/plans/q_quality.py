@@ -508,6 +508,21 @@ def rename_candidates(spark, sf):
     return schema.renames(schema.detect_changes(i.schemas(spark, sf)))
 
 
+@query(
+    "e6_renames_by_content",
+    """SELECT event_type AS "table", 20 + min(ver - 20) FILTER (WHERE ver >= 20) AS version, 'VARCHAR' AS "type", old_name, new_name
+    FROM chg, (VALUES ('actor', 'person'), ('code', 'label')) t(old_name, new_name)
+    GROUP BY event_type, old_name, new_name HAVING min(ver) < 20 AND max(ver) >= 20""",
+    ("chg",),
+)
+def renames_by_content(spark, sf):
+    """Two renames in one step, told apart by what the columns hold."""
+    d = i.renamed(spark, sf)
+    seen = schema.observed(d, "json", "event_type", "ver")
+    found = schema.renames_by_content(schema.detect_changes(seen), schema.profiles(d, "json", "event_type", "ver"))
+    return found.drop("score")
+
+
 @query(
     "e8_schema_ledger",
     """SELECT tbl AS table_name, ver AS schema_version, change_type, CASE change_type WHEN 'ADD' THEN 'added ' || col || ' ' || new_type

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions import lineage, ordered
-from tidemark.operators import apply, diff, envelope, feed, history, schema
+from tidemark.operators import apply, diff, envelope, feed, history, schema, tree
 from tidemark.plans import inputs as i
 from tidemark.plans.catalog import query
 from tidemark.sinks import writers
@@ -471,6 +471,14 @@ def compact(spark, sf):
     return spark.read.parquet(few)
 
 
+@query("k15_clustered", "SELECT * FROM lineitem")
+def clustered(spark, sf):
+    """Clustered on two columns at once; filters on either skip files."""
+    path = lineage.scratch(spark)
+    writers.cluster(i.read(spark, sf, "lineitem"), path, ["l_partkey", "l_shipdate"], target_bytes=2**17)
+    return spark.read.parquet(path)
+
+
 @query("k16_expire", state_sql("true"), ("feed",))
 def expire(spark, sf):
     """The table is the same after its early history was folded away."""
@@ -733,6 +741,27 @@ def snapshot_diff_by_hash(spark, sf):
     return d.groupBy(F.col("_change_type").alias("change")).agg(F.count("*").alias("rows"))
 
 
+TREE = {"leaf_bits": 5, "levels": 4}
+TREE_WIDTH = " UNION ALL ".join(f"SELECT {level} AS level, o_orderkey >> {5 + 6 * level} AS node FROM snap_b" for level in range(4))
+
+
+@query("x11_checksum_tree", f'SELECT level, node, count(*) AS "rows" FROM ({TREE_WIDTH}) GROUP BY 1, 2', ("snap_b",))
+def checksum_tree(spark, sf):
+    """The tree of a table, added up from trees of its parts, one of which went again."""
+    b = i.snapshot_before(spark, sf)
+    late = F.col("o_orderdate") >= F.expr("timestamp_ntz'2000-01-01'")
+    parts = [tree.build(part, "o_orderkey", **TREE) for part in (b.filter(~late), b.filter(late), b.filter(late))]
+    return tree.combine(*parts, tree.build(b.filter(late), "o_orderkey", **TREE, sign=-1)).select("level", "node", "rows")
+
+
+@query("j3_tree_diff", "SELECT o_orderkey, kind FROM diff WHERE kind IS NOT NULL", ("diff",))
+def tree_diff(spark, sf):
+    """Differing keys, found from the top of two trees down; rows are read in differing ranges only."""
+    b, a = i.snapshot_before(spark, sf), i.snapshot_after(spark, sf)
+    trees = [tree.build(d, "o_orderkey", **TREE) for d in (b, a)]
+    return diff.paired(*tree.compare(b, a, *trees, "o_orderkey", **TREE), KEY).select("o_orderkey", "kind")
+
+
 @query(
     "j1_apply_diff_gives_after",
     "SELECT * FROM snap_a",
