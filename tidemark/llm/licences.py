@@ -7,9 +7,12 @@ template and is made of it densely enough. Phrases are templates that have to st
 
 Licences of a family (Creative Commons, GNU) have most words in common, so such a span is then verified against the
 document's own words: the places where a text names a variant ("attribution" or "cc by" with what follows, "general
-public" with the word before) are kept for every document with a hit, and a span is of the variants named inside it, of
-none if nothing is named. Versions and suffixes are no part of ``CORES``, so any of them may follow or be left out. Of
-overlapping spans of one label the best stays.
+public" with the word before, an SPDX identifier) are kept for every document with a hit, and a span is of the variants
+named inside it, of none if nothing is named. Phrases stay what they are. Versions and suffixes are no part of ``CORES``,
+so any of them may follow or be left out. Of overlapping spans of one label the best stays.
+
+Spans and named places meet by stretches of ``BLOCK`` words: a span is at most some twice as long as its template
+(``DENSE``), so the work grows with the text, not with the square of its notices.
 
 All rolling k-grams of a text are hashed and looked up in the set of template hashes; what passes is joined by the
 words themselves, so a span never rests on a hash. The templates are a fixed list; documents' words are neither
@@ -32,6 +35,8 @@ SPANS = "array<struct<start:int,end:int,label:string,whole:boolean,score:double>
 K = 3
 #: Diagonals at most so far apart belong to one span.
 NEIGHBOUR = 3
+#: Words of a stretch in which spans and named places meet.
+BLOCK = 64
 #: Least share of a template's k-grams in a span, and of the span's own k-grams that are the template's.
 COVERED, DENSE = 0.7, 0.5
 
@@ -58,6 +63,27 @@ NOTICES = (
     ("mit", "released under the mit license"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("boost", "distributed under the boost software license version 1 0"),
+    ("cc0", "has waived all copyright and related or neighboring rights to this work"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+)
+# SPDX identifiers of the labels, in words. All k-grams but the first name the licence, so one line is enough.
+IDENTIFIERS = (
+    ("agpl", "spdx license identifier agpl"),
+    ("apache-2", "spdx license identifier apache 2 0"),
+    ("boost", "spdx license identifier bsl 1 0"),
+    ("bsd", "spdx license identifier bsd"),
+    ("cc-by", "spdx license identifier cc by"),
+    ("cc0", "spdx license identifier cc0"),
+    ("gfdl", "spdx license identifier gfdl"),
+    ("gpl", "spdx license identifier gpl"),
+    ("isc", "spdx license identifier isc"),
+    ("lgpl", "spdx license identifier lgpl"),
+    ("mit", "spdx license identifier mit"),
+    ("mpl-2", "spdx license identifier mpl 2 0"),
+    ("unlicense", "spdx license identifier unlicense"),
 )
 # Notices without version and suffix; their variant is what the document names.
 CORES = (
@@ -71,13 +97,14 @@ CORES = (
     ("lgpl", "licensed under the gnu library general public license"),
     ("agpl", "licensed under the gnu affero general public license"),
 )
+GNU = ("gpl", "lgpl", "agpl")
 FAMILIES = ("cc-by", "cc-by-nc", "cc-by-sa", "gpl", "lgpl", "agpl")
-_SAYS = {"nc": "non ?commercial|nc", "sa": "share ?alike|sa", "nd": "no ?deriv(?:ative)?s?(?: works)?|nd"}
+SAYS = {"nc": "non ?commercial|nc", "sa": "share ?alike|sa", "nd": "no ?deriv(?:ative)?s?(?: works)?|nd"}
 
 
-def _grams(rows: list[tuple[str, str, bool]], first: int) -> list[tuple[int, str, bool, int, int, str]]:
+def _grams(rows: list[tuple[str, str, bool]]) -> list[tuple[int, str, bool, int, int, str]]:
     out = []
-    for t, (label, text, whole) in enumerate(rows, first):
+    for t, (label, text, whole) in enumerate(rows):
         words = text.split()
         n = len(words) - K + 1
         out += [(t, label, whole, n, k, " ".join(words[k : k + K])) for k in range(n)]
@@ -86,11 +113,7 @@ def _grams(rows: list[tuple[str, str, bool]], first: int) -> list[tuple[int, str
 
 def template_grams() -> list[tuple[int, str, bool, int, int, str]]:
     """(template, label, whole, grams, place, gram) of every k-gram of every template."""
-    return _grams([(*p, True) for p in PHRASES] + [(*n, False) for n in NOTICES], 0)
-
-
-def core_grams() -> list[tuple[int, str, bool, int, int, str]]:
-    return _grams([(*c, False) for c in CORES], len(PHRASES) + len(NOTICES))
+    return _grams([(*p, True) for p in PHRASES] + [(*t, False) for t in (*NOTICES, *CORES, *IDENTIFIERS)])
 
 
 def words_of(text: Column) -> Column:
@@ -111,41 +134,58 @@ def _named(words: Column) -> Column:
         return ((word(k) == "attribution") & (word(k - 1) == "commons")) | ((word(k) == "by") & (word(k - 1) == "cc"))
 
     def label(k: Column) -> Column:
-        every = "|".join(_SAYS.values())
+        every = "|".join(SAYS.values())
         said = F.regexp_extract(F.concat_ws(" ", F.slice(words, k + 2, 8)), rf"^(?:(?:and )?(?:{every})(?: |$))*", 0)
-        cc = F.concat(F.lit("cc-by"), *[F.when(said.rlike(rf"\b(?:{p})\b"), f"-{v}").otherwise("") for v, p in _SAYS.items()])
+        cc = F.concat(F.lit("cc-by"), *[F.when(said.rlike(rf"\b(?:{p})\b"), f"-{v}").otherwise("") for v, p in SAYS.items()])
         before = F.coalesce(word(k - 1), F.lit(""))
         gnu = F.when(before.isin("lesser", "library"), "lgpl").when(before == "affero", "agpl").otherwise("gpl")
-        return F.when(word(k) == "general", gnu).otherwise(cc)
+        return F.when(word(k) == "general", gnu).when(is_id(k), word(k)).otherwise(cc)
+
+    def is_id(k: Column) -> Column:
+        return word(k).isin(*GNU) & (word(k - 1) == "identifier")
 
-    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda k: is_cc(k) | ((word(k) == "general") & (word(k + 1) == "public")))
+    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda k: is_cc(k) | is_id(k) | ((word(k) == "general") & (word(k + 1) == "public")))
     return F.transform(places, lambda k: F.struct(k.alias("at"), label(k).alias("label")))
 
 
-def _verified(spans: Column, named: Column) -> Column:
-    """Spans of families by the variants named inside them; of spans of one label that overlap the best."""
+def _by_variants(spans: DataFrame, named: DataFrame, key: list[str]) -> DataFrame:
+    """Spans, those of families once for each variant named inside them. ``named`` has rows (key, at, variant)."""
+    plain = F.col("whole") | ~F.col("label").isin(*FAMILIES)
+    block = F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("end") - 1) / BLOCK)))
+    open_ = spans.where(~plain).withColumn("block", block)
+    places = named.select(*[F.col(c).alias(f"n_{c}") for c in key], F.floor(F.col("at") / BLOCK).alias("n_block"), "at", "variant").distinct()
+    same = F.col("block") == F.col("n_block")
+    for c in key:
+        same &= F.col(c).eqNullSafe(F.col(f"n_{c}"))
+    met = open_.join(places, same & (F.col("at") >= F.col("start")) & (F.col("at") < F.col("end")))
+    return spans.where(plain).unionByName(met.withColumn("label", F.col("variant")).select(*spans.columns)).distinct()
 
-    def variants(s: Column) -> Column:
-        inside = F.filter(named, lambda n: (n["at"] >= s["start"]) & (n["at"] < s["end"]))
-        return F.when(s["label"].isin(*FAMILIES), F.array_distinct(F.transform(inside, lambda n: n["label"]))).otherwise(F.array(s["label"]))
 
-    named_spans = F.flatten(F.transform(spans, lambda s: F.transform(variants(s), lambda v: s.withField("label", v))))
-    ordered = F.array_sort(F.transform(named_spans, lambda s: F.struct(s["label"].alias("label"), s["whole"].alias("whole"), s["start"].alias("start"), s.alias("s"))))
+def _best(spans: DataFrame, key: list[str]) -> DataFrame:
+    """Of spans of one label that overlap the best, in order of their starts. Chains of overlapping spans are told apart by the
+    greatest end so far; each is folded on its own."""
+    kind = [*key, "label", "whole"]
+    line = Window.partitionBy(*kind).orderBy("start", "end", "score")
+    reached = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce((F.col("start") >= reached).cast("int"), F.lit(1))
+    chains = spans.withColumn("opens", opens).withColumn("chain", F.sum("opens").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    grouped = chains.groupBy(*kind, "chain").agg(F.sort_array(F.collect_list(F.struct("start", "end", "label", "whole", "score"))).alias("s"))
 
-    def best(kept: Column, x: Column) -> Column:
-        last, s = F.get(kept, F.size(kept) - 1), x["s"]
-        overlap = F.coalesce((last["label"] == s["label"]) & (last["whole"] == s["whole"]) & (s["start"] < last["end"]), F.lit(False))
-        better = F.struct(s["score"], s["end"] - s["start"]) > F.struct(last["score"], last["end"] - last["start"])
-        return F.when(~overlap, F.concat(kept, F.array(s))).when(better, F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(s))).otherwise(kept)
+    def better(kept: Column, s: Column) -> Column:
+        last = F.get(kept, F.size(kept) - 1)
+        overlap = F.coalesce(s["start"] < last["end"], F.lit(False))
+        wins = F.struct(s["score"], s["end"] - s["start"]) > F.struct(last["score"], last["end"] - last["start"])
+        return F.when(~overlap, F.concat(kept, F.array(s))).when(wins, F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(s))).otherwise(kept)
 
-    return F.sort_array(F.aggregate(ordered, F.array().cast(SPANS), best))
+    best = F.when(F.size("s") == 1, F.col("s")).otherwise(F.aggregate("s", F.array().cast(SPANS), better))
+    return grouped.select(*key, F.explode(best).alias("s"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``,
     ``labels``, ``score``, and ``spans``, an array of (label, whole, start, end, score), words from 0, end exclusive."""
     spark = docs.sparkSession
-    grams = spark.createDataFrame(template_grams() + core_grams(), "template int, label string, whole boolean, grams int, place int, gram string")
+    grams = spark.createDataFrame(template_grams(), "template int, label string, whole boolean, grams int, place int, gram string")
     grams = grams.withColumn("hash", F.xxhash64(*[F.get(F.split("gram", " "), F.lit(j)) for j in range(K)]))
     hashes = [r.hash for r in grams.select("hash").distinct().collect()]  # of the fixed list of templates
 
@@ -179,12 +219,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     spans = spans.where((F.col("score") >= COVERED) & (F.col("covered") >= DENSE * (F.col("last") - F.col("start") + 1)))
     spans = spans.select(*key, "label", "whole", "start", (F.col("last") + K).alias("end"), "score")
 
-    found = phrases.unionByName(spans).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "end", "label", "whole", "score"))).alias("spans"))
-    found = found.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "spans")
-    rows = narrow.drop("met").join(found, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("text_hash").eqNullSafe(F.col("h")), "left")
-    spans = F.coalesce(F.col("spans"), F.array().cast(SPANS))
-    rows = rows.withColumn("spans", spans).withColumn("base", F.filter("spans", lambda s: s["whole"]))
-    rows = rows.withColumn("spans", F.when(F.size("spans") > 0, _verified(F.col("spans"), F.col("named"))).otherwise(F.col("spans")))
+    names = narrow.where(F.size("named") > 0).select(*key, F.explode("named").alias("n")).select(*key, "n.at", F.col("n.label").alias("variant"))
+    found = _best(_by_variants(phrases.unionByName(spans), names, key), key)
+    found = found.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(F.sort_array(F.collect_list("s")).alias("spans"))
+    rows = narrow.drop("met", "named").join(found, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("text_hash").eqNullSafe(F.col("h")), "left")
+    rows = rows.withColumn("spans", F.coalesce(F.col("spans"), F.array().cast(SPANS))).withColumn("base", F.filter("spans", lambda s: s["whole"]))
     base, spans = F.col("base"), F.col("spans")
 
     def labels(of: Column) -> Column:

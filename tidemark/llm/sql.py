@@ -103,6 +103,11 @@ OP3 = f"select doc_id, size, source_size, target, size * copies as taken from ({
 
 def licence_rows() -> str:
     grams = ", ".join(f"({t}, '{label}', {whole}, {n}, {k}, '{g}')" for t, label, whole, n, k, g in licences.template_grams())
+    every = "|".join(licences.SAYS.values())
+    said = f"regexp_extract(array_to_string(list_slice(ws, k + 1, k + 8), ' '), '^(?:(?:and )?(?:{every})(?: |$))*')"
+    cc = " || ".join(["'cc-by'", *[f"case when regexp_matches(said, '\\b(?:{p})\\b') then '-{v}' else '' end" for v, p in licences.SAYS.items()]])
+    families = ", ".join(f"'{f}'" for f in licences.FAMILIES)
+    gnu = ", ".join(f"'{f}'" for f in licences.GNU)
     return f"""
 with d as (select row_number() over () as rid, doc_id, regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '{licences.LICENCE_WORD}') as ws from documents),
 grams(template, label, whole, grams, place, gram) as (values {grams}),
@@ -111,12 +116,18 @@ diagonals as (select rid, template, label, whole, grams, pos - place as diagonal
   from places join grams using (gram) group by all),
 runs as (select *, sum(apart) over (partition by rid, template order by diagonal) as run from
   (select *, coalesce((diagonal - lag(diagonal) over (partition by rid, template order by diagonal) > {licences.NEIGHBOUR})::int, 0) as apart from diagonals where not whole)),
-spans as (
-  select rid, label, whole, first as start, 1.0::double as score from diagonals where whole and votes = grams
+voted as (
+  select rid, label, whole, first as start, last + {licences.K} as stop, 1.0::double as score from diagonals where whole and votes = grams
   union all
-  select rid, label, whole, start, covered / grams from (
+  select rid, label, whole, start, last + {licences.K}, covered / grams from (
     select rid, template, label, whole, grams, run, min(first) as start, max(last) as last, len(list_distinct(flatten(list(places)))) as covered from runs group by all)
   where covered / grams >= {licences.COVERED} and covered >= {licences.DENSE} * (last - start + 1)),
+words as (select rid, ws, k, ws[k] as w, coalesce(ws[k - 1], '') as before, coalesce(ws[k + 1], '') as after from (select rid, ws, unnest(range(1, len(ws) + 1)) as k from d where rid in (select rid from voted))),
+named as (select rid, k - 1 as pos, case when w = 'general' and after = 'public' then case when before in ('lesser', 'library') then 'lgpl' when before = 'affero' then 'agpl' else 'gpl' end
+    when w in ({gnu}) then w else {cc} end as variant
+  from (select *, {said} as said from words where (w = 'general' and after = 'public') or (w = 'attribution' and before = 'commons') or (w = 'by' and before = 'cc') or (w in ({gnu}) and before = 'identifier'))),
+spans as (select rid, label, whole, start, score from voted where whole or label not in ({families})
+  union all select v.rid, variant, whole, start, score from voted v join named n on n.rid = v.rid and pos >= start and pos < stop where not whole and label in ({families})),
 found as (select rid, count(*) filter (where whole) as n_base, min(start) filter (where whole) as first_word, max(start) filter (where whole) as last_word,
   string_agg(distinct label, ',' order by label) filter (where whole) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(score) as score from spans group by rid)
 select doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
