@@ -190,6 +190,16 @@ def test_text_queries_as_sql(spark, folder, mixed_docs, name):
     assert twin(spark, folder(), {"documents": mixed_docs}, queries.QUERIES[name], queries.ORACLE[name]) is None
 
 
+def test_repeats_of_one_row_meet_the_target(spark, folder):
+    rows = [(1, "ten words " * 5, "a")] * 1000 + [(k, prose(random.Random(k), 50), s) for k, s in enumerate(["b", "c", None] * 40, 10)]
+    rows += [(7, "seven words are in this one text", None)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    taken = docs.sparkSession.createDataFrame(mixing.mix(docs, "m").select("source", "m.*").collect())
+    sums = taken.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.max("size").alias("most")).collect()
+    assert len(sums) == 4 and all(abs(r.taken - r.target) <= r.most for r in sums)
+    assert twin(spark, folder(), {"documents": docs}, mixing.op3, sql.OP3) is None
+
+
 def test_chat_as_sql(spark, folder, monkeypatch):
     monkeypatch.setattr(chat, "STRETCH", 3)
     rng, rows, logs = random.Random(3), [], []

@@ -13,12 +13,16 @@ fine buckets, words are summed by bucket, and only the bucket in which the sampl
 a comparison of each row with small tables, so texts are never shuffled, whatever share of them one source has.
 
 Random numbers come from md5 of id, text and seed: reruns agree. Defined results: a null or empty text has size 0
-and is taken no words; a null source is a source of its own, the last; repeated rows have the same rank and are
-taken, or not, together; an empty table gives no rows; other columns are left as they are.
+and is taken no words; a null source is a source of its own, the last; repeated rows have the same rank, and
+where the sample ends among n of them, the first m in the order they were written are taken (which ones makes no
+difference to the rows handed back, m is the same in every run); an empty table gives no rows; other columns are left as they are.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,8 +89,9 @@ def _rank(u: Column, p: Column) -> Column:
 
 
 def plan(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From (source, size, u): the table of :func:`copies_by_band`, and (source, last_bucket, last_rank): all ranks
-    of the buckets before the last one are taken, and those up to the last rank (null: no more)."""
+    """From (source, size, u, id): the table of :func:`copies_by_band`, and (source, last_bucket, last_rank, last_id): all
+    ranks of the buckets before the last one are taken, and those up to the last rank (null: no more), of that rank rows
+    up to the last id (null: all)."""
     band = F.length(F.bin("size"))
     bands = sizes.groupBy("source", band.alias("band")).agg(F.sum("size").alias("band_size"))
     bands = written(bands)
@@ -94,7 +99,7 @@ def plan(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_band = written(copies_by_band(bands, targets(sources)))
     small = by_band.select(F.col("source").alias("s"), F.col("band").alias("b"), "p")
     ranked = join_small(sizes, small, F.col("source").eqNullSafe(F.col("s")) & (band == F.col("b")), "inner")
-    ranked = ranked.select("source", "size", _rank(F.col("u"), F.col("p")).alias("rank")).where("size > 0 and rank is not null")
+    ranked = ranked.select("source", "size", "id", _rank(F.col("u"), F.col("p")).alias("rank")).where("size > 0 and rank is not null")
     ranked = ranked.withColumn("bucket", F.floor(F.col("rank") * BUCKETS))
     missing = by_band.groupBy("source").agg((F.max("target") - F.sum(F.col("whole") * F.col("band_size"))).alias("missing"))
     missing = missing.withColumnRenamed("source", "s")
@@ -106,33 +111,53 @@ def plan(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     ends = sums.where(F.col("before") < F.col("missing")).groupBy("source").agg(F.max(F.struct("bucket", "before", "missing")).alias("end"))
     ends = written(ends.select(F.col("source").alias("s"), F.col("end.bucket").alias("last"), "end.before", "end.missing"))
     inside = join_small(ranked, ends, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("last")), "inner")
-    # equal ranks are taken together: sums by rank first
-    inside = inside.groupBy("source", "rank", "before", "missing").agg(F.sum("size").alias("words"))
+    # rows of equal rank are repeats of one row: sums by rank first
+    inside = inside.groupBy("source", "rank", "before", "missing").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
     run = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     done = F.col("before") + F.coalesce(F.sum("words").over(run), F.lit(0))
     # a document is taken if at least half of it is still missing
-    taken = inside.withColumn("done", done).where(F.col("done") + F.col("words") / 2 <= F.col("missing"))
-    inside_last = taken.groupBy("source").agg(F.max("rank").alias("rank"))
+    taken = F.least(F.col("n"), F.floor((F.col("missing") - F.col("done")) / (F.col("words") / F.col("n")) + 0.5))
+    ranks = inside.withColumn("done", done).withColumn("m", taken).where("m >= 1")
+    inside_last = ranks.groupBy("source").agg(F.max(F.struct("rank", "m", "n")).alias("end"))
     last = ends.join(inside_last.withColumnRenamed("source", "t"), F.col("s").eqNullSafe(F.col("t")), "left")
-    return by_band, written(last.select(F.col("s").alias("source"), F.col("last").alias("last_bucket"), F.col("rank").alias("last_rank")))
+    last = written(last.select("s", F.col("last").alias("last_bucket"), F.col("end.rank").alias("last_rank"), F.when(F.col("end.m") < F.col("end.n"), F.col("end.m")).alias("m")))
+    ids = _last_ids(ranked, last.where("m is not null").select("s", "last_rank", "m"))
+    last = last.join(ids.withColumnRenamed("source", "t"), F.col("s").eqNullSafe(F.col("t")), "left")
+    return by_band, written(last.select(F.col("s").alias("source"), "last_bucket", "last_rank", "last_id"))
+
+
+def _last_ids(ranked: DataFrame, cut: DataFrame) -> DataFrame:
+    """(source, last_id): the id of the m-th row of each source's last rank. Ids rise with partition and place; rows are
+    counted by partition, and only those of the partition in which the m-th one lies are put in order."""
+    equal = join_small(ranked, cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("last_rank")), "inner")
+    equal = equal.select("source", "m", "id", F.shiftright("id", 33).alias("part"))
+    per = equal.groupBy("source", "m", "part").agg(F.count("*").alias("rows"))
+    upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("before", F.coalesce(F.sum("rows").over(upto), F.lit(0)))
+    per = written(per.where("before < m and m <= before + rows").select(F.col("source").alias("s"), F.col("part").alias("p"), (F.col("m") - F.col("before")).alias("nth")))
+    inside = join_small(equal, per, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")), "inner")
+    number = F.row_number().over(Window.partitionBy("source").orderBy("id"))
+    return inside.withColumn("number", number).where("number = nth").select("source", F.col("id").alias("last_id"))
 
 
 def mix(docs: DataFrame, out: str, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep_text: bool = True) -> DataFrame:
     """The documents with a struct column ``out``: ``size`` (words), ``source_size``, ``target`` and ``copies``."""
-    s, n, u, r = (free(docs, c) for c in ("mix_source", "mix_size", "mix_u", "mix_row"))
+    s, n, u, r, k = (free(docs, c) for c in ("mix_source", "mix_size", "mix_u", "mix_row", "mix_id"))
     size = F.coalesce(F.regexp_count(quoted(text), F.lit(WORD)), F.lit(0)).cast("long")
     docs = docs.withColumns({s: quoted(source), n: size, u: uniform(quoted(doc_id), quoted(text))})
     if not keep_text:
         docs = docs.drop(text)
-    sized = written(docs)
-    by_band, last = plan(sized.select(F.col(s).alias("source"), F.col(n).alias("size"), F.col(u).alias("u")))
+    sized = written(docs.withColumn(k, F.monotonically_increasing_id()))
+    by_band, last = plan(sized.select(F.col(s).alias("source"), F.col(n).alias("size"), F.col(u).alias("u"), F.col(k).alias("id")))
     rule = by_band.join(last.withColumnRenamed("source", "t"), F.col("source").eqNullSafe(F.col("t")), "left").drop("t", "band_size")
     rule = rule.select(F.struct("*").alias(r))
     joined = join_small(sized, rule, F.col(s).eqNullSafe(F.col(f"{r}.source")) & (F.length(F.bin(n)) == F.col(f"{r}.band")))
     rank = _rank(F.col(u), F.col(f"{r}.p"))
-    more = (F.coalesce(F.floor(rank * BUCKETS) < F.col(f"{r}.last_bucket"), F.lit(False)) | F.coalesce(rank <= F.col(f"{r}.last_rank"), F.lit(False))).cast("long")
+    of_last = (rank == F.col(f"{r}.last_rank")) & (F.col(k) <= F.coalesce(F.col(f"{r}.last_id"), F.col(k)))
+    taken = (F.floor(rank * BUCKETS) < F.col(f"{r}.last_bucket"), rank < F.col(f"{r}.last_rank"), of_last)
+    more = reduce(or_, [F.coalesce(t, F.lit(False)) for t in taken]).cast("long")
     copies = F.when(F.col(n) > 0, F.col(f"{r}.whole") + more).otherwise(0)
-    return joined.withColumn(out, F.struct(F.col(n).alias("size"), F.col(f"{r}.source_size"), F.col(f"{r}.target"), copies.alias("copies"))).drop(s, n, u, r)
+    return joined.withColumn(out, F.struct(F.col(n).alias("size"), F.col(f"{r}.source_size"), F.col(f"{r}.target"), copies.alias("copies"))).drop(s, n, u, r, k)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,12 +90,13 @@ expected as (select *, least({k}.0::double, greatest(0.0, coalesce(case when fil
 rules as (select source, band, band_size, source_size, target, floor(e)::bigint as whole, e - floor(e) as p from expected),
 missing as (select source, max(target) - sum(whole * band_size) as missing from rules group by source),
 ranked as (select rid, sized.source, size, case when p > 0 and size > 0 then u * (1 - p) / (u * (1 - p) + (1 - u) * p) end as rank from sized join rules on sized.source is not distinct from rules.source and sized.band = rules.band),
-ranks as (select source, rank, sum(size) as words from ranked where rank is not null group by all),
+ranks as (select source, rank, sum(size) as words, count(*) as n from ranked where rank is not null group by all),
 run as (select *, coalesce(sum(words) over (partition by source order by rank rows between unbounded preceding and 1 preceding), 0) as done from ranks),
-taken as (select run.source, rank from run join missing on run.source is not distinct from missing.source where done + words / 2 <= missing)
-select d.* exclude (rid, u), source_size, target, case when d.size > 0 then whole + (taken.rank is not null)::bigint else 0 end as copies
-from d join ranked using (rid) join rules on d.source is not distinct from rules.source and length(bin(d.size)) = rules.band
-  left join taken on d.source is not distinct from taken.source and ranked.rank = taken.rank"""
+taken as (select run.source, rank, floor((missing - done) / (words / n) + 0.5) as m from run join missing on run.source is not distinct from missing.source),
+numbered as (select *, row_number() over (partition by source, rank order by rid) as number from ranked)
+select d.* exclude (rid, u), source_size, target, case when d.size > 0 then whole + coalesce(number <= m, false)::bigint else 0 end as copies
+from d join numbered using (rid) join rules on d.source is not distinct from rules.source and length(bin(d.size)) = rules.band
+  left join taken on d.source is not distinct from taken.source and numbered.rank = taken.rank"""
 
 
 OP3 = f"select doc_id, size, source_size, target, size * copies as taken from ({mixing_rows()})"
