@@ -214,7 +214,7 @@ def test_chat_as_sql(spark, folder, monkeypatch):
     assert twin(spark, folder(), {"conversations": table}, chat.op8, text) is None
 
 
-def test_chat_parts_are_cut_by_rows_and_bytes(spark, monkeypatch):
+def test_chat_parts_are_cut_by_rows_and_bytes(spark, folder, monkeypatch):
     monkeypatch.setattr(chat, "PART_ROWS", 50, raising=False)
     monkeypatch.setattr(chat, "PART_BYTES", 4000, raising=False)
     rng = random.Random(12)
@@ -222,14 +222,30 @@ def test_chat_parts_are_cut_by_rows_and_bytes(spark, monkeypatch):
     rows += [(1, None, "user", f"n{rng.randrange(300)}") for _ in range(400)] + [(1, k, "user", "x") for k in range(5)]  # no numbers
     rows += [(2, k, "user", "y" * 900) for k in range(20)] + [(2, 3, "user", "z" * 9000)]  # long texts
     rows += [(3, k, "user", "few") for k in range(2000, 2030)]
-    got = chat.render(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)).collect()
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
+    table = table.withColumns({"stretch": F.lit("s"), "pos": F.lit(1.5), "bucket": F.lit(None).cast("string"), "line": F.lit("l")})  # names used inside
+    got = chat.render(table).collect()
     for c in (None, 1, 2, 3):
-        parts = sorted((r.part, r.text) for r in got if r.conv_id == c)
+        pieces = sorted((r.part, r.piece, r.text) for r in got if r.conv_id == c)
+        parts = [(part, t) for part, _, t in pieces]
         want = "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for _, _, r, t in sorted(((n is None, n or 0, r, t) for i, n, r, t in rows if i == c)))
         assert "".join(t for _, t in parts) == want
         assert all(t.count("<|im_start|>") <= 50 and len(t) - t.index("<|im_end|>") <= 4020 for _, t in parts)
-        assert [p for p, _ in parts] == ([1] if c == 3 else list(range(len(parts))))
+        assert [k for _, k, _ in pieces] == [k for part in sorted({p for p, _ in parts}) for k in range(sum(p == part for p, _ in parts))]
+        assert {p for p, _ in parts} == ({1} if c == 3 else {0, chat.LAST} if c == 1 else {0})
         assert len({r.n_turns for r in got if r.conv_id == c}) == 1
+    text = sql.OP8.replace("// 65536", "// 50").replace("// 67108864", "// 4000")
+    assert "// 50)" in text.replace("// 50 ", "// 50) ") and "// 4000" in text
+    assert twin(spark, folder(), {"conversations": table}, chat.op8, text) is None
+
+
+def test_one_row_of_each_labelled_id_is_learnt_from(spark):
+    rng = random.Random(2)
+    docs = [(k, prose(rng, 30, 60) + (" vile scum" if k % 3 == 0 else "")) for k in range(200)]
+    marks = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(200)], "doc_id long, toxic int")
+    once = toxicity.learn(spark.createDataFrame(docs, "doc_id long, text string"), marks, "toxic")
+    often = toxicity.learn(spark.createDataFrame(docs + [docs[1]] * 500, "doc_id long, text string"), marks, "toxic")
+    assert once.weights and once.weights == pytest.approx(often.weights) and once.intercept == pytest.approx(often.intercept)
 
 
 def test_mix_meets_its_targets(spark):

@@ -9,9 +9,9 @@ The hash of a prefix is the sum, turn by turn, of two 64-bit hashes of (place, r
 32-bit halves; sums over buckets make it rolling without one task per conversation: all rows are put in order
 over ranges of nearly equal numbers of rows, whatever their conversation and turn, and a window runs over a bucket's
 rows or over a conversation's buckets. Equal rows are told apart by their place, so repeats are cut too.
-Long conversations are rendered in as many parts: one for each stretch of ``STRETCH`` turn numbers. Where a stretch has more
-than ``PART_ROWS`` rows or ``PART_BYTES`` bytes (turns without a number, repeated numbers, long texts) it is cut by rows,
-and all parts of its conversation are numbered from 0, in order.
+Long conversations are rendered in as many parts: one for each stretch of ``STRETCH`` turn numbers, in pieces numbered from 0.
+A piece ends after ``PART_ROWS`` rows or ``PART_BYTES`` bytes of its stretch (turns without a number, repeated numbers, long
+texts), so most stretches are one piece, and the rule is the same for all.
 
 Defined results: a null role or text is the empty one; turns come in order of turn (null last), role and text, all of
 them, repeated ones too; a null conversation id is an id of its own; an empty table gives no rows; other columns are not
@@ -98,14 +98,15 @@ def maximal(t: DataFrame) -> DataFrame:
 
 
 def cut_large(rows: DataFrame) -> DataFrame:
-    """Rendered rows with their ``part``: their stretch, or a number from 0 in conversations with a stretch beyond the bounds."""
+    """Rendered rows with their ``piece``: the number, within its stretch, of the rows and bytes it falls into. Stretches within the
+    bounds are piece 0 without being counted through."""
     per = rows.groupBy("conv_id", "stretch", "bucket").agg(F.count("*").alias("m"), F.sum("size").alias("size"), F.min("pos").alias("first"))
     per = written(per)
     sums = per.groupBy("conv_id", "stretch").agg(F.sum("m").alias("m"), F.sum("size").alias("size"))
-    large = sums.where((F.col("m") > PART_ROWS) | (F.col("size") > PART_BYTES)).select(F.col("conv_id").alias("large_id")).distinct()
+    large = sums.where((F.col("m") > PART_ROWS) | (F.col("size") > PART_BYTES)).select(F.col("conv_id").alias("large_id"), F.col("stretch").alias("large_stretch"))
     large = written(large)
-    is_large = F.col("conv_id").eqNullSafe(F.col("large_id"))
-    usual = rows.join(large, is_large, "left_anti").withColumn("part", F.col("stretch"))
+    is_large = F.col("conv_id").eqNullSafe(F.col("large_id")) & (F.col("stretch") == F.col("large_stretch"))
+    usual = rows.join(large, is_large, "left_anti").withColumn("piece", F.lit(0).cast("long"))
 
     offsets = per.join(large, is_large, "left_semi").select("conv_id", "stretch", "bucket", "first", _before("m", "conv_id stretch").alias("rows_before"), _before("size", "conv_id stretch").alias("size_before"))
     cut = _with_bucket(rows.join(large, is_large, "left_semi"), offsets, "stretch")
@@ -115,7 +116,7 @@ def cut_large(rows: DataFrame) -> DataFrame:
     by_size = F.floor((F.col("size_before") + F.sum("size").over(inside) - 1) / PART_BYTES)
     cut = cut.withColumns({"by_rows": by_rows, "by_size": by_size}).drop("rows_before", "size_before", "first")
     pieces = ["stretch", "by_rows", "by_size"]
-    names = cut.select("conv_id", *pieces).distinct().withColumn("part", F.row_number().over(Window.partitionBy("conv_id").orderBy(*pieces)).cast("long") - 1)
+    names = cut.select("conv_id", *pieces).distinct().withColumn("piece", F.row_number().over(Window.partitionBy("conv_id", "stretch").orderBy("by_rows", "by_size")).cast("long") - 1)
     names = written(names).withColumnsRenamed({"conv_id": "c"} | {k: f"m_{k}" for k in pieces})
     same = F.col("conv_id").eqNullSafe(F.col("c"))
     for k in pieces:
@@ -124,15 +125,15 @@ def cut_large(rows: DataFrame) -> DataFrame:
 
 
 def render(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, part, n_turns, copies, text): the maximal conversations, rendered."""
+    """(conv_id, part, piece, n_turns, copies, text): the maximal conversations, rendered."""
     t = in_order(turns(conversations, conv_id, turn, role, text))
     kept = written(maximal(t)).withColumnRenamed("conv_id", "kept_id")
     plain = F.replace(F.col("text"), F.lit("<|"), F.lit("< |"))
     marked = t.withColumn("line", F.concat(F.lit(OPEN), F.replace(F.col("role"), F.lit("<|"), F.lit("< |")), F.lit("\n"), plain, F.lit(CLOSE + "\n")))
     rows = marked.join(kept, F.col("conv_id").eqNullSafe(F.col("kept_id"))).withColumn("size", F.octet_length("line").cast("long"))
     rows = cut_large(rows.select("conv_id", "stretch", "bucket", "pos", "n_turns", "copies", "line", "size"))
-    parts = rows.groupBy("conv_id", "part", "n_turns", "copies").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("lines"))
-    return parts.select("conv_id", "part", "n_turns", "copies", F.array_join(F.transform("lines", lambda x: x["line"]), "").alias("text"))
+    parts = rows.groupBy("conv_id", F.col("stretch").alias("part"), "piece", "n_turns", "copies").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("lines"))
+    return parts.select("conv_id", "part", "piece", "n_turns", "copies", F.array_join(F.transform("lines", lambda x: x["line"]), "").alias("text"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,9 +150,12 @@ with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '')
 n as (select *, row_number() over w as place, count(*) over (partition by conv_id) as n from t window w as (partition by conv_id order by turn nulls last, role, text)),
 p as (select *, md5(string_agg(md5(role) || md5(text), '' ) over (partition by conv_id order by place)) as h from n),
 whole as (select min(conv_id) as conv_id, n, h, count(*) as copies from p where place = n group by n, h),
-kept as (select conv_id, n as n_turns, copies from whole where not exists (select 1 from p where p.place < p.n and p.place = whole.n and p.h = whole.h))
-select n.conv_id, n.part, n_turns, copies, string_agg('{chat.OPEN}' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '{chat.CLOSE}' || chr(10), '' order by place) as text
-from n join kept on n.conv_id is not distinct from kept.conv_id group by n.conv_id, n.part, n_turns, copies"""
+kept as (select conv_id, n as n_turns, copies from whole where not exists (select 1 from p where p.place < p.n and p.place = whole.n and p.h = whole.h)),
+lines as (select n.conv_id, n.part, n_turns, copies, place, '{chat.OPEN}' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '{chat.CLOSE}' || chr(10) as line
+  from n join kept on n.conv_id is not distinct from kept.conv_id),
+cut as (select *, (row_number() over w - 1) // {chat.PART_ROWS} as by_rows, (sum(strlen(line)) over w - 1) // {chat.PART_BYTES} as by_size from lines window w as (partition by conv_id, part order by place)),
+pieces as (select *, dense_rank() over (partition by conv_id, part order by by_rows, by_size) - 1 as piece from cut)
+select conv_id, part, piece, n_turns, copies, string_agg(line, '' order by place) as text from pieces group by conv_id, part, piece, n_turns, copies"""
 
 _N = near_copies.SHINGLE
 #: Brute force over all pairs of documents with a shingle in common: for small tables.

@@ -118,6 +118,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id"
     chosen = one_label_each(labels, label).where(crc_rest(F.col("doc_id"), 5) != 0)
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).withColumnRenamed("doc_id", "labelled")
     both = docs.select(quoted(doc_id).alias("id"), quoted(text).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("labelled"))
+    # a labelled id may stand in many rows; one of them is learnt from
+    both = both.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text"))
     sample = written(both.select("label", per_text(lambda t: (words_in(t),), "words array<string>")(F.col("text"))["words"].alias("words")))
 
     n = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
