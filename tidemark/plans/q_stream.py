@@ -13,6 +13,7 @@ from tidemark.plans import inputs as i
 from tidemark.plans.catalog import query
 from tidemark.plans.q_tables import CURRENT_SQL
 from tidemark.sources import readers
+from tidemark.sinks.seen_ids import SeenIds
 from tidemark.streaming import keyed, streams
 
 FLAT_ROW = ["user_id", "event_type", "value", "props"]
@@ -125,6 +126,19 @@ def streaming_dedupe(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("m4_dedupe_beyond_watermark", "SELECT event_id, user_id FROM events")
+def dedupe_beyond_watermark(spark, sf):
+    """All events are delivered again after the first delivery has ended, in other micro-batches, and dropped."""
+    src, out, check, ids = (lineage.scratch(spark) for _ in range(4))
+    events = i.read(spark, sf, "events").select("event_id", "user_id")
+    store = SeenIds(spark, ids, "event_id")
+    for _ in range(2):
+        events.write.mode("append").parquet(src)
+        feed = readers.change_stream(spark, "parquet", src, events.schema)
+        _done(streams.dedupe_for_good(feed, store, out, check))
+    return spark.read.parquet(out).select("event_id", "user_id")
+
+
 COUNTS_SQL = """SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,
   op, count(*) AS events FROM chg GROUP BY 1, 2, 3"""
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from tidemark.functions import lineage, ordered
 from tidemark.operators import apply as ap
 from tidemark.sinks import writers
+from tidemark.sinks.seen_ids import SeenIds
 
 # Default time between micro-batches.
 TRIGGER = "10 seconds"
@@ -239,6 +240,19 @@ def sessions(
     return out.select("session_start", (F.col("last") + pause).alias("session_end"), *by, "events")
 
 
+def dedupe_for_good(events: DataFrame, store: SeenIds, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Keep the first delivery of every event, however late another one comes: ids are held against ``store`` instead of a
+    state that ends at the watermark. Each micro-batch has its own folder, so a repeated one replaces itself."""
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        out = f"{path}/batch_id={batch_id}"
+        store.unseen(batch, batch_id).write.mode("overwrite").parquet(out)
+        store.add(batch.sparkSession.read.schema(batch.schema).parquet(out), batch_id)
+
+    writer = events.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+    return _trigger(writer, every).start()
+
+
 def validate_to(
     events: DataFrame, checks: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
