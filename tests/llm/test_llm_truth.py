@@ -146,6 +146,22 @@ def test_repeats_of_a_row_are_shingled_once(spark, monkeypatch):
     assert collections.Counter((r.doc_id, r.class_id, r.n_links) for r in got) == {(1, 1, 799): 500, (None, 1, 799): 300, (7, 7, 0): 1}
 
 
+def test_edges_of_a_large_group(spark, monkeypatch):
+    """A group of near copies has about one edge per class, not one per class and band it shares."""
+    rng = random.Random(9)
+    words, texts = prose(rng, 150, 3000).split(), {}
+    for k in range(400):
+        own = list(words)
+        for _ in range(3):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+        texts[k] = " ".join(own)
+    edges, components = [], near_copies.components
+    monkeypatch.setattr(near_copies, "components", lambda e: edges.append(e.distinct().count()) or components(e))
+    got = near_copies.join(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == links_by_brute_force(texts)
+    assert max(edges) < 1.5 * len(texts)
+
+
 def test_forest_depth():
     depth = near_copies.depth_for()
     recall = [1 - (1 - near_copies.THRESHOLD**d) ** near_copies.TRIES for d in (depth, depth + 1)]

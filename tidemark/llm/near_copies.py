@@ -6,7 +6,7 @@ of fewer words is one shingle). Two texts are linked if the Jaccard similarity o
 1. Texts with equal shingle sets form a class, which goes on as one row; copies are never paired with each other.
 2. Every class has a MinHash signature, cut into bands. Their depth is the greatest at which some band of a pair at the
    threshold matches with the target recall (``depth_for``). Classes with the same band hang on the least one of them:
-   a star, not all pairs.
+   a star, not all pairs. A class keeps the edge to the least of its stars, on which its other stars hang, too.
 3. Connected stars are candidate groups; all links lie inside them. A group is cut into blocks of bounded size, and every
    two blocks meet in one task, which counts common shingles exactly. What goes out is one row per class and
    block pair, its number of links and the least class it is connected with, never the pairs. These rows are summed per
@@ -104,6 +104,14 @@ def coded(docs: DataFrame, depth: int) -> DataFrame:
     return docs.withColumn("c", code(F.col("text"))).select("row_hash", "text_hash", "doc_id", "c.*")
 
 
+def to_least(met: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect what the rows (cls, least, leasts) do: a class hangs on the least one it met, and so do the
+    others it met, once for all classes that met them. In a large group that is about one edge per class, not one per class
+    and band or block pair."""
+    tied = F.explode(F.array_union("leasts", F.array("cls")))
+    return met.select(tied.alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node connected with each node of the edges (a, b). Labels spread along edges and jump to
     the labels' labels until none changes; every round is written, so a lost executor costs one round at most."""
@@ -207,8 +215,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     hung = classes.select("cls", F.explode("paths").alias("prefix"))
     stars = hung.groupBy("prefix").agg(F.min("cls").alias("star"), F.count("*").alias("m")).where("m > 1").select(F.col("prefix").alias("p"), "star")
-    edges = hung.join(stars, F.col("prefix") == F.col("p")).where("cls <> star").select(F.col("cls").alias("a"), F.col("star").alias("b"))
-    groups = components(edges)
+    tied = hung.join(stars, F.col("prefix") == F.col("p")).groupBy("cls").agg(F.min("star").alias("least"), F.collect_set("star").alias("leasts"))
+    groups = components(to_least(tied))
 
     members = groups.join(classes, F.col("node") == F.col("cls")).select(F.col("root").alias("grp"), "cls", "weight", "n", F.col("row.row_hash").alias("r"), F.col("row.text_hash").alias("t"))
     # repeats of a row go map-side, before its text is shingled and sent to every block
@@ -217,12 +225,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     hashed = per_text(lambda t: (shingles(t).tobytes(),), "s binary")
     met = written(verified(found.withColumn("shingles", hashed(F.col("text"))["s"])))
 
-    # one edge per class, to the least it met; the others it met hang on that one, too, and are few: one or some per block pair
     per = met.groupBy("cls").agg(F.sum("links").alias("links"), F.min("least").alias("least"), F.collect_set("least").alias("leasts"))
     per = written(per)
     links = per.select(F.col("cls").alias("c"), "links")
-    hanging = per.where(F.size("leasts") > 1).select(F.explode("leasts").alias("a"), F.col("least").alias("b")).distinct()
-    roots = components(per.select(F.col("cls").alias("a"), F.col("least").alias("b")).union(hanging))
+    roots = components(to_least(per))
     near = links.join(roots, F.col("c") == F.col("node"), "left").drop("node")
     final = classes.select("cls", "digest", "weight", "row").join(near, F.col("cls") == F.col("c"), "left")
     final = written(final.select("digest", F.coalesce("root", "cls").alias("root"), "row", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
