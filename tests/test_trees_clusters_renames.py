@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 
 import pyarrow.parquet as pq
@@ -108,6 +109,34 @@ def test_cluster_skips_files_on_either_column(spark, folder, columns, share):
         assert len(files) > 50 and sum(touched) / len(touched) < share * len(files), column
 
 
+@pytest.mark.parametrize("write", [lambda d, p, **t: writers.cluster(d, p, ["x", "y"], **t), lambda d, p, **t: writers.compact(d, p, order_by=["x"], **t)])
+def test_small_files_share_tasks(spark, folder, write):
+    """Tasks, and blocks shuffled to them, are few however many files are written."""
+    rows = spark.range(60_000, numPartitions=4).selectExpr("id", "hash(id) % 1000 AS x", "xxhash64(id) % 100000 AS y")
+    rows.write.parquet(src := folder("src"))
+    df = spark.read.parquet(src)
+    want = 200
+    size = sum(os.path.getsize(f"{src}/{f}") for f in os.listdir(src) if f.endswith(".parquet"))
+    write(df, path := folder("out"), target_bytes=-(-size // want))
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    tasks = {f.split("-")[1] for f in files}
+    assert want - 10 <= len(files) <= want + len(tasks) and len(tasks) <= 8
+    assert max(pq.ParquetFile(f"{path}/{f}").metadata.num_rows for f in files) <= 60_000 // want + 1
+    back = spark.read.parquet(path)
+    assert back.exceptAll(df).isEmpty() and back.count() == 60_000
+    widths = [b - a for a, b in back.groupBy(F.input_file_name()).agg(F.min("x").alias("a"), F.max("x").alias("b")).select("a", "b").collect()]
+    assert sum(widths) / len(widths) < 500  # of 2000
+
+
+@pytest.mark.parametrize("values", [[None, 3.0, float("nan"), -1.0, 3.0, 7.0] * 40, list(range(500)), [5] * 30 + [None] * 200])
+def test_curve_counts_the_limits_passed(spark, values):
+    df = spark.createDataFrame([(k, None if v is None else float(v)) for k, v in enumerate(values)], "id int, v double")
+    got = {r.id: r.c for r in df.withColumn("c", writers.interleaved(df, ["v"], bits=4)).collect()}
+    limits = df.agg(F.percentile_approx(F.coalesce("v", F.lit(float("-inf"))), [k / 16 for k in range(1, 16)], 160)).first()[0]
+    above = lambda x, v: v != v or x <= v  # noqa: E731  NaN is above all
+    assert got == {k: sum(above(x, float("-inf") if v is None else float(v)) for x in limits) for k, v in enumerate(values)}
+
+
 def test_cluster_of_one_value_nulls_and_none(spark, folder):
     same = spark.createDataFrame([(1, "x")] * 500 + [(None, None)] * 20, "a int, b string")
     writers.cluster(same, path := folder("a"), ["a", "b"], files=4)

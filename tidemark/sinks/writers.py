@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +97,19 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 TARGET_BYTES = 256 * 2**20
+#: Smaller files than this are written several to a task, so that tasks and the blocks shuffled to them don't grow with the
+#: number of files.
+TASK_BYTES = 16 * 2**20
+
+
+def _shares(df: DataFrame, files: int | None, target_bytes: int) -> tuple[int, int, int]:
+    """Files to write, tasks that write them, and rows a file (0: each task writes one file). Rows are counted only where a
+    task writes several files."""
+    if files is not None:
+        return files, files, 0
+    files = max(1, -(-lineage.bytes_of(df) // target_bytes))
+    tasks = max(-(-files // max(1, TASK_BYTES // target_bytes)), min(files, df.sparkSession.sparkContext.defaultParallelism))
+    return files, tasks, -(-df.count() // files) if tasks < files else 0
 
 
 def compact(
@@ -105,14 +120,13 @@ def compact(
     ``files`` must be given), or into ``files`` of them, in a
     new folder. With ``order_by`` they are cut by range and
     sorted, so that scans on those columns skip files; rows that tie are cut by their hash, so a hot
-    value is spread over files."""
-    if files is None:
-        files = max(1, -(-lineage.bytes_of(df) // target_bytes))
+    value is spread over files. A task cuts its rows into several files, in their order, where these are small."""
+    files, tasks, rows = _shares(df, files, target_bytes)
     if order_by:
-        out = df.repartitionByRange(files, *order_by, F.xxhash64(*df.columns)).sortWithinPartitions(*order_by)
+        out = df.repartitionByRange(tasks, *order_by, F.xxhash64(*df.columns)).sortWithinPartitions(*order_by)
     else:
-        out = df.repartition(files)
-    out.write.format(fmt).mode("errorifexists").save(path)
+        out = df.repartition(tasks)
+    out.write.format(fmt).mode("errorifexists").option("maxRecordsPerFile", rows).save(path)
 
 
 RANK_BITS = 8
@@ -137,22 +151,23 @@ def interleaved(df: DataFrame, columns: Sequence[str], bits: int = RANK_BITS) ->
     the columns, so skewed columns are cut evenly, too; nulls come first."""
     if not 1 <= len(columns) * bits <= 62 or bits % 2:
         raise ValueError("bits is even, and bits times columns is at most 62")
-    n, half = 2**bits, 2 ** (bits // 2)
+    n = 2**bits
     at = [k / n for k in range(1, n)]
     names = [f"q{k}" for k in range(len(columns))]
     found = df.agg(*[F.percentile_approx(_numbered(df, c), at, 10 * n).alias(q) for c, q in zip(columns, names)]).first()
-    terms = []
-    for place, (column, q) in enumerate(zip(columns, names)):
-        if found[q] is None:
-            continue  # no rows
-        limits, v = found[q], _numbered(df, column)
-        upper = F.array(*[F.lit(limits[k * half - 1]) for k in range(1, half)])
-        coarse = F.size(F.filter(upper, lambda x: x <= v))  # noqa: B023
-        inner = F.slice(F.array(*[F.lit(x) for x in limits]), coarse * half + 1, half - 1)
-        rank = coarse * half + F.size(F.filter(inner, lambda x: x <= v))  # noqa: B023
-        # bit b of the rank goes to place b * columns + place
-        terms += [F.shiftleft(F.shiftright(rank, b).bitwiseAND(F.lit(1)).cast("long"), b * len(columns) + place) for b in range(bits)]
-    return sum(terms[1:], terms[0]) if terms else F.lit(0).cast("long")
+    limits = [np.sort(found[q]) for q in names if found[q] is not None]
+    if not limits:
+        return F.lit(0).cast("long")  # no rows
+
+    def curve(numbers: pd.DataFrame) -> pd.Series:
+        out = np.zeros(len(numbers), np.int64)
+        for place, at in enumerate(limits):
+            rank = np.searchsorted(at, numbers.iloc[:, place].to_numpy(), "right")
+            for b in range(bits):
+                out |= (rank >> b & 1) << (b * len(limits) + place)
+        return pd.Series(out)
+
+    return F.pandas_udf(curve, T.LongType())(F.struct(*[_numbered(df, c).alias(q) for c, q in zip(columns, names)]))
 
 
 def cluster(
@@ -161,12 +176,11 @@ def cluster(
 ) -> None:
     """Rewrite a table into a new folder, clustered on several columns at once: filters on any of them skip most files
     by the bounds in their footers. ``files`` as in ``compact``; a hot cell of the curve is spread over files by hash."""
-    if files is None:
-        files = max(1, -(-lineage.bytes_of(df) // target_bytes))
+    files, tasks, rows = _shares(df, files, target_bytes)
     curve = "__curve"
     placed = df.withColumn(curve, interleaved(df, columns, bits))
-    out = placed.repartitionByRange(files, curve, F.xxhash64(*[f"`{c}`" for c in df.columns])).sortWithinPartitions(curve, *[f"`{c}`" for c in columns])
-    out.drop(curve).write.format(fmt).mode("errorifexists").save(path)
+    out = placed.repartitionByRange(tasks, curve, F.xxhash64(*[f"`{c}`" for c in df.columns])).sortWithinPartitions(curve, *[f"`{c}`" for c in columns])
+    out.drop(curve).write.format(fmt).mode("errorifexists").option("maxRecordsPerFile", rows).save(path)
 
 
 def append_feed(feed: DataFrame, path: str, fmt: str = "parquet") -> None:
