@@ -3,11 +3,13 @@
 import os
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_streaming import changes, stream, table
 
 from tidemark.operators import feed
+from tidemark.plans import q_stream
 from tidemark.sinks import writers
 from tidemark.streaming import keyed, streams
 
@@ -98,6 +100,31 @@ def test_previous_images_equal_the_batch_answer_over_a_restart(spark, folder, cu
     assert got == want
 
 
+@pytest.mark.parametrize("kind", ["numbers", "texts"])
+def test_rows_of_a_key_in_order(kind):
+    n, t = [3, 1, None, 1, 3, None, 2], pd.to_datetime(["2024-01-02", "2024-01-03", "2024-01-01", None, "2024-01-02", "2024-01-01", None])
+    rows = pd.DataFrame({"o0": n if kind == "numbers" else [None if x is None else str(x) for x in n], "o1": t}, index=range(10, 17))
+    want = rows.reset_index(drop=True).sort_values(["o0", "o1"], kind="stable").index.tolist()
+    assert keyed._ordered(rows, ["o0", "o1"]).tolist() == want == [1, 3, 6, 0, 4, 2, 5]
+
+
+def test_previous_images_of_many_files(spark, folder, monkeypatch):
+    """Days are written by as many tasks as read them, and are a micro-batch each."""
+    rows = spark.range(400, numPartitions=4).selectExpr("id AS event_id", "id % 7 AS user_id", "timestamp_ntz '2024-01-01' + make_dt_interval(0, id * 37 % 719) AS ts", "concat('t', id % 5) AS event_type", "id / 4 AS value")
+    rows.write.parquet(f"{folder('sf')}/events.parquet")
+    made, scratch = [], q_stream.lineage.scratch
+    monkeypatch.setattr(q_stream.lineage, "scratch", lambda s: made.append(scratch(s)) or made[-1])
+    got = {r.event_id: (r.old_type, r.old_value) for r in q_stream.streaming_before_image(spark, folder("sf")).collect()}
+    last, want = {}, {}
+    for r in rows.orderBy("ts", "event_id").collect():
+        want[r.event_id] = last.get(r.user_id, (None, None))
+        last[r.user_id] = (r.event_type, r.value)
+    assert got == want
+    _, check, src = made[:3]
+    assert sorted(f for f in os.listdir(f"{check}/commits") if f.isdigit()) == ["0", "1", "2"]
+    assert len([f for f in os.listdir(src) if f.endswith(".parquet")]) > 6
+
+
 def test_fold_rewrites_touched_buckets_only(spark, folder, monkeypatch):
     src, root, check = folder("src"), folder("root"), folder("check")
     args = dict(keys=["id"], order_by=["n"])

@@ -299,14 +299,15 @@ PREVIOUS_SQL = """SELECT event_id, lag(event_type) OVER w AS old_type, lag(value
 
 @query("w2_streaming_before_image", PREVIOUS_SQL)
 def streaming_before_image(spark, sf):
-    """Previous event of each user across micro-batches: the events come by days, a file at a time."""
+    """Previous event of each user across micro-batches: the events come by days, and the files of some days, written by as many
+    tasks as read them, are one micro-batch of a stream that goes on from its checkpoint."""
     out, check, src = lineage.scratch(spark), lineage.scratch(spark), lineage.scratch(spark)
     e = i.read(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
     for lo, hi in (("2023-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2030-01-01")):
-        e.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))).coalesce(1).write.mode("append").parquet(src)
-    s = readers.change_stream(spark, "parquet", src, e.schema, limit=1)
-    d = keyed.previous_image(s, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
-    _done(streams.append_to(d.select("event_id", F.col("before.event_type").alias("old_type"), F.col("before.value").alias("old_value")), out, check, every=None))
+        e.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))).write.mode("append").parquet(src)
+        s = readers.change_stream(spark, "parquet", src, e.schema)
+        d = keyed.previous_image(s, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
+        _done(streams.append_to(d.select("event_id", F.col("before.event_type").alias("old_type"), F.col("before.value").alias("old_value")), out, check, every=None))
     return spark.read.parquet(out)
 
 
