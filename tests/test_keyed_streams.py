@@ -2,9 +2,11 @@
 
 import os
 import time
+import uuid
 
 import pandas as pd
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 from test_streaming import changes, stream, table
 
@@ -62,6 +64,80 @@ def test_batches_close_by_size_or_time_and_survive_a_restart(spark, folder):
     assert {k: len(v) for k, v in by.items()} == {("fast", 0, "size"): 10, ("fast", 1, "size"): 10, ("fast", 2, "time"): 6, ("slow", 0, "size"): 10, ("slow", 1, "time"): 2}
 
 
+@pytest.mark.parametrize("size, chars", [(1, 1 << 24), (7, 300), (15_000, 1 << 24)])
+def test_batches_of_busy_lanes_come_as_packets(spark, folder, monkeypatch, size, chars):
+    """Every row is in one batch whatever packets hold, and the one task of a lane is handed packets, not rows."""
+    counts, calls = {None: 3, "": 14, "busy": 31_000, "a\nb": 5}, folder("calls")
+    os.mkdir(calls)
+    lanes = [lane for lane, n in counts.items() for _ in range(n)]
+    rows = [(k, lane, None, None, True) for k, lane in enumerate(lanes)]
+    spark.createDataFrame(rows, ROW).repartition(3).write.parquet(folder("src"))
+    monkeypatch.setattr(keyed, "PACKET_CHARS", chars, raising=False)
+    with_state = GroupedData.applyInPandasWithState
+
+    def counting(self, run, *args):
+        def spy(key, parts, state):
+            parts = list(parts)
+            with open(f"{calls}/{uuid.uuid4()}", "w") as f:
+                f.write(str(sum(map(len, parts))))
+            yield from run(key, iter(parts), state)
+
+        return with_state(self, spy, *args)
+
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", counting)
+    q = streams.feed_to(keyed.batches(source(spark, folder("src")), "lane", size, 500), folder("out"), folder("check"), every="500 milliseconds", batch_column="written")
+    got = lambda: found(spark, folder("out"), ROW + ", batch_lane string, batch bigint, closed_by string")
+    try:
+        wait_for(q, lambda: len(got()) >= len(rows))
+    finally:
+        q.stop()
+    assert sorted((r.id, r.lane, r.batch_lane) for r in got()) == [(k, lane, lane) for k, lane in enumerate(lanes)]
+    want = {(lane, b): (min(size, n - b * size), "size" if (b + 1) * size <= n else "time") for lane, n in counts.items() for b in range(-(-n // size))}
+    by = {}
+    for r in got():
+        by.setdefault((r.lane, r.batch), []).append(r.closed_by)
+    assert {k: (len(v), *set(v)) for k, v in by.items()} == want
+    most = max(int(open(f"{calls}/{f}").read()) for f in os.listdir(calls))
+    assert most <= (12 if chars > 300 else 7000)
+
+
+def test_rows_that_wait_are_handed_on_before_newer_packets(spark, folder):
+    src, check = folder("src"), folder("check")
+    put(spark, src, [(k, "x", None, None, True) for k in range(4)])
+    q = streams.feed_to(keyed.batches(source(spark, src), "lane", 10, 3_600_000), folder("out"), check, every="500 milliseconds", batch_column="written")
+    got = lambda: found(spark, folder("out"), ROW + ", batch bigint, closed_by string")
+    try:
+        wait_for(q, lambda: os.path.exists(f"{check}/commits/0"))
+        put(spark, src, [(k, "x", None, None, True) for k in range(4, 64)])
+        wait_for(q, lambda: len(got()) == 60)
+    finally:
+        q.stop()
+    assert sorted(r.batch for r in got()) == [b for b in range(6) for _ in range(10)]
+    assert {0, 1, 2, 3} <= {r.id for r in got() if r.batch == 0}
+
+
+def test_a_micro_batch_takes_the_time_it_needs(spark, folder):
+    """The wait for rows ends when micro-batches bring none, not after a time for the whole work."""
+    schema = "event_id long, event_type string"
+    rows = spark.range(40, numPartitions=1).selectExpr("id AS event_id", "'a' AS event_type")
+    rows.write.parquet(folder("src"))
+
+    def slow(parts):
+        for part in parts:
+            time.sleep(3)
+            yield part
+
+    def run(name, events):
+        q = streams.feed_to(keyed.batches(events, "event_type", 10, 500), folder(name), folder(f"check_{name}"), every="500 milliseconds", batch_column="written")
+        q_stream._until(q, folder(name), rows, seconds=1)
+        assert not q.isActive
+
+    run("whole", source(spark, folder("src"), schema).mapInPandas(slow, schema))
+    assert spark.read.parquet(folder("whole")).count() == 40
+    with pytest.raises(TimeoutError):
+        run("part", source(spark, folder("src"), schema).filter("event_id < 30"))
+
+
 def test_alerts_come_by_the_clock_and_clear_with_the_next_event(spark, folder):
     schema = "key string, v double, at timestamp"
     src, out = folder("src"), folder("out")

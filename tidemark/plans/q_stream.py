@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import Window
@@ -280,13 +281,21 @@ def size_or_time(spark, sf):
 
 
 def _until(query, out, events, seconds=120):
-    """Let a stream with timers, which always has a next batch, run until it has handed on as many rows as there are events."""
-    want, end = events.count(), time.monotonic() + seconds
+    """Let a stream with timers, which always has a next batch, run until it has handed on as many rows as there are events. A
+    micro-batch takes the time it needs; the run fails once micro-batches have brought no row for so many seconds."""
+    want, got, seen, end = events.count(), 0, None, math.inf
     try:
-        while query.isActive and time.monotonic() < end:
-            written = [path for _, path in lineage.numbered_folders(events.sparkSession, out, "written")]
-            if written and events.sparkSession.read.schema("event_id bigint").parquet(out).count() >= want:
-                return
+        while query.isActive:
+            last = query.lastProgress
+            if last is not None and last.timestamp != seen:  # a micro-batch has ended
+                written = [path for _, path in lineage.numbered_folders(events.sparkSession, out, "written")]
+                rows = events.sparkSession.read.schema("event_id bigint").parquet(out).count() if written else 0
+                if rows >= want:
+                    return
+                end = math.inf if rows > got else min(end, time.monotonic() + seconds)
+                if time.monotonic() >= end:
+                    break
+                got, seen = rows, last.timestamp
             time.sleep(0.5)
         raise query.exception() or TimeoutError("rows are still waiting")
     finally:

@@ -9,7 +9,9 @@ Rows wait, and images are kept, as JSON of their columns, whatever these are; th
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -53,45 +55,113 @@ def _ordered(rows: pd.DataFrame, by: Sequence[str]) -> np.ndarray:
     return np.lexsort(values[::-1])
 
 
+#: Rows that a task puts into a packet (whole batches, one at least), and the characters of rows it holds for that.
+PACKET_ROWS, PACKET_CHARS = 10_000, 1 << 24
+
+
 def batches(events: DataFrame, lane: str | Column, size: int, wait_ms: int) -> DataFrame:
     """Hand on rows in batches of ``size``, or whatever waits once the oldest waiting row is ``wait_ms`` old, whichever comes
     first. Adds ``batch_lane``, ``batch`` (from 0 in each lane) and ``closed_by`` (``size`` or ``time``).
 
     ``lane`` is what is batched on its own: a destination table, a source partition, or a hash that spreads a busy table
     over several lanes. At most ``size - 1`` rows wait per lane.
+
+    The tasks that read the rows put those of a lane into compressed packets of whole batches. The one task with the lane's state
+    numbers the packets and opens only those of rows left over; other tasks open the rest. Spark hands it all packets that a lane
+    has in a micro-batch at once, so their bytes have to fit its memory, and are 2 GB at most.
     """
     if size < 1 or wait_ms < 1:
         raise ValueError("size and wait_ms are at least 1")
     name = F.col(lane) if isinstance(lane, str) else lane
     rows = events.select(name.cast("string").alias("lane"), _text(events.columns).alias("row"))
+    enough = max(1, PACKET_ROWS // size) * size
+
+    def tight(texts: list[str]) -> bytes:  # a row's JSON has no line breaks
+        return zlib.compress("\n".join(texts).encode(), 1)
+
+    def loose(packet: bytes) -> list[str]:
+        return zlib.decompress(packet).decode().split("\n")
+
+    def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, chars = {}, 0
+
+        def frames(groups: Iterable[tuple[str | None, list[str]]]) -> Iterator[pd.DataFrame]:
+            made = ((of, len(texts), tight(texts)) for of, texts in groups)
+            while some := list(islice(made, 1000)):
+                yield pd.DataFrame(some, columns=["lane", "n", "packet"])
+
+        def everything() -> Iterator[tuple[str | None, list[str]]]:
+            for of, texts in held.items():
+                cut = len(texts) // size * size
+                yield from ((of, some) for some in (texts[:cut], texts[cut:]) if some)
+
+        for part in filter(len, parts):
+            codes, names = pd.factorize(part["lane"])
+            texts, order, full = part["row"].to_numpy(), np.argsort(codes, kind="stable"), []
+            for places in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1):
+                code, more = codes[places[0]], texts[places].tolist()
+                of = None if code < 0 else names[code]
+                mine = held.setdefault(of, [])
+                mine += more
+                chars += sum(map(len, more))
+                if len(mine) >= enough:
+                    cut = len(mine) // size * size
+                    full.append((of, mine[:cut]))
+                    chars -= sum(map(len, mine[:cut]))
+                    del mine[:cut]
+            yield from frames(full)
+            if chars > PACKET_CHARS:
+                yield from frames(everything())
+                held, chars = {}, 0
+        yield from frames(everything())
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         waiting, since, batch = state.get if state.exists else ([], 0, 0)
-        waiting, out, now = list(waiting), [], state.getCurrentProcessingTimeMs()
-
-        def close(n: int, why: str) -> None:
-            nonlocal waiting, batch
-            out.append(pd.DataFrame({"lane": key[0], "batch": batch, "closed_by": why, "row": waiting[:n]}))
-            waiting, batch = waiting[n:], batch + 1
-
-        new = None if state.hasTimedOut else _whole(parts)
-        if new is not None:
-            since = since if waiting else now
-            waiting += new["row"].tolist()
-            while len(waiting) >= size:
-                close(size, BY_SIZE)
-                since = now  # what is left came just now
+        waiting, now = list(waiting), state.getCurrentProcessingTimeMs()
+        old = len(waiting) > 0  # rows of an earlier micro-batch go first
+
+        def frame(why: str, packet: bytes) -> pd.DataFrame:
+            return pd.DataFrame({"lane": [key[0]], "batch": [batch], "closed_by": [why], "packet": [packet]})
+
+        for part in () if state.hasTimedOut else parts:
+            for n, packet in zip(part["n"].tolist(), part["packet"]):
+                if n % size == 0 and not old:
+                    yield frame(BY_SIZE, packet)
+                    batch += n // size
+                    continue
+                since = since if waiting else now
+                waiting += loose(packet)
+                if cut := len(waiting) // size * size:
+                    yield frame(BY_SIZE, tight(waiting[:cut]))
+                    waiting, since, batch, old = waiting[cut:], now, batch + cut // size, False  # what is left came just now
         if waiting and (state.hasTimedOut or now >= since + wait_ms):
-            close(len(waiting), BY_TIME)
+            yield frame(BY_TIME, tight(waiting))
+            waiting, batch = [], batch + 1
         state.update((waiting, since, batch))
         if waiting:
             state.setTimeoutDuration(max(1, since + wait_ms - now))
-        yield from out
 
-    closed = rows.groupBy("lane").applyInPandasWithState(
-        run, "lane string, batch bigint, closed_by string, row string", "waiting array<string>, since bigint, batch bigint",
+    def unpack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = {"lane": [], "batch": [], "closed_by": [], "row": []}
+        for part in parts:
+            for of, first, why, packet in zip(part["lane"], part["batch"].tolist(), part["closed_by"], part["packet"]):
+                texts = loose(packet)
+                n = len(texts)
+                for column, values in zip(out.values(), ([of] * n, [first + k // size for k in range(n)], [why] * n, texts)):
+                    column += values
+                if len(out["row"]) >= PACKET_ROWS:
+                    yield pd.DataFrame(out)
+                    out = {column: [] for column in out}
+        if out["row"]:
+            yield pd.DataFrame(out)
+
+    packets = rows.mapInPandas(pack, "lane string, n bigint, packet binary").groupBy("lane").applyInPandasWithState(
+        run, "lane string, batch bigint, closed_by string, packet binary", "waiting array<string>, since bigint, batch bigint",
         "append", GroupStateTimeout.ProcessingTimeTimeout,
     )
+    # Spark can't shuffle what comes out of the state as it is, so the place is computed
+    spread = packets.withColumn("place", F.xxhash64("lane", "batch")).repartition("place")
+    closed = spread.mapInPandas(unpack, "lane string, batch bigint, closed_by string, row string")
     return closed.select("lane", "batch", "closed_by", _typed(events.schema, "row").alias("r")).select("r.*", F.col("lane").alias("batch_lane"), "batch", "closed_by")
 
 
